@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..schemas import FAR_FUTURE
+from ..session import checkpoint_root
 
 DEFAULT_BROADCAST_ROWS = 500_000
 _B = "__vb_bucket"
@@ -56,6 +57,17 @@ def _point_bucket(at: str, unit: str, horizon: Column) -> Column:
     return F.least(_bucket(F.col(at), unit), _bucket(horizon, unit))
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Write the (window) side once to the shared checkpoint folder.
+
+    The horizon subquery, the size check and the join then all read the
+    written copy instead of recomputing the window pipeline, and lineage is
+    cut, so a lost executor does not force a rebuild of it.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
     return df.limit(max_rows + 1).count() <= max_rows
@@ -77,9 +89,9 @@ def range_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str,
     clash = set(payload) & set(points.columns)
     if clash:
         raise ValueError(f"window columns also on the point side: {sorted(clash)}")
+    windows = materialise(windows.select(*on, valid_from, valid_to, *payload))
     horizon = _horizon(windows, valid_from, valid_to)
-    w = explode_windows(windows.select(*on, valid_from, valid_to, *payload),
-                        valid_from, valid_to, unit, horizon)
+    w = explode_windows(windows, valid_from, valid_to, unit, horizon)
     w = w.select(*[F.col(c).alias(_W + c) for c in w.columns])
     if broadcast_rows is not None and bounded(w, broadcast_rows):
         w = F.broadcast(w)
@@ -102,9 +114,9 @@ def asof_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str, v
     Works inside (keys, bucket) partitions, so no key needs one task.
     """
     payload = [c for c in windows.columns if c not in (*on, valid_from, valid_to)]
+    windows = materialise(windows.select(*on, valid_from, valid_to, *payload))
     horizon = _horizon(windows, valid_from, valid_to)
-    w = explode_windows(windows.select(*on, valid_from, valid_to, *payload),
-                        valid_from, valid_to, unit, horizon)
+    w = explode_windows(windows, valid_from, valid_to, unit, horizon)
     mark = "__asof_mark"
     hit = "__asof_hit"
     kind = "__asof_kind"

@@ -16,8 +16,16 @@ from ..operators.series import next_in_order
 NATION_COUNT = 25  # TPC-H nation table: keys 0..24
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; the (immutable) DataFrame is reused within one application."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def tariff_code_of(nation_name: str = "n_name") -> F.Column:
