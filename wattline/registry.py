@@ -542,10 +542,11 @@ def load_audit(spark, sf_dir):
 
 
 _RATE_CTES = (
+    "rlast AS (SELECT max(valid_from_utc) AS m FROM tariffs_raw),\n"
     "rtarget AS (SELECT tariff_code, valid_from_utc, valid_to_utc, unit_rate FROM tariffs_raw"
-    f" WHERE valid_from_utc < TIMESTAMP {REDELIVERY!r}),\n"
+    " WHERE valid_from_utc < (SELECT m FROM rlast) - INTERVAL 1 DAY),\n"
     "rbatch AS (SELECT tariff_code, valid_from_utc, valid_to_utc, unit_rate + 1.0 AS unit_rate FROM tariffs_raw"
-    " WHERE valid_from_utc >= TIMESTAMP '2024-01-10 00:00:00')")
+    " WHERE valid_from_utc >= (SELECT m FROM rlast) - INTERVAL 3 DAY)")
 
 
 @register("upsert_composite_key", oracle(
@@ -555,8 +556,9 @@ def upsert_composite_key(spark, sf_dir):
     from .plans import pipeline
     lk = pipeline.Lake(scratch_path(spark, "rates"))
     raw = tables.tariffs_raw(spark, sf_dir)
-    first = raw.filter(F.col("valid_from_utc") < F.lit(REDELIVERY).cast("timestamp_ntz"))
-    again = (raw.filter(F.col("valid_from_utc") >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"))
+    last = raw.agg(F.max("valid_from_utc")).scalar()   # the re-delivery is relative to the newest rate
+    first = raw.filter(F.col("valid_from_utc") < last - F.expr("INTERVAL 1 DAY"))
+    again = (raw.filter(F.col("valid_from_utc") >= last - F.expr("INTERVAL 3 DAY"))
              .withColumn("unit_rate", F.col("unit_rate") + 1.0))
     pipeline.load_windows(spark, lk, lk.tariffs, first, "octopus_tariffs")
     pipeline.load_windows(spark, lk, lk.tariffs, again, "octopus_tariffs")
