@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import checkpoint_root
+from ..session import materialise
 from .dedupe import first_per_key, latest_per_key
 
 
@@ -24,6 +24,12 @@ class UpsertResult:
     rows_in_batch: int      # rows after the in-batch dedupe ("fetched")
     rows_inserted: int      # net growth of the table; replaced rows count 0
     touched_partitions: int
+    range_min: object = None  # min / max of ``range_cols`` over the batch (NULLs ignored)
+    range_max: object = None
+
+
+class EmptyBatch(ValueError):
+    pass
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -36,14 +42,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
            partition_col: str, partition_expr: Column,
-           arrival: Sequence[str | Column] = (), version: Sequence[str] = ()) -> UpsertResult:
+           arrival: Sequence[str | Column] = (), version: Sequence[str] = (),
+           range_cols: tuple[str, str] | None = None, allow_empty: bool = True) -> UpsertResult:
     """Insert-or-replace ``batch`` into the table at ``path`` by ``keys``.
 
     * in-batch duplicates: the first row in ``arrival`` order wins; with no
       ``arrival`` every batch row is kept (delete + insert by key);
     * with ``version`` empty, a batch row replaces the stored row;
       with ``version`` set, the higher version wins (stream replays are harmless).
-    ``partition_expr`` must be a function of the key columns.
+    ``partition_expr`` must be a function of the key columns. An empty batch
+    raises ``EmptyBatch`` unless ``allow_empty``.
     """
     keys = list(keys)
     staged = batch.withColumn(partition_col, partition_expr)
@@ -51,10 +59,17 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
         staged = latest_per_key(staged, keys, list(version))
     elif arrival:
         staged = first_per_key(staged, keys, list(arrival))
-    checkpoint_root(spark)
-    staged = staged.checkpoint(eager=True)          # the batch is read several times below
-    fetched = staged.count()
-    touched = [r[0] for r in staged.select(partition_col).distinct().collect()]  # bounded by the calendar
+    staged = materialise(staged, "upsert-batch")   # the batch is read several times below
+    # One small job: rows and range per touched partition (bounded by the calendar / code list).
+    lo_col, hi_col = range_cols or (keys[0], keys[0])
+    per_part = (staged.groupBy(partition_col)
+                .agg(F.count(F.lit(1)), F.min(lo_col), F.max(hi_col)).collect())
+    touched = [r[0] for r in per_part]
+    fetched = sum(r[1] for r in per_part)
+    if fetched == 0 and not allow_empty:
+        raise EmptyBatch("No data returned: the batch is empty")
+    lows = [r[2] for r in per_part if r[2] is not None]
+    highs = [r[3] for r in per_part if r[3] is not None]
     cols = [c for c in staged.columns]
 
     if table_exists(spark, path) and touched:
@@ -66,11 +81,12 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
             kept = current.join(staged.select(*keys), on=keys, how="left_anti")
             merged = kept.unionByName(staged)
         # Cut lineage before overwriting the partitions it was read from.
-        merged = merged.checkpoint(eager=True)
+        merged = materialise(merged, "upsert-merged")
     else:
         before, merged = 0, staged
-    after = merged.count()
+    after = merged.count()   # Parquet footers only
     (merged.hint("rebalance", partition_col).write
      .mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
-    return UpsertResult(path, fetched, after - before, len(touched))
+    return UpsertResult(path, fetched, after - before, len(touched),
+                        min(lows) if lows else None, max(highs) if highs else None)

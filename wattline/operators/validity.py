@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..schemas import FAR_FUTURE
-from ..session import checkpoint_root
+from ..session import materialise as write_and_read
 
 DEFAULT_BROADCAST_ROWS = 500_000
 _B = "__vb_bucket"
@@ -37,9 +37,15 @@ def _step(unit: str) -> Column:
 
 
 def _horizon(windows: DataFrame, valid_from: str, valid_to: str) -> Column:
-    """Largest finite instant named by any window, as a lazy scalar subquery."""
+    """Largest finite instant named by any window, as a literal.
+
+    ``windows`` is the materialised window table, so this is one small job
+    over Parquet; the literal keeps subqueries out of the join plan. With no
+    window at all the horizon is NULL and nothing can match.
+    """
     finite_to = F.when(F.col(valid_to) < F.lit(FAR_FUTURE).cast("timestamp_ntz"), F.col(valid_to))
-    return windows.agg(F.max(F.greatest(F.col(valid_from), finite_to))).scalar()
+    value = windows.agg(F.max(F.greatest(F.col(valid_from), finite_to))).first()[0]
+    return F.lit(value).cast("timestamp_ntz")
 
 
 def explode_windows(windows: DataFrame, valid_from: str, valid_to: str, unit: str,
@@ -64,8 +70,7 @@ def materialise(df: DataFrame) -> DataFrame:
     written copy instead of recomputing the window pipeline, and lineage is
     cut, so a lost executor does not force a rebuild of it.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return write_and_read(df, "windows")
 
 
 def bounded(df: DataFrame, max_rows: int) -> bool:

@@ -53,34 +53,26 @@ def _stamp(df: DataFrame, now: dt.datetime | None) -> DataFrame:
     return df.withColumn("ingestion_ts", ts)
 
 
-def _require_rows(df: DataFrame, what: str) -> None:
-    if df.isEmpty():
-        raise ValueError(f"No data returned for {what}")
-
-
 def load_usage(spark: SparkSession, lk: Lake, batch: DataFrame, arrival=(), now=None,
                source: str = "octopus_api") -> dict:
     """Upsert readings by ``interval_start_utc`` into day partitions, audited."""
     def run():
-        _require_rows(batch, source)
         b = _stamp(batch.select("interval_start_utc", "interval_start_uk",
                                 F.col("kwh").cast("double").alias("kwh"), *arrival), now)
         res = upsert(spark, lk.consumption, b, ["interval_start_utc"], "day",
-                     F.to_date("interval_start_utc"), arrival=list(arrival))
-        lo, hi = audit.interval_range(b, "interval_start_utc")
-        return res.rows_in_batch, res.rows_inserted, lo, hi
+                     F.to_date("interval_start_utc"), arrival=list(arrival), allow_empty=False)
+        return res.rows_in_batch, res.rows_inserted, res.range_min, res.range_max
     return audit.audited_load(spark, lk.audit, source, run)
 
 
 def load_windows(spark: SparkSession, lk: Lake, path: str, batch: DataFrame, source: str, now=None) -> dict:
     """Upsert agreements or rates by (tariff_code, valid_from_utc), audited."""
     def run():
-        _require_rows(batch, source)
         b = _stamp(batch, now)
         res = upsert(spark, path, b, ["tariff_code", "valid_from_utc"], "code",
-                     F.col("tariff_code"), arrival=["valid_from_utc"])
-        lo, hi = audit.interval_range(b, "valid_from_utc", "valid_to_utc")
-        return res.rows_in_batch, res.rows_inserted, lo, hi
+                     F.col("tariff_code"), arrival=["valid_from_utc"],
+                     range_cols=("valid_from_utc", "valid_to_utc"), allow_empty=False)
+        return res.rows_in_batch, res.rows_inserted, res.range_min, res.range_max
     return audit.audited_load(spark, lk.audit, source, run)
 
 

@@ -693,5 +693,5 @@ def stream_latest(spark, sf_dir):
         stream_upsert(spark, f"{root}/landed", schema, f"{root}/table", f"{root}/ckpt-{attempt}",
                       keys=["interval_start_utc"], version=["ingestion_ts", "version"],
                       partition_col="part_day", partition_expr=F.to_date("interval_start_utc"),
-                      max_files_per_trigger=8)
+                      max_files_per_trigger=16)
     return spark.read.parquet(f"{root}/table").select("interval_start_utc", "interval_start_uk", "kwh")

@@ -78,3 +78,16 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialise(df, name: str = "stage"):
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    Cuts lineage in one pass (a reliable RDD checkpoint computes its input
+    twice unless cached); a lost executor then re-reads files instead of
+    recomputing the plan, and later counts come from Parquet footers.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
