@@ -37,3 +37,25 @@ def allow_list(df: DataFrame, allowed: Sequence[str], refused: Sequence[str] = (
     if missing:
         raise ValueError(f"allow-listed columns missing from the table: {missing}")
     return df.select(*allowed)
+
+
+def dashboard(fact: DataFrame, tariff_codes: Sequence[str] | None = None, date_from: str | None = None,
+              date_to: str | None = None, day_col: str | None = None) -> DataFrame:
+    """Dashboard filters on the fact: tariff codes and a usage-date range (inclusive).
+
+    With ``day_col`` (the table's day partition) the date bounds also prune
+    partitions: usage dates are UK days, so the UTC day partition is widened
+    by one day on each side.
+    """
+    cond = F.lit(True)
+    if tariff_codes is not None:
+        cond = cond & F.col("tariff_code").isin(list(tariff_codes))
+    if date_from is not None:
+        cond = cond & (F.col("usage_date") >= F.lit(date_from).cast("timestamp_ntz"))
+        if day_col:
+            cond = cond & (F.col(day_col) >= F.date_sub(F.lit(date_from).cast("date"), 1))
+    if date_to is not None:
+        cond = cond & (F.col("usage_date") <= F.lit(date_to).cast("timestamp_ntz"))
+        if day_col:
+            cond = cond & (F.col(day_col) <= F.date_add(F.lit(date_to).cast("date"), 1))
+    return fact.filter(cond)

@@ -100,6 +100,10 @@ def range_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str,
     w = w.select(*[F.col(c).alias(_W + c) for c in w.columns])
     if broadcast_rows is not None and bounded(w, broadcast_rows):
         w = F.broadcast(w)
+    else:
+        # Size not proven: Spark's estimate after the explode may be far too
+        # small, so keep it from auto-broadcasting; sort-merge spills safely.
+        w = w.hint("merge")
     p = points.withColumn(_B, _point_bucket(at, unit, horizon))
     cond = [p[k] == w[_W + k] for k in on]
     cond += [p[_B] == w[_W + _B],

@@ -113,3 +113,29 @@ def run(spark: SparkSession, lk: Lake, agreements: DataFrame, tariffs: DataFrame
     out["fact"], out["daily"] = build_models(spark, lk)
     out["tests"] = run_tests(out["fact"])
     return out
+
+
+def materialize_model(spark: SparkSession, df: DataFrame, name: str, how: str = "view",
+                      path: str | None = None, unique_key: list[str] | None = None,
+                      partition_col: str | None = None, partition_expr=None) -> DataFrame:
+    """A model as a temp view, an overwritten table, or an incremental (keyed upsert) table.
+
+    Whatever the form, the model is registered as a temp view ``name`` so SQL
+    can refer to it, and the DataFrame that reads it is returned.
+    """
+    if how == "view":
+        out = df
+    elif how == "table":
+        if not path:
+            raise ValueError("a table model needs a path")
+        df.write.mode("overwrite").parquet(path)
+        out = spark.read.parquet(path)
+    elif how == "incremental":
+        if not (path and unique_key and partition_col is not None and partition_expr is not None):
+            raise ValueError("an incremental model needs path, unique_key and a key-derived partition")
+        upsert(spark, path, df, unique_key, partition_col, partition_expr)
+        out = spark.read.parquet(path).drop(partition_col)
+    else:
+        raise ValueError(f"unknown materialisation {how!r}: view, table or incremental")
+    out.createOrReplaceTempView(name)
+    return out

@@ -317,13 +317,13 @@ def range_join_bucketed(spark, sf_dir):
     # Forced onto the shuffle path: this is the form that scales past broadcast.
     return validity.range_join(tables.shipment_points(spark, sf_dir), tables.order_windows(spark, sf_dir),
                                "l_shipdate", "valid_from", "valid_to", on=["o_custkey"],
-                               unit="MONTH", broadcast_rows=None)
+                               unit="YEAR", broadcast_rows=None)
 
 
 @register("range_join_broadcast", _KEYED_RANGE_SQL.format(windows="order_windows"))
 def range_join_broadcast(spark, sf_dir):
     return validity.range_join(tables.shipment_points(spark, sf_dir), tables.order_windows(spark, sf_dir),
-                               "l_shipdate", "valid_from", "valid_to", on=["o_custkey"], unit="MONTH")
+                               "l_shipdate", "valid_from", "valid_to", on=["o_custkey"], unit="YEAR")
 
 
 @register("asof_windows", _KEYED_RANGE_SQL.format(windows="distinct_order_windows"))
@@ -695,3 +695,54 @@ def stream_latest(spark, sf_dir):
                       partition_col="part_day", partition_expr=F.to_date("interval_start_utc"),
                       max_files_per_trigger=16)
     return spark.read.parquet(f"{root}/table").select("interval_start_utc", "interval_start_uk", "kwh")
+
+
+# --------------------------------------------------------------------------
+# Dashboard slice, many meters, the whole run
+# --------------------------------------------------------------------------
+
+# Fixed parameters of the dashboard slice: two tariffs, one week of usage dates.
+SLICE_TARIFFS = ("E-1R-NATION_3-24-01-01-A", "E-1R-NATION_7-24-01-01-A")
+SLICE_FROM, SLICE_TO = "2024-01-04 00:00:00", "2024-01-10 00:00:00"
+
+
+@register("dashboard_slice", oracle(
+    f"SELECT * FROM fct WHERE tariff_code IN {SLICE_TARIFFS!r}"
+    f" AND usage_date >= TIMESTAMP {SLICE_FROM!r} AND usage_date <= TIMESTAMP {SLICE_TO!r}"))
+def dashboard_slice(spark, sf_dir):
+    from .operators.filters import dashboard
+    gold_fact(spark, sf_dir)
+    stored = spark.read.parquet(_GOLD[(spark.sparkContext.applicationId, sf_dir)])
+    return (dashboard(stored, SLICE_TARIFFS, SLICE_FROM, SLICE_TO, day_col=incremental.FACT_PARTITION)
+            .drop(incremental.FACT_PARTITION))
+
+
+@register("fct_cost_per_meter", oracle(
+    "SELECT c.meter_id, c.interval_start_utc, c.interval_start_uk, c.kwh, a.tariff_code, t.unit_rate,"
+    " c.kwh * t.unit_rate AS cost, date_trunc('day', c.interval_start_uk) AS usage_date,"
+    " extract(hour FROM c.interval_start_uk) AS hour_of_day,"
+    " CASE WHEN extract(hour FROM c.interval_start_uk) BETWEEN 0 AND 6 THEN 'night'"
+    " WHEN extract(hour FROM c.interval_start_uk) BETWEEN 16 AND 19 THEN 'peak' ELSE 'day' END AS time_band"
+    " FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meter_id, interval_start_utc"
+    "       ORDER BY ingestion_ts DESC, version DESC) AS rn FROM consumption_raw) WHERE rn = 1) c"
+    " LEFT JOIN stg_agreements a"
+    " ON c.interval_start_utc >= a.valid_from_utc AND c.interval_start_utc < a.valid_to_utc"
+    " LEFT JOIN stg_tariffs t ON a.tariff_code = t.tariff_code"
+    " AND c.interval_start_utc >= t.valid_from_utc AND c.interval_start_utc < t.valid_to_utc"))
+def fct_cost_per_meter(spark, sf_dir):
+    raw = tables.consumption_raw(spark, sf_dir, with_meter=True)
+    consumption = staging.stg_consumption(raw, keys=["meter_id", "interval_start_utc"], tie_break=["version"])
+    _, agreements, tariffs = fact_plan.silver(spark, sf_dir)
+    return fact_plan.fct_energy_cost(consumption, agreements, tariffs, meter_keys=["meter_id"])
+
+
+@register("pipeline_run", oracle("SELECT * FROM daily"))
+def pipeline_run(spark, sf_dir):
+    """Agreements → rates → usage (audited upserts) → export → silver → gold → daily → tests."""
+    from .plans import pipeline
+    lk = pipeline.Lake(scratch_path(spark, "pipeline"))
+    consumption, _, _ = fact_plan.silver(spark, sf_dir)   # the API sends one reading per slot
+    out = pipeline.run(spark, lk, tables.agreements_raw(spark, sf_dir).drop("ingestion_ts"),
+                       tables.tariffs_raw(spark, sf_dir).drop("ingestion_ts"), consumption,
+                       export_root=lk.path("lake"))
+    return out["daily"]
