@@ -152,7 +152,7 @@ def test_bad_number_fails_and_is_audited(spark, tmp_dir):
         bad.collect()
         return 1, 1, None, None
     with pytest.raises(Exception):
-        audit.audited_load(spark, f"{tmp_dir}/audit", "octopus_api", load)
+        audit.audited_load(spark, f"{tmp_dir}/audit", "usage_api", load)
     row = spark.read.parquet(f"{tmp_dir}/audit").first()
     assert row.status == "FAILED" and row.records_fetched == 0 and row.error_message
 

@@ -29,10 +29,13 @@ def next_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     inner = Window.partitionBy(*keys, b).orderBy(*order)
     staged = staged.withColumns({f"{prefix}{v}": F.lead(v).over(inner) for v in values})
     staged = staged.withColumn("__nio_last", F.lead(F.lit(1)).over(inner).isNull())
-    summary = (df.withColumn(b, bucket)
-               .groupBy(*keys, b)
-               .agg(F.min(F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],
-                                   *[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])).alias(first)))
+    if order == values and len(order) == 1:
+        # First row of a bucket is just the minimum: a plain (hash) aggregate.
+        first_row = F.struct(F.min(order[0]).alias("v0"))
+    else:
+        first_row = F.min(F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],
+                                   *[F.col(v).alias(f"v{i}") for i, v in enumerate(values)]))
+    summary = df.withColumn(b, bucket).groupBy(*keys, b).agg(first_row.alias(first))
     across = Window.partitionBy(*keys).orderBy(b)
     summary = summary.select(*keys, b, F.lead(first).over(across).alias(nxt))
     out = staged.join(summary, on=[*keys, b], how="left")

@@ -25,15 +25,15 @@ class Lake:
 
     @property
     def consumption(self) -> str:
-        return self.path("bronze/raw_octopus_consumption")
+        return self.path("bronze/raw_consumption")
 
     @property
     def agreements(self) -> str:
-        return self.path("bronze/raw_octopus_agreements")
+        return self.path("bronze/raw_agreements")
 
     @property
     def tariffs(self) -> str:
-        return self.path("bronze/raw_octopus_tariffs")
+        return self.path("bronze/raw_tariffs")
 
     @property
     def audit(self) -> str:
@@ -54,7 +54,7 @@ def _stamp(df: DataFrame, now: dt.datetime | None) -> DataFrame:
 
 
 def load_usage(spark: SparkSession, lk: Lake, batch: DataFrame, arrival=(), now=None,
-               source: str = "octopus_api") -> dict:
+               source: str = "usage_api") -> dict:
     """Upsert readings by ``interval_start_utc`` into day partitions, audited."""
     def run():
         b = _stamp(batch.select("interval_start_utc", "interval_start_uk",
@@ -102,13 +102,13 @@ def run(spark: SparkSession, lk: Lake, agreements: DataFrame, tariffs: DataFrame
         export_root: str | None = None, usage_arrival=(), now=None) -> dict:
     """Agreements → tariffs → usage → (export) → models → tests; stops at the first failure."""
     out = {"audit": []}
-    out["audit"].append(load_windows(spark, lk, lk.agreements, agreements, "octopus_agreements", now))
-    out["audit"].append(load_windows(spark, lk, lk.tariffs, tariffs, "octopus_tariffs", now))
+    out["audit"].append(load_windows(spark, lk, lk.agreements, agreements, "agreements_feed", now))
+    out["audit"].append(load_windows(spark, lk, lk.tariffs, tariffs, "rates_feed", now))
     out["audit"].append(load_usage(spark, lk, usage, usage_arrival, now))
     if export_root:
-        bronze = {"raw_octopus_consumption": spark.read.parquet(lk.consumption).drop("day"),
-                  "raw_octopus_agreements": spark.read.parquet(lk.agreements).drop("code"),
-                  "raw_octopus_tariffs": spark.read.parquet(lk.tariffs).drop("code")}
+        bronze = {"raw_consumption": spark.read.parquet(lk.consumption).drop("day"),
+                  "raw_agreements": spark.read.parquet(lk.agreements).drop("code"),
+                  "raw_tariffs": spark.read.parquet(lk.tariffs).drop("code")}
         out["exports"] = lake.export_tables(bronze, list(bronze), export_root)
     out["fact"], out["daily"] = build_models(spark, lk)
     out["tests"] = run_tests(out["fact"])

@@ -524,15 +524,15 @@ def upsert_one_key(spark, sf_dir):
 
 
 @register("load_audit", oracle(
-    "SELECT 'octopus_api' AS source, 'SUCCESS' AS status, CAST(count(*) AS INTEGER) AS records_fetched,"
+    "SELECT 'usage_api' AS source, 'SUCCESS' AS status, CAST(count(*) AS INTEGER) AS records_fetched,"
     " CAST(count(*) AS INTEGER) AS records_inserted, min(interval_start_utc) AS min_interval,"
     " max(interval_start_utc) AS max_interval, false AS has_error FROM target"
-    " UNION ALL SELECT 'octopus_api', 'SUCCESS', CAST(count(*) AS INTEGER),"
+    " UNION ALL SELECT 'usage_api', 'SUCCESS', CAST(count(*) AS INTEGER),"
     " CAST(count(*) FILTER (WHERE interval_start_utc NOT IN (SELECT interval_start_utc FROM target))"
     " AS INTEGER), min(interval_start_utc), max(interval_start_utc), false FROM batch"
-    " UNION ALL SELECT 'octopus_api', 'SUCCESS', CAST(count(*) AS INTEGER), 0,"
+    " UNION ALL SELECT 'usage_api', 'SUCCESS', CAST(count(*) AS INTEGER), 0,"
     " min(interval_start_utc), max(interval_start_utc), false FROM batch"
-    " UNION ALL SELECT 'octopus_api', 'FAILED', 0, 0, NULL, NULL, true",
+    " UNION ALL SELECT 'usage_api', 'FAILED', 0, 0, NULL, NULL, true",
     _LOAD_CTES))
 def load_audit(spark, sf_dir):
     lk = _consumption_loads(spark, sf_dir)
@@ -560,9 +560,9 @@ def upsert_composite_key(spark, sf_dir):
     first = raw.filter(F.col("valid_from_utc") < last - F.expr("INTERVAL 1 DAY"))
     again = (raw.filter(F.col("valid_from_utc") >= last - F.expr("INTERVAL 3 DAY"))
              .withColumn("unit_rate", F.col("unit_rate") + 1.0))
-    pipeline.load_windows(spark, lk, lk.tariffs, first, "octopus_tariffs")
-    pipeline.load_windows(spark, lk, lk.tariffs, again, "octopus_tariffs")
-    pipeline.load_windows(spark, lk, lk.tariffs, again, "octopus_tariffs")
+    pipeline.load_windows(spark, lk, lk.tariffs, first, "rates_feed")
+    pipeline.load_windows(spark, lk, lk.tariffs, again, "rates_feed")
+    pipeline.load_windows(spark, lk, lk.tariffs, again, "rates_feed")
     return spark.read.parquet(lk.tariffs).select("tariff_code", "valid_from_utc", "valid_to_utc", "unit_rate")
 
 
@@ -621,8 +621,8 @@ def private_export(spark, sf_dir):
     from .plans import lake
     root = scratch_path(spark, "export")
     raw = tables.consumption_raw(spark, sf_dir, with_meter=True)   # meter_id must not leave
-    out = lake.export_tables({"raw_octopus_consumption": raw}, ["raw_octopus_consumption"], root)
-    return spark.read.parquet(out["raw_octopus_consumption"]).drop(lake.DAY_COLUMN)
+    out = lake.export_tables({"raw_consumption": raw}, ["raw_consumption"], root)
+    return spark.read.parquet(out["raw_consumption"]).drop(lake.DAY_COLUMN)
 
 
 @register("partitioned_load", oracle(
