@@ -13,7 +13,8 @@ DRIVER_TABLES = ("region nation customer supplier part orders lineitem events do
 def duckdb_connection(sf_dir: str):
     import duckdb
     con = duckdb.connect()
-    con.execute("SET TimeZone = 'UTC'")
+    import os
+    con.execute(f"SET TimeZone = '{os.environ.get("ORACLE_TZ", "UTC")}'")
     for t in DRIVER_TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con
