@@ -275,3 +275,19 @@ def test_gap_forms_agree(spark):
 def test_hour_of_day_is_bigint(spark):
     df = _points(spark, ["2024-06-01 10:00:00"]).select(hour_of_day(to_uk_wall_clock("interval_start_utc")).alias("h"))
     assert df.schema["h"].dataType == T.LongType() and df.first().h == 11
+
+
+def test_mask_form_equals_series_off_grid(spark):
+    rnd = random.Random(17)
+    base = ts("2024-03-30 00:00:00")
+    rows = []
+    for k in range(3):
+        for _ in range(150):
+            minutes = 30 * rnd.randint(0, 48 * 6) + (rnd.choice([0, 0, 0, 7]) if k == 2 else 0)
+            rows.append((k, base + dt.timedelta(minutes=minutes + 13 * k)))
+    rows.append((0, rows[0][1]))  # a duplicate
+    pts = spark.createDataFrame(rows, "k int, interval_start_utc timestamp_ntz")
+    want = sorted(quality.missing_intervals(pts, keys=["k"]).collect())
+    assert sorted(quality.missing_by_mask(pts, keys=["k"]).collect()) == want
+    one = pts.filter("k = 1").drop("k")
+    assert sorted(quality.missing_by_mask(one).collect()) == sorted(quality.missing_intervals(one).collect())

@@ -352,6 +352,11 @@ def missing_by_gap(spark, sf_dir):
     return quality.missing_by_gap(gold_fact(spark, sf_dir))
 
 
+@register("missing_by_mask", ORACLES["missing_intervals"])
+def missing_by_mask(spark, sf_dir):
+    return quality.missing_by_mask(gold_fact(spark, sf_dir))
+
+
 @register("missing_per_meter", oracle(
     "SELECT s.meter_id, s.interval_start_utc FROM ("
     " SELECT meter_id, unnest(generate_series(min(interval_start_utc), max(interval_start_utc),"
@@ -363,6 +368,12 @@ def missing_per_meter(spark, sf_dir):
     return quality.missing_by_gap(raw, keys=["meter_id"])
 
 
+@register("missing_per_meter_mask", ORACLES["missing_per_meter"])
+def missing_per_meter_mask(spark, sf_dir):
+    raw = tables.consumption_raw(spark, sf_dir, with_meter=True)
+    return quality.missing_by_mask(raw, keys=["meter_id"])
+
+
 @register("null_check", oracle(
     "SELECT interval_start_utc, 'interval_start_utc' AS failed_column FROM fct WHERE interval_start_utc IS NULL"
     " UNION ALL SELECT interval_start_utc, 'kwh' FROM fct WHERE kwh IS NULL"
