@@ -291,3 +291,27 @@ def test_mask_form_equals_series_off_grid(spark):
     assert sorted(quality.missing_by_mask(pts, keys=["k"]).collect()) == want
     one = pts.filter("k = 1").drop("k")
     assert sorted(quality.missing_by_mask(one).collect()) == sorted(quality.missing_intervals(one).collect())
+
+
+def test_auto_unit_follows_window_length():
+    assert validity.pick_unit("auto", 6 * 3600) == "DAY"
+    assert validity.pick_unit("auto", 20 * 86400) == "MONTH"
+    assert validity.pick_unit("auto", 250 * 86400) == "YEAR"
+    assert validity.pick_unit("auto", None) == "DAY"
+    assert validity.pick_unit("HOUR", 1e9) == "HOUR"
+
+
+def test_range_join_auto_equals_brute_force(spark):
+    windows = staging.fill_open_ends(_random_windows(spark, seed=21), ["valid_to"])
+    points = _random_points(spark, seed=22)
+    got = validity.range_join(points, windows, "at", "valid_from", "valid_to", on=["k"], broadcast_rows=None)
+    assert _pairs(got) == _pairs(_brute(spark, points, windows))
+
+
+def test_incremental_run_prunes_bronze_partitions(spark, tmp_dir):
+    pts = _points(spark, ["2024-01-01 00:00:00", "2024-01-05 00:00:00", "2024-01-09 00:00:00"])
+    pts.withColumn("day", F.to_date("interval_start_utc")).write.partitionBy("day").parquet(tmp_dir)
+    df = incremental.lookback_filter(spark.read.parquet(tmp_dir), ts("2024-01-09 00:00:00"), 1, day_col="day")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and ">= 2024-01-08" in plan
+    assert df.count() == 1

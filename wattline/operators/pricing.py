@@ -22,7 +22,7 @@ def time_band(hour: Column | str) -> Column:
 def price_intervals(consumption: DataFrame, agreements: DataFrame, tariffs: DataFrame,
                     meter_keys: Sequence[str] = (), agreement_keys: Sequence[str] | None = None,
                     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-                    rate_unit: str = "DAY") -> DataFrame:
+                    rate_unit: str = "auto") -> DataFrame:
     """Gold fact: each interval ⟕ its agreement ⟕ the rate valid then.
 
     Unmatched intervals are kept with NULL tariff, rate and cost; overlapping

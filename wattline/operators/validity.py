@@ -32,20 +32,47 @@ def _bucket(col: Column, unit: str) -> Column:
     return F.date_trunc(unit, col).cast("timestamp_ntz")
 
 
+# Bucket units, smallest first, with their step and length in seconds.
+UNITS = {
+    "HOUR": ("INTERVAL 1 HOUR", 3600),
+    "DAY": ("INTERVAL 1 DAY", 86400),
+    "WEEK": ("INTERVAL 7 DAY", 7 * 86400),
+    "MONTH": ("INTERVAL 1 MONTH", 31 * 86400),
+    "QUARTER": ("INTERVAL 3 MONTH", 92 * 86400),
+    "YEAR": ("INTERVAL 1 YEAR", 366 * 86400),
+}
+
+
 def _step(unit: str) -> Column:
-    return F.expr(f"INTERVAL 1 {unit}")
+    return F.expr(UNITS[unit][0])
 
 
-def _horizon(windows: DataFrame, valid_from: str, valid_to: str) -> Column:
-    """Largest finite instant named by any window, as a literal.
+def _window_stats(windows: DataFrame, valid_from: str, valid_to: str) -> tuple[Column, float | None]:
+    """Horizon (largest finite instant) as a literal, and the mean finite window length.
 
     ``windows`` is the materialised window table, so this is one small job
     over Parquet; the literal keeps subqueries out of the join plan. With no
     window at all the horizon is NULL and nothing can match.
     """
     finite_to = F.when(F.col(valid_to) < F.lit(FAR_FUTURE).cast("timestamp_ntz"), F.col(valid_to))
-    value = windows.agg(F.max(F.greatest(F.col(valid_from), finite_to))).first()[0]
-    return F.lit(value).cast("timestamp_ntz")
+    seconds = (F.unix_seconds(finite_to.cast("timestamp"))
+               - F.unix_seconds(F.col(valid_from).cast("timestamp")))
+    row = windows.agg(F.max(F.greatest(F.col(valid_from), finite_to)),
+                      F.avg(F.when(seconds > 0, seconds))).first()
+    return F.lit(row[0]).cast("timestamp_ntz"), row[1]
+
+
+def pick_unit(unit: str, mean_seconds: float | None) -> str:
+    """``auto``: the smallest unit at least as long as the mean window, so a
+    window spans about two buckets and a bucket holds few windows per key."""
+    if unit != "auto":
+        return unit
+    if mean_seconds is None:
+        return "DAY"
+    for name, (_, length) in UNITS.items():
+        if length >= mean_seconds:
+            return name
+    return "YEAR"
 
 
 def explode_windows(windows: DataFrame, valid_from: str, valid_to: str, unit: str,
@@ -79,7 +106,7 @@ def bounded(df: DataFrame, max_rows: int) -> bool:
 
 
 def range_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str, valid_to: str,
-               on: Sequence[str] = (), how: str = "left", unit: str = "DAY",
+               on: Sequence[str] = (), how: str = "left", unit: str = "auto",
                broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``points ⟕ windows`` on equal ``on`` keys and ``valid_from <= at < valid_to``.
 
@@ -95,7 +122,8 @@ def range_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str,
     if clash:
         raise ValueError(f"window columns also on the point side: {sorted(clash)}")
     windows = materialise(windows.select(*on, valid_from, valid_to, *payload))
-    horizon = _horizon(windows, valid_from, valid_to)
+    horizon, mean_seconds = _window_stats(windows, valid_from, valid_to)
+    unit = pick_unit(unit, mean_seconds)
     w = explode_windows(windows, valid_from, valid_to, unit, horizon)
     w = w.select(*[F.col(c).alias(_W + c) for c in w.columns])
     if broadcast_rows is not None and bounded(w, broadcast_rows):
@@ -115,7 +143,7 @@ def range_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str,
 
 
 def asof_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str, valid_to: str,
-              on: Sequence[str] = (), unit: str = "DAY") -> DataFrame:
+              on: Sequence[str] = (), unit: str = "auto") -> DataFrame:
     """Left as-of join: the window with the latest start ``<= at``, kept if ``at < valid_to``.
 
     Equals ``range_join`` when windows of a key do not overlap (check with
@@ -124,7 +152,8 @@ def asof_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str, v
     """
     payload = [c for c in windows.columns if c not in (*on, valid_from, valid_to)]
     windows = materialise(windows.select(*on, valid_from, valid_to, *payload))
-    horizon = _horizon(windows, valid_from, valid_to)
+    horizon, mean_seconds = _window_stats(windows, valid_from, valid_to)
+    unit = pick_unit(unit, mean_seconds)
     w = explode_windows(windows, valid_from, valid_to, unit, horizon)
     mark = "__asof_mark"
     hit = "__asof_hit"

@@ -21,15 +21,20 @@ def high_water_mark(spark: SparkSession, path: str, ts: str = "interval_start_ut
 
 
 def lookback_filter(consumption: DataFrame, hwm: dt.datetime | None, days: int = LOOKBACK_DAYS,
-                    ts: str = "interval_start_utc") -> DataFrame:
+                    ts: str = "interval_start_utc", day_col: str | None = None) -> DataFrame:
     """Rows at or after ``hwm - days``; everything when there is no mark yet.
 
     An empty target therefore means a full load, not "nothing for ever".
-    The bound is a literal, so it reaches the Parquet scan as a pushed filter.
+    The bound is a literal, so it reaches the Parquet scan as a pushed filter;
+    with ``day_col`` (the table's UTC-day partition) it also prunes partitions.
     """
     if hwm is None:
         return consumption
-    return consumption.filter(F.col(ts) >= F.lit(hwm - dt.timedelta(days=days)))
+    lo = hwm - dt.timedelta(days=days)
+    cond = F.col(ts) >= F.lit(lo)
+    if day_col:
+        cond = cond & (F.col(day_col) >= F.lit(lo.date()))
+    return consumption.filter(cond)
 
 
 def write_fact(spark: SparkSession, path: str, fact: DataFrame, full_refresh: bool = False) -> UpsertResult:
@@ -44,15 +49,20 @@ def write_fact(spark: SparkSession, path: str, fact: DataFrame, full_refresh: bo
                   partition_expr=day)
 
 
+_UNSET = object()
+
+
 def incremental_fact(spark: SparkSession, path: str, consumption: DataFrame, agreements: DataFrame,
                      tariffs: DataFrame, lookback_days: int = LOOKBACK_DAYS,
-                     full_refresh: bool = False) -> UpsertResult:
+                     full_refresh: bool = False, hwm=_UNSET) -> UpsertResult:
     """Reprice the last ``lookback_days`` (or everything) and replace those keys.
 
     Rows older than the lookback are kept as stored, so a late correction older
-    than the lookback, or a changed rate, needs ``full_refresh=True``.
+    than the lookback, or a changed rate, needs ``full_refresh=True``. Pass
+    ``hwm`` when the caller already read it (to prune the bronze scan).
     """
-    hwm = None if full_refresh else high_water_mark(spark, path)
+    if hwm is _UNSET:
+        hwm = None if full_refresh else high_water_mark(spark, path)
     batch = lookback_filter(consumption, hwm, lookback_days)
     fact = price_intervals(batch, agreements, tariffs)
     return write_fact(spark, path, fact, full_refresh=full_refresh or hwm is None)

@@ -79,11 +79,16 @@ def load_windows(spark: SparkSession, lk: Lake, path: str, batch: DataFrame, sou
 def build_models(spark: SparkSession, lk: Lake, lookback_days: int = 1,
                  full_refresh: bool = False) -> tuple[DataFrame, DataFrame]:
     """Silver views over bronze, the incremental fact, the daily table (overwritten)."""
-    consumption = staging.stg_consumption(spark.read.parquet(lk.consumption).drop("day"))
+    hwm = None if full_refresh else incremental.high_water_mark(spark, lk.fact)
+    # The lookback also filters the bronze day partitions: every version of a
+    # key shares its day, so pruning before the dedupe changes nothing.
+    bronze = incremental.lookback_filter(spark.read.parquet(lk.consumption), hwm, lookback_days,
+                                         day_col="day").drop("day")
+    consumption = staging.stg_consumption(bronze)
     agreements = staging.stg_agreements(spark.read.parquet(lk.agreements).drop("code"))
     tariffs = staging.stg_tariffs(spark.read.parquet(lk.tariffs).drop("code"))
     incremental.incremental_fact(spark, lk.fact, consumption, agreements, tariffs,
-                                 lookback_days=lookback_days, full_refresh=full_refresh)
+                                 lookback_days=lookback_days, full_refresh=full_refresh, hwm=hwm)
     fact = incremental.read_fact(spark, lk.fact)
     rollups.daily_energy(fact).write.mode("overwrite").parquet(lk.daily)
     return fact, spark.read.parquet(lk.daily)

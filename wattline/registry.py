@@ -323,14 +323,14 @@ def range_join_bucketed(spark, sf_dir):
 @register("range_join_broadcast", _KEYED_RANGE_SQL.format(windows="order_windows"))
 def range_join_broadcast(spark, sf_dir):
     return validity.range_join(tables.shipment_points(spark, sf_dir), tables.order_windows(spark, sf_dir),
-                               "l_shipdate", "valid_from", "valid_to", on=["o_custkey"], unit="YEAR")
+                               "l_shipdate", "valid_from", "valid_to", on=["o_custkey"])
 
 
 @register("asof_windows", _KEYED_RANGE_SQL.format(windows="distinct_order_windows"))
 def asof_windows(spark, sf_dir):
     return validity.asof_join(tables.shipment_points(spark, sf_dir),
                               tables.distinct_order_windows(spark, sf_dir),
-                              "l_shipdate", "valid_from", "valid_to", on=["o_custkey"], unit="YEAR")
+                              "l_shipdate", "valid_from", "valid_to", on=["o_custkey"])
 
 
 # --------------------------------------------------------------------------
