@@ -66,8 +66,10 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
                 .agg(F.count(F.lit(1)), F.min(lo_col), F.max(hi_col)).collect())
     touched = [r[0] for r in per_part]
     fetched = sum(r[1] for r in per_part)
-    if fetched == 0 and not allow_empty:
-        raise EmptyBatch("No data returned: the batch is empty")
+    if fetched == 0:
+        if not allow_empty:
+            raise EmptyBatch("No data returned: the batch is empty")
+        return UpsertResult(path, 0, 0, 0)     # nothing to do: quit quietly
     lows = [r[2] for r in per_part if r[2] is not None]
     highs = [r[3] for r in per_part if r[3] is not None]
     cols = [c for c in staged.columns]

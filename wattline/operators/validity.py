@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..schemas import FAR_FUTURE
 from ..session import materialise as write_and_read
 
-DEFAULT_BROADCAST_ROWS = 500_000
+DEFAULT_BROADCAST_ROWS = 200_000   # ~10 MB of exploded window rows, Spark's own default scale
 _B = "__vb_bucket"
 _W = "__w_"
 

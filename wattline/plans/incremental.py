@@ -64,6 +64,12 @@ def incremental_fact(spark: SparkSession, path: str, consumption: DataFrame, agr
     if hwm is _UNSET:
         hwm = None if full_refresh else high_water_mark(spark, path)
     batch = lookback_filter(consumption, hwm, lookback_days)
+    if hwm is not None:
+        # Windows that end before the lookback cannot match a repriced point;
+        # dropping them keeps a daily run from rewriting years of rates.
+        lo = F.lit(hwm - dt.timedelta(days=lookback_days))
+        agreements = agreements.filter(F.col("valid_to_utc") > lo)
+        tariffs = tariffs.filter(F.col("valid_to_utc") > lo)
     fact = price_intervals(batch, agreements, tariffs)
     return write_fact(spark, path, fact, full_refresh=full_refresh or hwm is None)
 
