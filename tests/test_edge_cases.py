@@ -315,3 +315,36 @@ def test_incremental_run_prunes_bronze_partitions(spark, tmp_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and ">= 2024-01-08" in plan
     assert df.count() == 1
+
+
+def test_pipeline_stops_at_first_failure(spark, tmp_dir):
+    from wattline.operators.upsert import EmptyBatch
+    from wattline.plans import pipeline
+    from wattline.schemas import AGREEMENTS, TARIFFS
+    lk = pipeline.Lake(tmp_dir)
+    empty_agreements = spark.createDataFrame([], AGREEMENTS).drop("ingestion_ts")
+    tariffs = spark.createDataFrame([], TARIFFS).drop("ingestion_ts")
+    usage = _points(spark, ["2024-01-01 00:00:00"]).withColumn("interval_start_uk", F.col("interval_start_utc"))
+    with pytest.raises(EmptyBatch):
+        pipeline.run(spark, lk, empty_agreements, tariffs, usage)
+    rows = spark.read.parquet(lk.audit).collect()
+    assert [(r.source, r.status) for r in rows] == [("agreements_feed", "FAILED")]
+    assert not incremental.high_water_mark(spark, lk.consumption)
+
+
+def test_materialize_model_forms(spark, tmp_dir):
+    from wattline.plans import pipeline
+    df = _points(spark, ["2024-01-01 00:00:00", "2024-01-01 00:30:00"])
+    assert pipeline.materialize_model(spark, df, "wl_view").count() == 2
+    assert spark.sql("SELECT count(*) AS n FROM wl_view").first().n == 2
+    assert pipeline.materialize_model(spark, df, "wl_table", "table", path=f"{tmp_dir}/t").count() == 2
+    inc = pipeline.materialize_model(spark, df, "wl_inc", "incremental", path=f"{tmp_dir}/i",
+                                     unique_key=["interval_start_utc"], partition_col="day",
+                                     partition_expr=F.to_date("interval_start_utc"))
+    assert inc.count() == 2
+    again = pipeline.materialize_model(spark, df, "wl_inc", "incremental", path=f"{tmp_dir}/i",
+                                       unique_key=["interval_start_utc"], partition_col="day",
+                                       partition_expr=F.to_date("interval_start_utc"))
+    assert again.count() == 2
+    with pytest.raises(ValueError):
+        pipeline.materialize_model(spark, df, "x", "ephemeral")
