@@ -757,3 +757,23 @@ def pipeline_run(spark, sf_dir):
                        tables.tariffs_raw(spark, sf_dir).drop("ingestion_ts"), consumption,
                        export_root=lk.path("lake"))
     return out["daily"]
+
+
+# --------------------------------------------------------------------------
+# The same models as Spark SQL text over temp views
+# --------------------------------------------------------------------------
+
+def _sql_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from .plans import sql_models
+    return sql_models.build(spark, tables.consumption_raw(spark, sf_dir), tables.agreements_raw(spark, sf_dir),
+                            tables.tariffs_raw(spark, sf_dir), tie_break="version")
+
+
+@register("fct_cost_sql", oracle("SELECT * FROM fct"))
+def fct_cost_sql(spark, sf_dir):
+    return _sql_models(spark, sf_dir)["fct_energy_cost"]
+
+
+@register("daily_energy_sql", oracle("SELECT * FROM daily"))
+def daily_energy_sql(spark, sf_dir):
+    return _sql_models(spark, sf_dir)["agg_daily_energy"]
