@@ -348,3 +348,11 @@ def test_materialize_model_forms(spark, tmp_dir):
     assert again.count() == 2
     with pytest.raises(ValueError):
         pipeline.materialize_model(spark, df, "x", "ephemeral")
+
+
+def test_sql_functions(spark):
+    from wattline.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    r = spark.sql("SELECT far_future_timestamp() AS f, product_code('E-1R-INTELLI-VAR-22-10-14-A') AS p,"
+                  " product_code('E-1R-A') AS q").first()
+    assert r.f == ts("9999-12-31 00:00:00") and r.p == "INTELLI-VAR-22-10-14" and r.q == ""

@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.sql import register_sql_functions
 from ..operators.validity import DEFAULT_BROADCAST_ROWS, bounded
 from ..session import materialise
 
@@ -26,9 +27,9 @@ SELECT interval_start_utc, interval_start_uk, kwh FROM (
 
 STG_WINDOWS = """
 SELECT tariff_code, valid_from_utc,
-       coalesce(valid_to_utc, TIMESTAMP_NTZ '9999-12-31 00:00:00') AS valid_to_utc,
+       coalesce(valid_to_utc, far_future_timestamp()) AS valid_to_utc,
        valid_from_uk,
-       coalesce(valid_to_uk, TIMESTAMP_NTZ '9999-12-31 00:00:00') AS valid_to_uk{extra}
+       coalesce(valid_to_uk, far_future_timestamp()) AS valid_to_uk{extra}
 FROM {raw}
 """
 
@@ -45,7 +46,7 @@ WHERE valid_from_utc < valid_to_utc
 
 HORIZON = """
 SELECT max(greatest(valid_from_utc,
-       CASE WHEN valid_to_utc < TIMESTAMP_NTZ '9999-12-31 00:00:00' THEN valid_to_utc END)) AS h
+       CASE WHEN valid_to_utc < far_future_timestamp() THEN valid_to_utc END)) AS h
 FROM {windows}
 """
 
@@ -90,6 +91,7 @@ def build(spark: SparkSession, raw_consumption: DataFrame, raw_agreements: DataF
           raw_tariffs: DataFrame, tie_break: str = "ingestion_ts",
           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> dict[str, DataFrame]:
     """Register the bronze frames as views and run the models; returns every model by name."""
+    register_sql_functions(spark)
     tag = uuid.uuid4().hex[:8]
     name = {m: f"{m}_{tag}" for m in ("raw_consumption", "raw_agreements", "raw_tariffs",
                                       "stg_consumption", "stg_agreements", "stg_tariffs",
