@@ -356,3 +356,28 @@ def test_sql_functions(spark):
     r = spark.sql("SELECT far_future_timestamp() AS f, product_code('E-1R-INTELLI-VAR-22-10-14-A') AS p,"
                   " product_code('E-1R-A') AS q").first()
     assert r.f == ts("9999-12-31 00:00:00") and r.p == "INTELLI-VAR-22-10-14" and r.q == ""
+
+
+def test_monthly_usage_uses_the_uk_month(spark):
+    from wattline.operators import rollups
+    df = _points(spark, ["2024-06-30 23:30:00", "2024-06-30 22:30:00"]).withColumn(
+        "interval_start_uk", to_uk_wall_clock("interval_start_utc"))
+    got = {r.month.isoformat(): r.kwh for r in rollups.monthly_usage(df).collect()}
+    assert got == {"2024-07-01": 1.0, "2024-06-01": 1.0}
+
+
+def test_hot_key_series_work_is_split_by_bucket(spark):
+    # One key holds every row: the lead must still be partitioned by (key, bucket).
+    pts = spark.range(2000).select((F.col("id") % 1 + 7).alias("k"),
+                                   F.timestamp_add("MINUTE", F.col("id") * 30,
+                                                   F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("at"))
+    out = next_in_order(pts, ["k"], ["at"], ["at"], bucket=F.date_trunc("DAY", "at"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k#" in plan
+    assert any("hashpartitioning(k#" in line and "__nio_bucket" in line for line in plan.splitlines())
+    inner = [line for line in plan.splitlines() if "Window [lead" in line]
+    assert inner and all("__nio_bucket" in line for line in inner)
+    rows = out.orderBy("at").collect()
+    assert rows[0].next_at == ts("2024-01-01 00:30:00") and rows[-1].next_at is None
+    assert sum(1 for r in rows if r.next_at is not None
+               and (r.next_at - r.at) != dt.timedelta(minutes=30)) == 0
