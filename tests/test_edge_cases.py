@@ -381,3 +381,10 @@ def test_hot_key_series_work_is_split_by_bucket(spark):
     assert rows[0].next_at == ts("2024-01-01 00:30:00") and rows[-1].next_at is None
     assert sum(1 for r in rows if r.next_at is not None
                and (r.next_at - r.at) != dt.timedelta(minutes=30)) == 0
+
+
+def test_salted_asof_equals_range(spark):
+    windows = staging.fill_open_ends(_random_windows(spark, overlap=False, seed=31), ["valid_to"])
+    points = _random_points(spark, seed=32)
+    got = validity.asof_join(points, windows, "at", "valid_from", "valid_to", on=["k"], salt=7)
+    assert _pairs(got) == _pairs(_brute(spark, points, windows))

@@ -143,12 +143,15 @@ def range_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str,
 
 
 def asof_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str, valid_to: str,
-              on: Sequence[str] = (), unit: str = "auto") -> DataFrame:
+              on: Sequence[str] = (), unit: str = "auto", salt: int = 1) -> DataFrame:
     """Left as-of join: the window with the latest start ``<= at``, kept if ``at < valid_to``.
 
     Equals ``range_join`` when windows of a key do not overlap (check with
     ``quality.overlapping_windows``); overlapping windows are not fanned out.
-    Works inside (keys, bucket) partitions, so no key needs one task.
+    Works inside (keys, bucket) partitions, so no key needs one task. With
+    ``salt > 1`` a hot (key, bucket) is split further: every window marker is
+    copied into each salt partition (markers are few), and each point takes a
+    salt from a hash of its own columns, so a retried task splits the same way.
     """
     payload = [c for c in windows.columns if c not in (*on, valid_from, valid_to)]
     windows = materialise(windows.select(*on, valid_from, valid_to, *payload))
@@ -158,17 +161,20 @@ def asof_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str, v
     mark = "__asof_mark"
     hit = "__asof_hit"
     kind = "__asof_kind"
+    salt_col = "__asof_salt"
     markers = w.select(*on, _B,
+                       F.explode(F.sequence(F.lit(0), F.lit(max(salt, 1) - 1))).alias(salt_col),
                        F.greatest(F.col(valid_from), F.col(_B)).alias(mark),
                        F.lit(0).alias(kind),
                        F.struct(valid_from, valid_to, *payload).alias(hit))
     pts = points.select(*on, _point_bucket(at, unit, horizon).alias(_B),
+                        F.pmod(F.xxhash64(*points.columns), F.lit(max(salt, 1))).cast("int").alias(salt_col),
                         F.col(at).alias(mark), F.lit(1).alias(kind),
                         F.lit(None).cast(markers.schema[hit].dataType).alias(hit),
                         F.struct(*points.columns).alias("__asof_point"))
     markers = markers.withColumn("__asof_point", F.lit(None).cast(pts.schema["__asof_point"].dataType))
     both = pts.unionByName(markers)
-    win = (Window.partitionBy(*on, _B).orderBy(F.col(mark).asc_nulls_first(), F.col(kind))
+    win = (Window.partitionBy(*on, _B, salt_col).orderBy(F.col(mark).asc_nulls_first(), F.col(kind))
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     found = both.withColumn(hit, F.last(hit, ignorenulls=True).over(win)).filter(F.col(kind) == 1)
     inside = (F.col(f"{hit}.{valid_from}") <= F.col(mark)) & (F.col(mark) < F.col(f"{hit}.{valid_to}"))
