@@ -7,7 +7,6 @@ naive UK wall clock), so the session time zone is pinned to UTC: casts between
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,15 +70,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/wattline/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few places that need an OS path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def materialise(df, name: str = "stage"):
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
