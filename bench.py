@@ -52,20 +52,28 @@ def main() -> None:
 
     times: dict[str, float] = {}
     rows: dict[str, int] = {}
+    errors: dict[str, str] = {}
     for name in names:
         t0 = time.perf_counter()
-        df = QUERIES[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
+        try:
+            df = QUERIES[name](spark, sf_dir)
+            df.write.format("noop").mode("overwrite").save()
+        except Exception as exc:  # keep the JSON line; report the failure
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            continue
         times[name] = round(time.perf_counter() - t0, 3)
-    for name in names:
-        rows[name] = QUERIES[name](spark, sf_dir).count() if os.environ.get("BENCH_ROWS") else -1
+    if os.environ.get("BENCH_ROWS"):
+        for name in times:
+            rows[name] = QUERIES[name](spark, sf_dir).count()
 
     sf = Path(sf_dir).name.replace("sf", "")
     out = {"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
            "cpus": int(cpus), "spark": spark.version}
-    if os.environ.get("BENCH_ROWS"):
+    if rows:
         out["rows"] = rows
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
 
 
