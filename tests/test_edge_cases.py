@@ -388,3 +388,13 @@ def test_salted_asof_equals_range(spark):
     points = _random_points(spark, seed=32)
     got = validity.asof_join(points, windows, "at", "valid_from", "valid_to", on=["k"], salt=7)
     assert _pairs(got) == _pairs(_brute(spark, points, windows))
+
+
+def test_size_shuffles(spark):
+    from wattline.session import size_shuffles
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 100 * 1024 ** 4) == 204_800
+        assert size_shuffles(spark, 1024) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -55,6 +55,22 @@ def get_session(master: str | None = None, app_name: str = "wattline",
     return configure(spark)
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 512 << 20,
+                  max_partitions: int = 400_000) -> int:
+    """Size the initial shuffle so no post-shuffle partition exceeds the target.
+
+    AQE then coalesces partitions that come out small and splits skewed
+    ones, so aim high: 100 TB at 512 MB gives about 200,000 partitions.
+    Scan splits stay at 128 MB (``spark.sql.files.maxPartitionBytes``).
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n = max(cores, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_partition_bytes, 256 << 20)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+    return n
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
