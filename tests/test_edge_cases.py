@@ -398,3 +398,22 @@ def test_size_shuffles(spark):
         assert size_shuffles(spark, 1024) == spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_stream_keeps_newest_version_out_of_order(spark, tmp_dir):
+    from wattline.streaming.stream import stream_upsert
+    schema = T.StructType([T.StructField("interval_start_utc", NTZ), T.StructField("kwh", T.DoubleType()),
+                           T.StructField("ingestion_ts", NTZ)])
+    t0 = ts("2024-01-01 00:00:00")
+    newer = spark.createDataFrame([(t0, 2.0, ts("2024-01-02 00:00:00"))], schema)
+    older = spark.createDataFrame([(t0, 1.0, ts("2024-01-01 12:00:00")),
+                                   (ts("2024-01-01 00:30:00"), 5.0, ts("2024-01-01 12:00:00"))], schema)
+    newer.coalesce(1).write.parquet(f"{tmp_dir}/landed/a")   # arrives first
+    older.coalesce(1).write.parquet(f"{tmp_dir}/landed/b")   # older versions arrive later
+    src = f"{tmp_dir}/landed/*"
+    for attempt in ("x", "y"):
+        stream_upsert(spark, src, schema, f"{tmp_dir}/table", f"{tmp_dir}/ckpt-{attempt}",
+                      keys=["interval_start_utc"], version=["ingestion_ts"], partition_col="day",
+                      partition_expr=F.to_date("interval_start_utc"), max_files_per_trigger=1)
+    got = {r.interval_start_utc: r.kwh for r in spark.read.parquet(f"{tmp_dir}/table").collect()}
+    assert got == {t0: 2.0, ts("2024-01-01 00:30:00"): 5.0}
