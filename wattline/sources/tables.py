@@ -16,13 +16,13 @@ from ..operators.series import next_in_order
 NATION_COUNT = 25  # TPC-H nation table: keys 0..24
 
 
-_READS: dict[tuple[str, str], DataFrame] = {}
+_READS: dict[tuple[int, str, str], DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; the (immutable) DataFrame is reused within one application."""
+    """A driver table; the (immutable) DataFrame is reused within one session."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (id(spark), spark.sparkContext.applicationId, path)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]
