@@ -58,7 +58,12 @@ def missing_intervals(df: DataFrame, ts: str = "interval_start_utc", keys: Seque
 
 
 def missing_by_gap(df: DataFrame, ts: str = "interval_start_utc", keys: Sequence[str] = ()) -> DataFrame:
-    """Same answer from gaps between neighbours: only the holes are generated."""
+    """Same answer from gaps between neighbours: only the holes are generated.
+
+    Equal to ``missing_intervals`` when timestamps lie on the series grid (as
+    floored half-hour slots do); an off-grid reading anchors its own holes.
+    ``missing_by_mask`` is exact in both cases.
+    """
     keys = list(keys)
     # Duplicate timestamps give a zero gap, so no distinct (and no shuffle) is needed.
     pts = df.select(*keys, ts).filter(F.col(ts).isNotNull())

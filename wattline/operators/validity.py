@@ -5,7 +5,8 @@
 ``asof_join``   — the same result for non-overlapping windows, computed with
                   a running ``last`` instead of a join.
 
-Both split time into buckets (a day by default) and join on (keys, bucket):
+Both split time into buckets (``unit="auto"`` picks hour … year from the mean
+window length) and work on (keys, bucket):
 a plain range predicate with no equality would be planned as a nested-loop
 join. Each window is exploded into the buckets it covers. Open-ended windows
 stop at the largest finite instant of the window table (``horizon``); points
@@ -93,7 +94,7 @@ def _point_bucket(at: str, unit: str, horizon: Column) -> Column:
 def materialise(df: DataFrame) -> DataFrame:
     """Write the (window) side once to the shared checkpoint folder.
 
-    The horizon subquery, the size check and the join then all read the
+    The window statistics, the size check and the join then all read the
     written copy instead of recomputing the window pipeline, and lineage is
     cut, so a lost executor does not force a rebuild of it.
     """
@@ -112,8 +113,8 @@ def range_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str,
 
     Output: every point column, then every window column except the keys and
     the two bounds. Windows are broadcast only when their exploded form has at
-    most ``broadcast_rows`` rows; otherwise both sides shuffle on
-    (keys, bucket) and AQE splits skewed buckets.
+    most ``broadcast_rows`` rows (``None``: never); otherwise both sides
+    shuffle on (keys, bucket) and AQE splits skewed buckets.
     """
     if how not in ("left", "inner"):
         raise ValueError("range_join supports how='left' or 'inner'")
