@@ -87,9 +87,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root for one run."""
+    """A fresh, unique folder for one intermediate table.
+
+    Everything of one application sits under
+    ``<spark.checkpoint.dir>/wattline/<applicationId>/`` (see ``run_scratch``),
+    so a finished run's intermediates are removed by deleting one folder, or
+    by a retention rule on the shared folder.
+    """
+    return f"{run_scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def run_scratch(spark: SparkSession) -> str:
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/wattline/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{root}/wattline/{spark.sparkContext.applicationId}"
 
 
 def materialise(df, name: str = "stage"):
