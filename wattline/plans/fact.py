@@ -15,8 +15,10 @@ from ..operators.validity import DEFAULT_BROADCAST_ROWS
 from ..sources import tables
 
 
-def silver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    consumption = staging.stg_consumption(tables.consumption_raw(spark, sf_dir), tie_break=["version"])
+def silver(spark: SparkSession, sf_dir: str,
+           cluster_by_time: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    consumption = staging.stg_consumption(tables.consumption_raw(spark, sf_dir), tie_break=["version"],
+                                          cluster_by_time=cluster_by_time)
     agreements = staging.stg_agreements(tables.agreements_raw(spark, sf_dir))
     tariffs = staging.stg_tariffs(tables.tariffs_raw(spark, sf_dir))
     return consumption, agreements, tariffs
@@ -29,8 +31,8 @@ def fct_energy_cost(consumption: DataFrame, agreements: DataFrame, tariffs: Data
                                    broadcast_rows=broadcast_rows)
 
 
-def fact_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fct_energy_cost(*silver(spark, sf_dir))
+def fact_from_tables(spark: SparkSession, sf_dir: str, cluster_by_time: bool = False) -> DataFrame:
+    return fct_energy_cost(*silver(spark, sf_dir, cluster_by_time=cluster_by_time))
 
 
 def daily_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,11 +37,20 @@ def lookback_filter(consumption: DataFrame, hwm: dt.datetime | None, days: int =
     return consumption.filter(cond)
 
 
-def write_fact(spark: SparkSession, path: str, fact: DataFrame, full_refresh: bool = False) -> UpsertResult:
+def write_fact(spark: SparkSession, path: str, fact: DataFrame, full_refresh: bool = False,
+               time_clustered: bool = False) -> UpsertResult:
+    """Write the fact by UTC day. A full refresh rewrites everything; otherwise keyed upsert.
+
+    ``time_clustered`` says the rows already arrive grouped by time (see
+    ``staging.stg_consumption(cluster_by_time=True)``), so no rebalance shuffle
+    is needed to keep files per day few.
+    """
     day = F.to_date("interval_start_utc")
     if full_refresh:
         out = fact.withColumn(FACT_PARTITION, day)
-        (out.hint("rebalance", FACT_PARTITION).write.mode("overwrite")
+        if not time_clustered:
+            out = out.hint("rebalance", FACT_PARTITION)
+        (out.write.mode("overwrite")
          .option("partitionOverwriteMode", "static").partitionBy(FACT_PARTITION).parquet(path))
         n = spark.read.parquet(path).count()
         return UpsertResult(path, n, n, -1)

@@ -159,7 +159,8 @@ def gold_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _GOLD:
         path = scratch_path(spark, "gold-fct")
-        incremental.write_fact(spark, path, fact_plan.fact_from_tables(spark, sf_dir), full_refresh=True)
+        incremental.write_fact(spark, path, fact_plan.fact_from_tables(spark, sf_dir, cluster_by_time=True),
+                               full_refresh=True, time_clustered=True)
         _GOLD[key] = path
     return incremental.read_fact(spark, _GOLD[key])
 

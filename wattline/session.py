@@ -74,16 +74,17 @@ def size_shuffles(spark: SparkSession, input_bytes: int, target_partition_bytes:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder created
-    and registered, so ``DataFrame.checkpoint()`` works everywhere.
+    Read from the session. Only when it is unset (local tests) is a private
+    folder created and registered, once, so ``DataFrame.checkpoint()`` and the
+    library's written intermediates work everywhere.
     """
-    root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="wattline-ckpt-")
-    spark.sparkContext.setCheckpointDir(root)
-    return spark.sparkContext.getCheckpointDir() or root
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wattline-ckpt-")
+    sc.setCheckpointDir(root)
+    return sc.getCheckpointDir() or root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
