@@ -63,7 +63,7 @@ _UNSET = object()
 
 def incremental_fact(spark: SparkSession, path: str, consumption: DataFrame, agreements: DataFrame,
                      tariffs: DataFrame, lookback_days: int = LOOKBACK_DAYS,
-                     full_refresh: bool = False, hwm=_UNSET) -> UpsertResult:
+                     full_refresh: bool = False, hwm=_UNSET, time_clustered: bool = False) -> UpsertResult:
     """Reprice the last ``lookback_days`` (or everything) and replace those keys.
 
     Rows older than the lookback are kept as stored, so a late correction older
@@ -80,7 +80,8 @@ def incremental_fact(spark: SparkSession, path: str, consumption: DataFrame, agr
         agreements = agreements.filter(F.col("valid_to_utc") > lo)
         tariffs = tariffs.filter(F.col("valid_to_utc") > lo)
     fact = price_intervals(batch, agreements, tariffs)
-    return write_fact(spark, path, fact, full_refresh=full_refresh or hwm is None)
+    return write_fact(spark, path, fact, full_refresh=full_refresh or hwm is None,
+                      time_clustered=time_clustered)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:

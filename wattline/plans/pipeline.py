@@ -84,11 +84,14 @@ def build_models(spark: SparkSession, lk: Lake, lookback_days: int = 1,
     # key shares its day, so pruning before the dedupe changes nothing.
     bronze = incremental.lookback_filter(spark.read.parquet(lk.consumption), hwm, lookback_days,
                                          day_col="day").drop("day")
-    consumption = staging.stg_consumption(bronze)
+    full = hwm is None
+    # A full build range-partitions on time: one shuffle for dedupe, joins and the write.
+    consumption = staging.stg_consumption(bronze, cluster_by_time=full)
     agreements = staging.stg_agreements(spark.read.parquet(lk.agreements).drop("code"))
     tariffs = staging.stg_tariffs(spark.read.parquet(lk.tariffs).drop("code"))
     incremental.incremental_fact(spark, lk.fact, consumption, agreements, tariffs,
-                                 lookback_days=lookback_days, full_refresh=full_refresh, hwm=hwm)
+                                 lookback_days=lookback_days, full_refresh=full_refresh, hwm=hwm,
+                                 time_clustered=full)
     fact = incremental.read_fact(spark, lk.fact)
     rollups.daily_energy(fact).write.mode("overwrite").parquet(lk.daily)
     return fact, spark.read.parquet(lk.daily)
