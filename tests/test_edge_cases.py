@@ -417,3 +417,19 @@ def test_stream_keeps_newest_version_out_of_order(spark, tmp_dir):
                       partition_expr=F.to_date("interval_start_utc"), max_files_per_trigger=1)
     got = {r.interval_start_utc: r.kwh for r in spark.read.parquet(f"{tmp_dir}/table").collect()}
     assert got == {t0: 2.0, ts("2024-01-01 00:30:00"): 5.0}
+
+
+def test_stream_processing_time_mode(spark, tmp_dir):
+    from wattline.streaming.stream import stream_upsert
+    schema = T.StructType([T.StructField("interval_start_utc", NTZ), T.StructField("kwh", T.DoubleType()),
+                           T.StructField("ingestion_ts", NTZ)])
+    spark.createDataFrame([(ts("2024-01-01 00:00:00"), 3.0, ts("2024-01-02 00:00:00"))], schema) \
+        .write.parquet(f"{tmp_dir}/landed/a")
+    q = stream_upsert(spark, f"{tmp_dir}/landed/*", schema, f"{tmp_dir}/table", f"{tmp_dir}/ckpt",
+                      keys=["interval_start_utc"], version=["ingestion_ts"], partition_col="day",
+                      partition_expr=F.to_date("interval_start_utc"), processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{tmp_dir}/table").first().kwh == 3.0

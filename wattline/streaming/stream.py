@@ -19,20 +19,29 @@ from ..operators.upsert import upsert
 
 def stream_upsert(spark: SparkSession, source_path: str, schema: T.StructType, target_path: str,
                   checkpoint_location: str, keys: Sequence[str], version: Sequence[str],
-                  partition_col: str, partition_expr: Column, max_files_per_trigger: int = 1) -> None:
+                  partition_col: str, partition_expr: Column, max_files_per_trigger: int = 1,
+                  processing_time: str | None = None):
+    """Run the keyed-upsert stream.
+
+    By default ``availableNow``: drain what has landed, stop, and return
+    ``None`` (a scheduled run). With ``processing_time`` (e.g. ``"5 minutes"``)
+    the query keeps running and its handle is returned.
+    """
     def merge(batch: DataFrame, epoch_id: int) -> None:
         if not batch.isEmpty():
             upsert(batch.sparkSession, target_path, batch, keys, partition_col, partition_expr,
                    version=version)
 
-    query = (spark.readStream.schema(schema)
-             .option("maxFilesPerTrigger", max_files_per_trigger)
-             .parquet(source_path)
-             .writeStream
-             .foreachBatch(merge)
-             .option("checkpointLocation", checkpoint_location)
-             .trigger(availableNow=True)
-             .start())
+    writer = (spark.readStream.schema(schema)
+              .option("maxFilesPerTrigger", max_files_per_trigger)
+              .parquet(source_path)
+              .writeStream
+              .foreachBatch(merge)
+              .option("checkpointLocation", checkpoint_location))
+    if processing_time:
+        return writer.trigger(processingTime=processing_time).start()
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    return None
