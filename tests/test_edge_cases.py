@@ -433,3 +433,43 @@ def test_stream_processing_time_mode(spark, tmp_dir):
     finally:
         q.stop()
     assert spark.read.parquet(f"{tmp_dir}/table").first().kwh == 3.0
+
+
+def test_per_meter_agreements_equal_brute_force(spark):
+    rnd = random.Random(41)
+    base = ts("2024-01-01 00:00:00")
+    agreements, t = [], {}
+    for m in range(5):
+        start = base - dt.timedelta(days=rnd.randint(0, 3))
+        for j in range(4):
+            end = start + dt.timedelta(hours=rnd.randint(6, 60))
+            agreements.append((m, f"CODE-{(m + j) % 3}", start, None if j == 3 else end))
+            start = end
+    a = staging.fill_open_ends(spark.createDataFrame(
+        agreements, "meter_id int, tariff_code string, valid_from_utc timestamp_ntz, valid_to_utc timestamp_ntz"),
+        ["valid_to_utc"])
+    rates = [(f"CODE-{c}", base - dt.timedelta(days=5) + dt.timedelta(hours=8 * k),
+              base - dt.timedelta(days=5) + dt.timedelta(hours=8 * (k + 1)), float(c + k)) for c in range(3)
+             for k in range(40)]
+    r = spark.createDataFrame(rates, "tariff_code string, valid_from_utc timestamp_ntz, "
+                                     "valid_to_utc timestamp_ntz, unit_rate double")
+    readings = [(m, base + dt.timedelta(minutes=30 * rnd.randint(-60, 48 * 6)), 1.0 + m) for m in range(5)
+                for _ in range(60)]
+    c = (spark.createDataFrame(readings, "meter_id int, interval_start_utc timestamp_ntz, kwh double")
+         .dropDuplicates(["meter_id", "interval_start_utc"])
+         .withColumn("interval_start_uk", to_uk_wall_clock("interval_start_utc")))
+    for rows in (None, 10_000):
+        got = pricing.price_intervals(c, a, r, meter_keys=["meter_id"], agreement_keys=["meter_id"],
+                                      broadcast_rows=rows)
+        c.createOrReplaceTempView("pm_c")
+        a.createOrReplaceTempView("pm_a")
+        r.createOrReplaceTempView("pm_r")
+        want = spark.sql(
+            "SELECT c.meter_id, c.interval_start_utc, a.tariff_code, t.unit_rate FROM pm_c c"
+            " LEFT JOIN pm_a a ON c.meter_id = a.meter_id AND c.interval_start_utc >= a.valid_from_utc"
+            " AND c.interval_start_utc < a.valid_to_utc"
+            " LEFT JOIN pm_r t ON a.tariff_code = t.tariff_code AND c.interval_start_utc >= t.valid_from_utc"
+            " AND c.interval_start_utc < t.valid_to_utc")
+        key = lambda df: sorted(tuple(x) for x in df.select("meter_id", "interval_start_utc", "tariff_code",
+                                                             "unit_rate").collect())
+        assert key(got) == key(want)
