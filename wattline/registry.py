@@ -264,9 +264,19 @@ def uk_wall_clock(spark, sf_dir):
     return o.select("o_orderkey", to_uk_wall_clock(shifted).alias("uk"))
 
 
-@register("open_ended_windows", oracle("SELECT * FROM stg_agreements"))
+@register("open_ended_windows", oracle(
+    "SELECT tariff_code AS window_key, valid_from_utc, valid_to_utc FROM stg_agreements"
+    " UNION ALL SELECT 'customer-' || CAST(o_custkey AS VARCHAR), valid_from,"
+    " coalesce(valid_to, TIMESTAMP '9999-12-31 00:00:00') FROM order_windows"))
 def open_ended_windows(spark, sf_dir):
-    return staging.stg_agreements(tables.agreements_raw(spark, sf_dir))
+    """Open ends filled on every validity table: agreements and per-customer order windows."""
+    from .functions.time import fill_open_end
+    agreements = staging.stg_agreements(tables.agreements_raw(spark, sf_dir)).select(
+        F.col("tariff_code").alias("window_key"), "valid_from_utc", "valid_to_utc")
+    orders = tables.order_windows(spark, sf_dir).select(
+        F.concat(F.lit("customer-"), F.col("o_custkey").cast("string")).alias("window_key"),
+        F.col("valid_from").alias("valid_from_utc"), fill_open_end("valid_to").alias("valid_to_utc"))
+    return agreements.unionByName(orders)
 
 
 @register("open_ended_rates", oracle("SELECT * FROM stg_tariffs"))
