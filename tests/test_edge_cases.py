@@ -473,3 +473,13 @@ def test_per_meter_agreements_equal_brute_force(spark):
         key = lambda df: sorted(tuple(x) for x in df.select("meter_id", "interval_start_utc", "tariff_code",
                                                              "unit_rate").collect())
         assert key(got) == key(want)
+
+
+def test_upsert_numeric_looking_partition_values(spark, tmp_dir):
+    from wattline.operators.upsert import upsert
+    df = spark.createDataFrame([("007", 1.0), ("12", 2.0)], "code string, v double")
+    upsert(spark, tmp_dir, df, ["code"], "p", F.col("code"))
+    upsert(spark, tmp_dir, spark.createDataFrame([("007", 5.0)], "code string, v double"), ["code"], "p",
+           F.col("code"))
+    got = {r.code: r.v for r in spark.read.parquet(tmp_dir).select("code", "v").collect()}
+    assert got == {"007": 5.0, "12": 2.0}

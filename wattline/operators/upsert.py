@@ -75,7 +75,10 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
     cols = [c for c in staged.columns]
 
     if table_exists(spark, path) and touched:
-        current = spark.read.parquet(path).filter(F.col(partition_col).isin(touched)).select(*cols)
+        # Read with the batch's schema: partition values keep their type (a code
+        # that looks numeric stays a string) and the union lines up.
+        current = (spark.read.schema(staged.schema).parquet(path)
+                   .filter(F.col(partition_col).isin(touched)).select(*cols))
         before = current.count()
         if version:
             merged = latest_per_key(current.unionByName(staged), keys, list(version))
