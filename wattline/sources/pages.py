@@ -8,7 +8,7 @@ The page number comes from the ``page=N`` folder the page was landed in, so
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.codes import product_code
 from ..functions.time import iso_z, month_start, parse_instant, to_uk_wall_clock
@@ -117,12 +117,11 @@ def land_rate_pages(tariffs: DataFrame, path: str, page_size: int = PAGE_SIZE) -
     """Rates per tariff code folder, ``valid_to`` NULL for the open end."""
     entry = F.struct(iso_z("valid_from_utc").alias("valid_from"), iso_z("valid_to_utc").alias("valid_to"),
                      F.col("unit_rate").alias("value_inc_vat"))
-    # Rates of one code are bounded by time (at most one per half hour), so a
-    # per-code numbering window stays small.
-    pos = F.row_number().over(Window.partitionBy("tariff_code").orderBy("valid_from_utc")) - 1
-    rows = (tariffs.select("tariff_code", "valid_from_utc", entry.alias("entry"))
-            .withColumn("__pos", pos)
-            .withColumn("page", (F.col("__pos") / page_size).cast("bigint")))
+    # A page covers ``page_size`` half hours; a code has at most one rate per
+    # half hour, so a page holds at most ``page_size`` rates. No window needed.
+    secs = F.unix_seconds(F.col("valid_from_utc").cast("timestamp"))
+    rows = tariffs.select("tariff_code", secs.alias("__pos"),
+                          F.floor(secs / (page_size * 1800)).alias("page"), entry.alias("entry"))
     return _land(rows, "__pos", path, ["tariff_code", "page"], page_size)
 
 
