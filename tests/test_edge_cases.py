@@ -483,3 +483,22 @@ def test_upsert_numeric_looking_partition_values(spark, tmp_dir):
            F.col("code"))
     got = {r.code: r.v for r in spark.read.parquet(tmp_dir).select("code", "v").collect()}
     assert got == {"007": 5.0, "12": 2.0}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_casts_fail_whatever_ansi(spark, ansi):
+    from wattline.functions import strict_double
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        good = spark.createDataFrame([("1.5",), (None,)], "v string")
+        assert [r.d for r in good.select(strict_double("v").alias("d")).collect()] == [1.5, None]
+        df = spark.createDataFrame([("1.5",), (None,), ("x1",)], "v string")
+        with pytest.raises(Exception, match="not a number"):
+            df.select(strict_double("v")).collect()
+        with pytest.raises(Exception, match="ISO-8601"):
+            df.select(parse_instant("v")).collect()
+        ok = spark.createDataFrame([("2024-01-01T00:00:00+01:00",), (None,)], "v string")
+        assert [r.t for r in ok.select(parse_instant("v").alias("t")).collect()] == [ts("2023-12-31 23:00:00"), None]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

@@ -25,3 +25,12 @@ def exact_avg(col: Column | str) -> Column:
     c = _c(col)
     n = F.count(c)
     return F.when(n > 0, exact_sum(c) / n)
+
+
+def strict_double(col: Column | str) -> Column:
+    """Cast to double; a non-NULL value that is not a number fails the job
+    (whatever the session's ANSI setting), so a bad load is never half right."""
+    c = _c(col)
+    x = c.try_cast("double")
+    return F.when(c.isNotNull() & x.isNull(),
+                  F.raise_error(F.concat(F.lit("not a number: "), c.cast("string")))).otherwise(x)

@@ -14,10 +14,14 @@ def _c(col: Column | str) -> Column:
 def parse_instant(col: Column | str) -> Column:
     """ISO-8601 text with any offset (``Z``, ``+01:00``) → UTC ``timestamp_ntz``.
 
-    NULL stays NULL; malformed text fails the job under ANSI mode, as a
-    strict loader should. The session zone is UTC, so the NTZ cast is exact.
+    NULL stays NULL; malformed text fails the job whatever the ANSI setting,
+    as a strict loader should. The session zone is UTC, so the NTZ cast is exact.
     """
-    return _c(col).cast("timestamp").cast("timestamp_ntz")
+    c = _c(col)
+    parsed = c.try_cast("timestamp")
+    return (F.when(c.isNotNull() & parsed.isNull(),
+                   F.raise_error(F.concat(F.lit("not an ISO-8601 instant: "), c.cast("string"))))
+            .otherwise(parsed).cast("timestamp_ntz"))
 
 
 def to_uk_wall_clock(col: Column | str) -> Column:

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.money import strict_double
 from ..operators import quality, rollups, staging
 from ..operators.upsert import upsert
 from . import audit, incremental, lake
@@ -58,7 +59,7 @@ def load_usage(spark: SparkSession, lk: Lake, batch: DataFrame, arrival=(), now=
     """Upsert readings by ``interval_start_utc`` into day partitions, audited."""
     def run():
         b = _stamp(batch.select("interval_start_utc", "interval_start_uk",
-                                F.col("kwh").cast("double").alias("kwh"), *arrival), now)
+                                strict_double("kwh").alias("kwh"), *arrival), now)
         res = upsert(spark, lk.consumption, b, ["interval_start_utc"], "day",
                      F.to_date("interval_start_utc"), arrival=list(arrival), allow_empty=False)
         return res.rows_in_batch, res.rows_inserted, res.range_min, res.range_max

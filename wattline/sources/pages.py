@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.codes import product_code
+from ..functions.money import strict_double
 from ..functions.time import iso_z, month_start, parse_instant, to_uk_wall_clock
 from ..operators.dedupe import first_per_key
 from ..schemas import PAGE_SIZE, RATE_PAGE, USAGE_PAGE
@@ -34,7 +35,7 @@ def usage_rows(spark: SparkSession, path: str, multi_line: bool = False) -> Data
     return rows.select("page", "pos",
                        utc.alias("interval_start_utc"),
                        to_uk_wall_clock(utc).alias("interval_start_uk"),
-                       F.col("r.consumption").cast("double").alias("kwh"))
+                       strict_double("r.consumption").alias("kwh"))
 
 
 def usage_batch(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -55,7 +56,7 @@ def rate_rows(spark: SparkSession, path: str, multi_line: bool = False) -> DataF
                       frm.alias("valid_from_utc"), to.alias("valid_to_utc"),
                       to_uk_wall_clock(frm).alias("valid_from_uk"),
                       to_uk_wall_clock(to).alias("valid_to_uk"),
-                      F.col("r.value_inc_vat").cast("double").alias("unit_rate"))
+                      strict_double("r.value_inc_vat").alias("unit_rate"))
     return (first_per_key(out, ["tariff_code", "valid_from_utc"], ["page", "pos"])
             .drop("page", "pos"))
 
@@ -69,7 +70,7 @@ def month_rows(spark: SparkSession, path: str, multi_line: bool = False) -> Data
     rows = rows.select("page", "pos",
                        parse_instant("month_start").alias("month_start"),
                        parse_instant("month_end").alias("month_end"),
-                       F.col("kwh").cast("double").alias("kwh"))
+                       strict_double("kwh").alias("kwh"))
     return (first_per_key(rows.withColumn("month", month_start("month_start")), ["month"], ["page", "pos"])
             .select("month", "kwh"))
 
