@@ -502,3 +502,23 @@ def test_strict_casts_fail_whatever_ansi(spark, ansi):
         assert [r.t for r in ok.select(parse_instant("v").alias("t")).collect()] == [ts("2023-12-31 23:00:00"), None]
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_export_truncate_then_append(spark, tmp_dir):
+    cons = _points(spark, ["2024-01-01 00:00:00", "2024-01-02 00:30:00"]).select(
+        "interval_start_utc", F.col("interval_start_utc").alias("interval_start_uk"), "kwh",
+        F.col("interval_start_utc").alias("ingestion_ts"), F.lit(9).alias("meter_id"))
+    agr = staging.fill_open_ends(_windows(spark, [("A", "2024-01-01 00:00:00", None)]), ["valid_to_utc"]).select(
+        "tariff_code", "valid_from_utc", "valid_to_utc", F.col("valid_from_utc").alias("valid_from_uk"),
+        F.col("valid_to_utc").alias("valid_to_uk"), F.col("valid_from_utc").alias("ingestion_ts"))
+    tables_ = {"raw_consumption": cons, "raw_agreements": agr}
+    out = lake.export_tables(tables_, list(tables_), tmp_dir)
+    c = spark.read.parquet(out["raw_consumption"])
+    assert "meter_id" not in c.columns and sorted(r.day.isoformat() for r in c.select("day").collect()) == [
+        "2024-01-01", "2024-01-02"]
+    lake.export_tables(tables_, ["raw_agreements"], tmp_dir, mode="append")
+    assert spark.read.parquet(out["raw_agreements"]).count() == 2
+    lake.export_tables(tables_, ["raw_agreements"], tmp_dir, mode="overwrite")
+    assert spark.read.parquet(out["raw_agreements"]).count() == 1
+    with pytest.raises(ValueError):
+        lake.export_tables(tables_, ["raw_agreements"], tmp_dir, mode="merge")
