@@ -522,3 +522,46 @@ def test_export_truncate_then_append(spark, tmp_dir):
     assert spark.read.parquet(out["raw_agreements"]).count() == 1
     with pytest.raises(ValueError):
         lake.export_tables(tables_, ["raw_agreements"], tmp_dir, mode="merge")
+
+
+def _per_meter_fixture(spark):
+    rnd = random.Random(51)
+    base = ts("2024-01-01 00:00:00")
+    agreements = []
+    for m in range(6):
+        start = base - dt.timedelta(days=rnd.randint(0, 3))
+        for j in range(4):
+            end = start + dt.timedelta(hours=rnd.randint(6, 60))
+            agreements.append((m, f"CODE-{(m + j) % 3}", start, None if j == 3 else end))
+            start = end
+    a = staging.fill_open_ends(spark.createDataFrame(
+        agreements, "meter_id int, tariff_code string, valid_from_utc timestamp_ntz, valid_to_utc timestamp_ntz"),
+        ["valid_to_utc"])
+    r = staging.fill_open_ends(spark.createDataFrame(
+        [(f"CODE-{c}", base - dt.timedelta(days=5) + dt.timedelta(hours=8 * k), None if k == 39 else
+          base - dt.timedelta(days=5) + dt.timedelta(hours=8 * (k + 1)), float(c + k)) for c in range(3)
+         for k in range(40)],
+        "tariff_code string, valid_from_utc timestamp_ntz, valid_to_utc timestamp_ntz, unit_rate double"),
+        ["valid_to_utc"])
+    raw = spark.createDataFrame(
+        [(m, base + dt.timedelta(minutes=30 * rnd.randint(-60, 48 * 6)), float(rnd.randint(1, 9)),
+          base + dt.timedelta(seconds=rnd.randint(0, 10 ** 6)), i) for i, m in
+         enumerate(rnd.randint(0, 5) for _ in range(700))],
+        "meter_id int, interval_start_utc timestamp_ntz, kwh double, ingestion_ts timestamp_ntz, version int"
+    ).withColumn("interval_start_uk", to_uk_wall_clock("interval_start_utc"))
+    return raw, a, r
+
+
+@pytest.mark.parametrize("broadcast_rows", [None, 100_000])
+def test_price_readings_equals_two_step(spark, broadcast_rows):
+    raw, a, r = _per_meter_fixture(spark)
+    got = pricing.price_readings(raw, a, r, meter_keys=["meter_id"], agreement_keys=["meter_id"],
+                                 tie_break=["version"], broadcast_rows=broadcast_rows)
+    cons = staging.stg_consumption(raw, keys=["meter_id", "interval_start_utc"], tie_break=["version"])
+    want = pricing.price_intervals(cons, a, r, meter_keys=["meter_id"], agreement_keys=["meter_id"])
+    assert sorted(got.collect()) == sorted(want.collect())
+    if broadcast_rows is None:
+        plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        # the readings are exchanged once, on (meter_id, bucket), for both the dedupe and the join
+        readings = [line for line in plan.splitlines() if "Exchange hashpartitioning(meter_id" in line]
+        assert len(readings) == 1 and "__agreement_bucket" in readings[0]

@@ -18,6 +18,7 @@ point side is read once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -106,6 +107,61 @@ def bounded(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+@dataclass(frozen=True)
+class PreparedWindows:
+    """A window table exploded into buckets, with what joining it needs."""
+    exploded: DataFrame        # columns prefixed with ``__w_``
+    on: tuple[str, ...]
+    valid_from: str
+    valid_to: str
+    payload: tuple[str, ...]
+    unit: str
+    horizon: Column
+    broadcast: bool            # size proven by a bounded count
+
+    def point_bucket(self, at: str) -> Column:
+        """The bucket a point falls in (clamped to the horizon bucket)."""
+        return _point_bucket(at, self.unit, self.horizon)
+
+
+def prepare_windows(windows: DataFrame, valid_from: str, valid_to: str, on: Sequence[str] = (),
+                    unit: str = "auto",
+                    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> PreparedWindows:
+    """Materialise, measure and explode the window side once."""
+    payload = [c for c in windows.columns if c not in (*on, valid_from, valid_to)]
+    windows = materialise(windows.select(*on, valid_from, valid_to, *payload))
+    horizon, mean_seconds = _window_stats(windows, valid_from, valid_to)
+    unit = pick_unit(unit, mean_seconds)
+    w = explode_windows(windows, valid_from, valid_to, unit, horizon)
+    w = w.select(*[F.col(c).alias(_W + c) for c in w.columns])
+    proven = broadcast_rows is not None and bounded(w, broadcast_rows)
+    return PreparedWindows(w, tuple(on), valid_from, valid_to, tuple(payload), unit, horizon, proven)
+
+
+def join_prepared(points: DataFrame, prepared: PreparedWindows, at: str, how: str = "left",
+                  bucket_col: str | None = None) -> DataFrame:
+    """Join points to prepared windows. ``bucket_col`` names a bucket column the
+    points already carry (``prepared.point_bucket(at)``), e.g. one they were
+    partitioned on, so the join can reuse that partitioning."""
+    if how not in ("left", "inner"):
+        raise ValueError("range_join supports how='left' or 'inner'")
+    clash = set(prepared.payload) & set(points.columns)
+    if clash:
+        raise ValueError(f"window columns also on the point side: {sorted(clash)}")
+    # Size not proven: Spark's estimate after the explode may be far too small,
+    # so keep it from auto-broadcasting; sort-merge spills safely.
+    w = F.broadcast(prepared.exploded) if prepared.broadcast else prepared.exploded.hint("merge")
+    b = bucket_col or _B
+    p = points if bucket_col else points.withColumn(_B, prepared.point_bucket(at))
+    cond = [p[k] == w[_W + k] for k in prepared.on]
+    cond += [p[b] == w[_W + _B],
+             p[at] >= w[_W + prepared.valid_from],
+             p[at] < w[_W + prepared.valid_to]]
+    joined = p.join(w, on=cond, how=how)
+    return joined.select(*[p[c] for c in points.columns],
+                         *[w[_W + c].alias(c) for c in prepared.payload])
+
+
 def range_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str, valid_to: str,
                on: Sequence[str] = (), how: str = "left", unit: str = "auto",
                broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -122,25 +178,8 @@ def range_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str,
     clash = set(payload) & set(points.columns)
     if clash:
         raise ValueError(f"window columns also on the point side: {sorted(clash)}")
-    windows = materialise(windows.select(*on, valid_from, valid_to, *payload))
-    horizon, mean_seconds = _window_stats(windows, valid_from, valid_to)
-    unit = pick_unit(unit, mean_seconds)
-    w = explode_windows(windows, valid_from, valid_to, unit, horizon)
-    w = w.select(*[F.col(c).alias(_W + c) for c in w.columns])
-    if broadcast_rows is not None and bounded(w, broadcast_rows):
-        w = F.broadcast(w)
-    else:
-        # Size not proven: Spark's estimate after the explode may be far too
-        # small, so keep it from auto-broadcasting; sort-merge spills safely.
-        w = w.hint("merge")
-    p = points.withColumn(_B, _point_bucket(at, unit, horizon))
-    cond = [p[k] == w[_W + k] for k in on]
-    cond += [p[_B] == w[_W + _B],
-             p[at] >= w[_W + valid_from],
-             p[at] < w[_W + valid_to]]
-    joined = p.join(w, on=cond, how=how)
-    return joined.select(*[p[c] for c in points.columns],
-                         *[w[_W + c].alias(c) for c in payload])
+    prepared = prepare_windows(windows, valid_from, valid_to, on, unit, broadcast_rows)
+    return join_prepared(points, prepared, at, how)
 
 
 def asof_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str, valid_to: str,

@@ -752,10 +752,10 @@ def dashboard_slice(spark, sf_dir):
     " LEFT JOIN stg_tariffs t ON a.tariff_code = t.tariff_code"
     " AND c.interval_start_utc >= t.valid_from_utc AND c.interval_start_utc < t.valid_to_utc"))
 def fct_cost_per_meter(spark, sf_dir):
+    from .operators.pricing import price_readings
     raw = tables.consumption_raw(spark, sf_dir, with_meter=True)
-    consumption = staging.stg_consumption(raw, keys=["meter_id", "interval_start_utc"], tie_break=["version"])
     _, agreements, tariffs = fact_plan.silver(spark, sf_dir)
-    return fact_plan.fct_energy_cost(consumption, agreements, tariffs, meter_keys=["meter_id"])
+    return price_readings(raw, agreements, tariffs, meter_keys=["meter_id"], tie_break=["version"])
 
 
 @register("pipeline_run", oracle("SELECT * FROM daily"))
