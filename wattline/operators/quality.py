@@ -104,10 +104,13 @@ def prior_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
 
 
 def overlapping_windows(windows: DataFrame, keys: Sequence[str], valid_from: str, valid_to: str,
-                        tie_break: Sequence[str] = ()) -> DataFrame:
-    """Windows that start before an earlier window of the same key has ended."""
+                        tie_break: Sequence[str] = (), unit: str = "MONTH") -> DataFrame:
+    """Windows that start before an earlier window of the same key has ended.
+
+    ``unit`` sets the time buckets that split a key's windows across tasks.
+    """
     pm = prior_max(windows, keys, [valid_from, *tie_break], valid_to,
-                   bucket=F.date_trunc("YEAR", F.col(valid_from)), out="overlaps_until")
+                   bucket=F.date_trunc(unit, F.col(valid_from)), out="overlaps_until")
     return pm.filter(F.col("overlaps_until") > F.col(valid_from))
 
 
