@@ -93,7 +93,7 @@ def order_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per customer, order k is valid from its date until the next order's date."""
     o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
     w = next_in_order(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderdate"],
-                      bucket=F.date_trunc("YEAR", "o_orderdate"))
+                      bucket=F.date_trunc("MONTH", "o_orderdate"))
     return w.select("o_custkey",
                     F.col("o_orderdate").alias("valid_from"),
                     F.col("next_o_orderdate").alias("valid_to"),
@@ -106,7 +106,7 @@ def distinct_order_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
          .groupBy("o_custkey", "o_orderdate")
          .agg(F.max("o_orderkey").alias("o_orderkey")))
     w = next_in_order(o, ["o_custkey"], ["o_orderdate"], ["o_orderdate"],
-                      bucket=F.date_trunc("YEAR", "o_orderdate"))
+                      bucket=F.date_trunc("MONTH", "o_orderdate"))
     return w.select("o_custkey",
                     F.col("o_orderdate").alias("valid_from"),
                     F.col("next_o_orderdate").alias("valid_to"),
