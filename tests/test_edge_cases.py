@@ -565,3 +565,20 @@ def test_price_readings_equals_two_step(spark, broadcast_rows):
         # the readings are exchanged once, on (meter_id, bucket), for both the dedupe and the join
         readings = [line for line in plan.splitlines() if "Exchange hashpartitioning(meter_id" in line]
         assert len(readings) == 1 and "__agreement_bucket" in readings[0]
+
+
+def test_load_stamps_ingestion_time_and_run_id(spark, tmp_dir):
+    import uuid as _uuid
+    from wattline.plans import pipeline
+    lk = pipeline.Lake(tmp_dir)
+    usage = _points(spark, ["2024-01-01 00:00:00", "2024-01-01 00:30:00"]).withColumn(
+        "interval_start_uk", F.col("interval_start_utc"))
+    row = pipeline.load_usage(spark, lk, usage)
+    assert str(_uuid.UUID(row["run_id"])) == row["run_id"]
+    assert row["status"] == "SUCCESS" and row["records_fetched"] == 2 and row["records_inserted"] == 2
+    assert row["start_time"] <= row["end_time"]
+    assert row["min_interval"] == ts("2024-01-01 00:00:00") and row["max_interval"] == ts("2024-01-01 00:30:00")
+    stamps = {r.ingestion_ts for r in spark.read.parquet(lk.consumption).collect()}
+    assert len(stamps) == 1 and None not in stamps          # one load, one stamp
+    again = pipeline.load_usage(spark, lk, usage)
+    assert again["records_inserted"] == 0                    # replaced rows count 0
