@@ -28,9 +28,9 @@ def stream_upsert(spark: SparkSession, source_path: str, schema: T.StructType, t
     the query keeps running and its handle is returned.
     """
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        if not batch.isEmpty():
-            upsert(batch.sparkSession, target_path, batch, keys, partition_col, partition_expr,
-                   version=version)
+        # An empty micro-batch is a quiet no-op inside ``upsert``.
+        upsert(batch.sparkSession, target_path, batch, keys, partition_col, partition_expr,
+               version=version)
 
     writer = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger)
