@@ -1,7 +1,9 @@
 """The model chain: bronze → silver → gold fact → daily table.
 
-Everything stays lazy; Catalyst sees the whole chain as one plan, so column
-pruning and filters reach the Parquet scans of the bronze tables.
+The reading side stays lazy: Catalyst sees dedupe, joins and projections as
+one plan, so column pruning and filters reach the Parquet scans of the bronze
+tables. Only the small window sides are written once (and measured) before
+the join is planned.
 """
 
 from __future__ import annotations

@@ -69,7 +69,7 @@ def tariffs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six-hour rates per tariff code from ``part`` × ``nation``; the last is open-ended."""
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    start = F.timestamp_add("HOUR", (F.col("p_partkey") / 25).cast("bigint") * 6,
+    start = F.timestamp_add("HOUR", (F.col("p_partkey") / NATION_COUNT).cast("bigint") * 6,
                            F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     # nation is a fixed 25-row table: broadcasting it is always safe.
     rates = (part.join(F.broadcast(nation), F.col("p_partkey") % NATION_COUNT == F.col("n_nationkey"))
