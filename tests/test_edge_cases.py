@@ -582,3 +582,32 @@ def test_load_stamps_ingestion_time_and_run_id(spark, tmp_dir):
     assert len(stamps) == 1 and None not in stamps          # one load, one stamp
     again = pipeline.load_usage(spark, lk, usage)
     assert again["records_inserted"] == 0                    # replaced rows count 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_flagship_plan_shape(spark):
+    from wattline.plans import fact as fact_plan
+    plan = _plan(fact_plan.fact_from_tables(spark, "/root/testdata/sf0.001"))
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line
+                or "Exchange rangepartitioning" in line]
+    assert len(shuffles) == 1                                   # the dedupe, nothing else
+    assert plan.count("BroadcastHashJoin") == 2 and "NestedLoop" not in plan
+    assert "WindowGroupLimit" in plan
+    clustered = _plan(fact_plan.fact_from_tables(spark, "/root/testdata/sf0.001", cluster_by_time=True))
+    assert "Exchange rangepartitioning(interval_start_utc" in clustered
+    assert "Exchange hashpartitioning" not in clustered
+
+
+def test_unproven_window_side_is_not_broadcast(spark):
+    windows = staging.fill_open_ends(_random_windows(spark, seed=61), ["valid_to"])
+    points = _random_points(spark, seed=62)
+    small_bound = validity.range_join(points, windows, "at", "valid_from", "valid_to", on=["k"],
+                                      broadcast_rows=10)          # fails the bounded count
+    plan = _plan(small_bound)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    proven = validity.range_join(points, windows, "at", "valid_from", "valid_to", on=["k"],
+                                 broadcast_rows=100_000)
+    assert "BroadcastHashJoin" in _plan(proven)
