@@ -54,8 +54,9 @@ def write_snapshot(df: DataFrame, spec: ExportSpec, root: str, mode: str = "over
     writer = out.write.mode(mode)
     if spec.partition_field:
         out = out.withColumn(DAY_COLUMN, F.to_date(spec.partition_field))
-        # Range-partitioned sort: each day is written by few tasks, still sorted.
-        out = out.repartitionByRange(DAY_COLUMN).sortWithinPartitions(*spec.order_by)
+        # Range-partitioned on (day, sort key): a day is written by few tasks, in
+        # order, and a hot day is still split (equal range keys share a task).
+        out = out.repartitionByRange(DAY_COLUMN, *spec.order_by).sortWithinPartitions(*spec.order_by)
         writer = out.write.mode(mode).partitionBy(DAY_COLUMN)
     writer.parquet(path)
     return path
