@@ -611,3 +611,37 @@ def test_unproven_window_side_is_not_broadcast(spark):
     proven = validity.range_join(points, windows, "at", "valid_from", "valid_to", on=["k"],
                                  broadcast_rows=100_000)
     assert "BroadcastHashJoin" in _plan(proven)
+
+
+def test_pretty_printed_pages_read_multiline(spark):
+    import json
+    import os
+    import tempfile
+    from wattline.sources import pages
+    root = tempfile.mkdtemp(prefix="wl-pages-")   # a local test fixture, written by the test
+    page = {"next": None, "results": [
+        {"interval_start": "2024-06-01T00:00:00+01:00", "interval_end": "2024-06-01T00:30:00+01:00",
+         "consumption": 0.25},
+        {"consumption_start": "2024-06-01T00:00:00Z", "consumption": "0.5"},
+        {"interval_start": "2024-05-31T23:00:00Z", "consumption": 9.0}]}
+    os.makedirs(f"{root}/page=0")
+    with open(f"{root}/page=0/page.json", "w") as fh:
+        json.dump(page, fh, indent=2)
+    got = sorted((r.interval_start_utc, r.interval_start_uk, r.kwh)
+                 for r in pages.usage_batch(spark, root, multi_line=True).collect())
+    # 00:00+01:00 and 23:00Z are the same instant: first in page order wins.
+    assert got == [(ts("2024-05-31 23:00:00"), ts("2024-06-01 00:00:00"), 0.25),
+                   (ts("2024-06-01 00:00:00"), ts("2024-06-01 01:00:00"), 0.5)]
+
+
+def test_bad_number_in_a_page_fails(spark):
+    import json
+    import os
+    import tempfile
+    from wattline.sources import pages
+    root = tempfile.mkdtemp(prefix="wl-pages-")
+    os.makedirs(f"{root}/page=0")
+    with open(f"{root}/page=0/page.json", "w") as fh:
+        json.dump({"next": None, "results": [{"interval_start": "2024-06-01T00:00:00Z", "consumption": "x1"}]}, fh)
+    with pytest.raises(Exception, match="not a number"):
+        pages.usage_batch(spark, root, multi_line=True).collect()

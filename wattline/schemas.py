@@ -77,14 +77,15 @@ FACT = T.StructType([
     T.StructField("time_band", T.StringType(), False),
 ])
 
-# Landed API pages: one JSON object per page.
+# Landed API pages: one JSON object per page. Numbers are read as text and
+# converted strictly (a number sent as "0.5" is accepted, "x1" fails the load).
 USAGE_PAGE = T.StructType([
     T.StructField("next", T.StringType(), True),
     T.StructField("results", T.ArrayType(T.StructType([
         T.StructField("interval_start", T.StringType(), True),
         T.StructField("consumption_start", T.StringType(), True),
         T.StructField("interval_end", T.StringType(), True),
-        T.StructField("consumption", T.DoubleType(), True),
+        T.StructField("consumption", T.StringType(), True),
     ])), True),
 ])
 
@@ -93,6 +94,6 @@ RATE_PAGE = T.StructType([
     T.StructField("results", T.ArrayType(T.StructType([
         T.StructField("valid_from", T.StringType(), True),
         T.StructField("valid_to", T.StringType(), True),
-        T.StructField("value_inc_vat", T.DoubleType(), True),
+        T.StructField("value_inc_vat", T.StringType(), True),
     ])), True),
 ])

@@ -18,7 +18,8 @@ from ..schemas import PAGE_SIZE, RATE_PAGE, USAGE_PAGE
 
 
 def _read(spark: SparkSession, path: str, schema, multi_line: bool) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    # FAILFAST: a malformed page fails the load instead of turning into NULLs.
+    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
 
 
 def _rows(pages: DataFrame, extra: list[str]) -> DataFrame:
