@@ -645,3 +645,15 @@ def test_bad_number_in_a_page_fails(spark):
         json.dump({"next": None, "results": [{"interval_start": "2024-06-01T00:00:00Z", "consumption": "x1"}]}, fh)
     with pytest.raises(Exception, match="not a number"):
         pages.usage_batch(spark, root, multi_line=True).collect()
+
+
+def test_flat_page_files_keep_file_order(spark):
+    import json
+    import tempfile
+    from wattline.sources import pages
+    root = tempfile.mkdtemp(prefix="wl-flat-")
+    for n, kwh in ((1, "1.0"), (2, "2.0")):
+        with open(f"{root}/page-{n:04d}.json", "w") as fh:
+            json.dump({"next": None, "results": [{"interval_start": "2024-01-01T00:00:00Z", "consumption": kwh}]}, fh)
+    got = pages.usage_batch(spark, root, multi_line=True).collect()
+    assert [(r.interval_start_utc, r.kwh) for r in got] == [(ts("2024-01-01 00:00:00"), 1.0)]

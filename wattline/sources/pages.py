@@ -23,7 +23,13 @@ def _read(spark: SparkSession, path: str, schema, multi_line: bool) -> DataFrame
 
 
 def _rows(pages: DataFrame, extra: list[str]) -> DataFrame:
-    """Explode ``results`` keeping (page, position) as the arrival order."""
+    """Explode ``results`` keeping (page, position) as the arrival order.
+
+    Pages landed flat (``page-0001.json``, ...) carry no ``page`` folder; then
+    the file path orders them.
+    """
+    if "page" not in pages.columns:
+        pages = pages.withColumn("page", F.col("_metadata.file_path"))
     return pages.select(*extra, F.posexplode("results").alias("pos", "r"))
 
 
