@@ -657,3 +657,9 @@ def test_flat_page_files_keep_file_order(spark):
             json.dump({"next": None, "results": [{"interval_start": "2024-01-01T00:00:00Z", "consumption": kwh}]}, fh)
     got = pages.usage_batch(spark, root, multi_line=True).collect()
     assert [(r.interval_start_utc, r.kwh) for r in got] == [(ts("2024-01-01 00:00:00"), 1.0)]
+
+
+def test_sql_models_plan_shape(spark):
+    from wattline.registry import QUERIES
+    plan = _plan(QUERIES["fct_cost_sql"](spark, "/root/testdata/sf0.001"))
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan and "NestedLoop" not in plan

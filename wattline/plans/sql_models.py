@@ -51,25 +51,27 @@ FROM {windows}
 """
 
 FACT = """
-SELECT /*+ {hints} */
-       c.interval_start_utc, c.interval_start_uk, c.kwh, a.tariff_code, t.unit_rate,
-       c.kwh * t.unit_rate AS cost,
-       CAST(date_trunc('DAY', c.interval_start_uk) AS TIMESTAMP_NTZ) AS usage_date,
-       CAST(hour(c.interval_start_uk) AS BIGINT) AS hour_of_day,
-       CASE WHEN hour(c.interval_start_uk) BETWEEN 0 AND 6 THEN 'night'
-            WHEN hour(c.interval_start_uk) BETWEEN 16 AND 19 THEN 'peak'
-            ELSE 'day' END AS time_band
-FROM (SELECT *, least(CAST(date_trunc('DAY', interval_start_utc) AS TIMESTAMP_NTZ),
-                      CAST(date_trunc('DAY', {agreement_horizon}) AS TIMESTAMP_NTZ)) AS a_bucket,
-                least(CAST(date_trunc('DAY', interval_start_utc) AS TIMESTAMP_NTZ),
-                      CAST(date_trunc('DAY', {rate_horizon}) AS TIMESTAMP_NTZ)) AS t_bucket
-      FROM {consumption}) c
-LEFT JOIN {agreement_days} a
-       ON c.a_bucket = a.bucket
-      AND c.interval_start_utc >= a.valid_from_utc AND c.interval_start_utc < a.valid_to_utc
-LEFT JOIN {rate_days} t
-       ON a.tariff_code = t.tariff_code AND c.t_bucket = t.bucket
-      AND c.interval_start_utc >= t.valid_from_utc AND c.interval_start_utc < t.valid_to_utc
+SELECT *, CASE WHEN hour_of_day BETWEEN 0 AND 6 THEN 'night'
+               WHEN hour_of_day BETWEEN 16 AND 19 THEN 'peak'
+               ELSE 'day' END AS time_band
+FROM (
+    SELECT /*+ {hints} */
+           c.interval_start_utc, c.interval_start_uk, c.kwh, a.tariff_code, t.unit_rate,
+           c.kwh * t.unit_rate AS cost,
+           CAST(date_trunc('DAY', c.interval_start_uk) AS TIMESTAMP_NTZ) AS usage_date,
+           CAST(hour(c.interval_start_uk) AS BIGINT) AS hour_of_day
+    FROM (SELECT *, least(CAST(date_trunc('DAY', interval_start_utc) AS TIMESTAMP_NTZ),
+                          CAST(date_trunc('DAY', {agreement_horizon}) AS TIMESTAMP_NTZ)) AS a_bucket,
+                    least(CAST(date_trunc('DAY', interval_start_utc) AS TIMESTAMP_NTZ),
+                          CAST(date_trunc('DAY', {rate_horizon}) AS TIMESTAMP_NTZ)) AS t_bucket
+          FROM {consumption}) c
+    LEFT JOIN {agreement_days} a
+           ON c.a_bucket = a.bucket
+          AND c.interval_start_utc >= a.valid_from_utc AND c.interval_start_utc < a.valid_to_utc
+    LEFT JOIN {rate_days} t
+           ON a.tariff_code = t.tariff_code AND c.t_bucket = t.bucket
+          AND c.interval_start_utc >= t.valid_from_utc AND c.interval_start_utc < t.valid_to_utc
+) priced
 """
 
 DAILY = """
@@ -117,7 +119,8 @@ def build(spark: SparkSession, raw_consumption: DataFrame, raw_agreements: DataF
         view = name["agreement_days" if side == "agreement" else "rate_days"]
         days.createOrReplaceTempView(view)
         proven = broadcast_rows is not None and bounded(days, broadcast_rows)
-        hints[side] = f"BROADCAST({side[0]})" if proven else f"MERGE({side[0]})"
+        alias = {"agreement": "a", "rate": "t"}[side]   # the aliases used in FACT
+        hints[side] = f"BROADCAST({alias})" if proven else f"MERGE({alias})"
     out["fct_energy_cost"] = spark.sql(FACT.format(
         hints=", ".join(hints.values()),
         agreement_horizon=horizons["agreement"], rate_horizon=horizons["rate"],

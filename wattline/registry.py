@@ -30,6 +30,24 @@ def _uk(x: str) -> str:
     return f"(({x}) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/London'"
 
 
+def _priced(readings: str, keys: str = "") -> str:
+    """Oracle form of the priced fact over a relation of (deduped) readings."""
+    k = f"{keys}, " if keys else ""
+    ck = f"c.{keys}, " if keys else ""
+    return (
+        f"SELECT {k}interval_start_utc, interval_start_uk, kwh, tariff_code, unit_rate, cost, usage_date,"
+        " hour_of_day, CASE WHEN hour_of_day BETWEEN 0 AND 6 THEN 'night'"
+        " WHEN hour_of_day BETWEEN 16 AND 19 THEN 'peak' ELSE 'day' END AS time_band"
+        f" FROM (SELECT {ck}c.interval_start_utc, c.interval_start_uk, c.kwh, a.tariff_code, t.unit_rate,"
+        " c.kwh * t.unit_rate AS cost, date_trunc('day', c.interval_start_uk) AS usage_date,"
+        " extract(hour FROM c.interval_start_uk) AS hour_of_day"
+        f" FROM {readings} c"
+        " LEFT JOIN stg_agreements a"
+        " ON c.interval_start_utc >= a.valid_from_utc AND c.interval_start_utc < a.valid_to_utc"
+        " LEFT JOIN stg_tariffs t ON a.tariff_code = t.tariff_code"
+        " AND c.interval_start_utc >= t.valid_from_utc AND c.interval_start_utc < t.valid_to_utc)")
+
+
 FIXTURE_CTES = f"""
 consumption_raw AS (
     SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS interval_start_utc,
@@ -77,21 +95,7 @@ stg_tariffs AS (
            unit_rate
     FROM tariffs_raw
 ),
-fct AS (
-    SELECT c.interval_start_utc, c.interval_start_uk, c.kwh, a.tariff_code, t.unit_rate,
-           c.kwh * t.unit_rate AS cost,
-           date_trunc('day', c.interval_start_uk) AS usage_date,
-           extract(hour FROM c.interval_start_uk) AS hour_of_day,
-           CASE WHEN extract(hour FROM c.interval_start_uk) BETWEEN 0 AND 6 THEN 'night'
-                WHEN extract(hour FROM c.interval_start_uk) BETWEEN 16 AND 19 THEN 'peak'
-                ELSE 'day' END AS time_band
-    FROM stg_consumption c
-    LEFT JOIN stg_agreements a
-           ON c.interval_start_utc >= a.valid_from_utc AND c.interval_start_utc < a.valid_to_utc
-    LEFT JOIN stg_tariffs t
-           ON a.tariff_code = t.tariff_code
-          AND c.interval_start_utc >= t.valid_from_utc AND c.interval_start_utc < t.valid_to_utc
-),
+fct AS ({_priced("stg_consumption")}),
 daily AS (
     SELECT usage_date,
            CAST(sum(CAST(kwh AS DECIMAL(18,6))) AS DOUBLE) AS total_kwh,
@@ -593,15 +597,7 @@ def _initial_fct_cte() -> str:
         "initial_stg AS (SELECT interval_start_utc, interval_start_uk, kwh FROM ("
         " SELECT *, row_number() OVER (PARTITION BY interval_start_utc ORDER BY ingestion_ts DESC, version DESC)"
         f" AS rn FROM consumption_raw WHERE ingestion_ts < TIMESTAMP {CUTOFF!r}) WHERE rn = 1),\n"
-        "initial_fct AS (SELECT c.interval_start_utc, c.interval_start_uk, c.kwh, a.tariff_code, t.unit_rate,"
-        " c.kwh * t.unit_rate AS cost, date_trunc('day', c.interval_start_uk) AS usage_date,"
-        " extract(hour FROM c.interval_start_uk) AS hour_of_day,"
-        " CASE WHEN extract(hour FROM c.interval_start_uk) BETWEEN 0 AND 6 THEN 'night'"
-        " WHEN extract(hour FROM c.interval_start_uk) BETWEEN 16 AND 19 THEN 'peak' ELSE 'day' END AS time_band"
-        " FROM initial_stg c LEFT JOIN stg_agreements a"
-        " ON c.interval_start_utc >= a.valid_from_utc AND c.interval_start_utc < a.valid_to_utc"
-        " LEFT JOIN stg_tariffs t ON a.tariff_code = t.tariff_code"
-        " AND c.interval_start_utc >= t.valid_from_utc AND c.interval_start_utc < t.valid_to_utc),\n"
+        f"initial_fct AS ({_priced('initial_stg')}),\n"
         "lookback AS (SELECT max(interval_start_utc) - INTERVAL 1 DAY AS lo FROM initial_fct)")
 
 
@@ -739,18 +735,9 @@ def dashboard_slice(spark, sf_dir):
             .drop(incremental.FACT_PARTITION))
 
 
-@register("fct_cost_per_meter", oracle(
-    "SELECT c.meter_id, c.interval_start_utc, c.interval_start_uk, c.kwh, a.tariff_code, t.unit_rate,"
-    " c.kwh * t.unit_rate AS cost, date_trunc('day', c.interval_start_uk) AS usage_date,"
-    " extract(hour FROM c.interval_start_uk) AS hour_of_day,"
-    " CASE WHEN extract(hour FROM c.interval_start_uk) BETWEEN 0 AND 6 THEN 'night'"
-    " WHEN extract(hour FROM c.interval_start_uk) BETWEEN 16 AND 19 THEN 'peak' ELSE 'day' END AS time_band"
-    " FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meter_id, interval_start_utc"
-    "       ORDER BY ingestion_ts DESC, version DESC) AS rn FROM consumption_raw) WHERE rn = 1) c"
-    " LEFT JOIN stg_agreements a"
-    " ON c.interval_start_utc >= a.valid_from_utc AND c.interval_start_utc < a.valid_to_utc"
-    " LEFT JOIN stg_tariffs t ON a.tariff_code = t.tariff_code"
-    " AND c.interval_start_utc >= t.valid_from_utc AND c.interval_start_utc < t.valid_to_utc"))
+@register("fct_cost_per_meter", oracle(_priced(
+    "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meter_id, interval_start_utc"
+    " ORDER BY ingestion_ts DESC, version DESC) AS rn FROM consumption_raw) WHERE rn = 1)", "meter_id")))
 def fct_cost_per_meter(spark, sf_dir):
     from .operators.pricing import price_readings
     raw = tables.consumption_raw(spark, sf_dir, with_meter=True)
