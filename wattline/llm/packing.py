@@ -101,7 +101,7 @@ def piece_lengths(n: int, size: int) -> list[int]:
 
 def pack(docs: DataFrame, size: int = 2048, end_id: int = 1, vocabulary: str = "word_bpe_49k.json", key: str = "doc_id",
          text: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
-    """One row a piece: key, start, length, ids (array of long), doc_tokens, bucket (log2 of the length), sequence_id, offset.
+    """One row a piece: key, start, length, ids (array of int), doc_tokens, bucket (log2 of the length), sequence_id, offset.
 
     ``size`` must be a power of two. A piece is a whole sequence, so offset is
     0. ``sequence_id`` is unique; it numbers pieces within their partition, so
@@ -112,7 +112,7 @@ def pack(docs: DataFrame, size: int = 2048, end_id: int = 1, vocabulary: str = "
     bound_arrow(docs.sparkSession)
     docs = docs.select(key, text)
     schema = docs.select(key, *[F.lit(0).cast("long").alias(c) for c in ("start", "length", "ids_crc32", "doc_tokens")],
-                         F.lit(0).alias("bucket"), F.lit(None).cast("array<long>").alias("ids")).schema
+                         F.lit(0).alias("bucket"), F.lit(None).cast("array<int>").alias("ids")).schema
 
     def run(batches):
         known = word_ids(vocabulary)
@@ -134,7 +134,7 @@ def pack(docs: DataFrame, size: int = 2048, end_id: int = 1, vocabulary: str = "
                         totals.append(n)
                         ids.append(piece)
                         at += length
-                flat = np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int64)
+                flat = np.frombuffer(b"".join(ids), dtype="<i4")
                 offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [t.column(key).take(pa.array(rows, pa.int64())).combine_chunks(), pa.array(starts, pa.int64()),

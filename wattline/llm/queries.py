@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, packing, topk
+from . import bpe, chat, packing, simhash, topk
 from .common import table
 
 
@@ -24,6 +24,11 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows.unionByName(odd)))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their fingerprint and the smallest doc_id they reach."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again, as counts and digests."""
     return bpe.digests(table(spark, sf_dir, "documents"))
@@ -34,7 +39,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-QUERIES = {f.__name__: f for f in (op3_pack, op4_chat, op8_bpe, op10_topk)}
+QUERIES = {f.__name__: f for f in (op3_pack, op4_chat, op5_simhash, op8_bpe, op10_topk)}
 
 _ESCAPE = r"""regexp_replace({}, '<(\\*)\|', '<\\\1|', 'g')"""
 _NEEDS = r"""regexp_matches({0}, '<\\*\|')"""
