@@ -84,7 +84,7 @@ def next_rows(keys: DataFrame, order: list[str], carry: list[str]) -> DataFrame:
     chain = W.partitionBy("_one").orderBy("_run")
     heads = heads.select("_run", F.coalesce(F.lead("_h").over(chain), F.first("_h").over(
         chain.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("_after"))
-    here = runs.withColumn("_n", F.lead(F.struct(*[F.col(c).alias(f"_c_{c}") for c in carry])).over(inside))
+    here = runs.withColumn("_follow", F.lead(F.struct(*[F.col(c).alias(f"_c_{c}") for c in carry])).over(inside))
     return (here.join(heads, "_run")
-            .select(*keys.columns, *[F.when(F.col("_n").isNotNull(), F.col(f"_n._c_{c}"))
+            .select(*keys.columns, *[F.when(F.col("_follow").isNotNull(), F.col(f"_follow._c_{c}"))
                                      .otherwise(F.col(f"_after._c_{c}")).alias(f"next_{c}") for c in carry]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, packing, simhash, topk
+from . import bpe, chat, multiset, packing, sharding, simhash, topk
 from .common import table
 
 
@@ -29,17 +29,27 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op7_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, their edited texts and their successors by fingerprint."""
+    return multiset.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again, as counts and digests."""
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of equal row counts, equal texts together where they fit."""
+    return sharding.balanced_shards(table(spark, sf_dir, "documents"), shards=8)
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best rows for each vector whose id is divisible by 20."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-QUERIES = {f.__name__: f for f in (op3_pack, op4_chat, op5_simhash, op8_bpe, op10_topk)}
+QUERIES = {f.__name__: f for f in (op3_pack, op4_chat, op5_simhash, op7_multiset, op8_bpe, op9_shards, op10_topk)}
 
 _ESCAPE = r"""regexp_replace({}, '<(\\*)\|', '<\\\1|', 'g')"""
 _NEEDS = r"""regexp_matches({0}, '<\\*\|')"""
