@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, multiset, packing, sharding, simhash, topk
+from . import bpe, chat, multiset, packing, sharding, simhash, topk, toxicity, urls
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a field trained on the labels that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    crf = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), crf)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted", "spans")
+
+
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents cut into power-of-two sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), size=2048, end_id=1).select(
@@ -29,6 +37,15 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+URL_RULES = [urls.Rule("block", "net", "/"), urls.Rule("allow", "example.net", "/en/"),
+             urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/")]
+
+
+def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages judged by the rules, or else by their path's template."""
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
 def op7_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, their edited texts and their successors by fingerprint."""
     return multiset.edited_likeness(table(spark, sf_dir, "documents"))
@@ -49,7 +66,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-QUERIES = {f.__name__: f for f in (op3_pack, op4_chat, op5_simhash, op7_multiset, op8_bpe, op9_shards, op10_topk)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_pack, op4_chat, op5_simhash, op6_urls, op7_multiset, op8_bpe, op9_shards, op10_topk)}
 
 _ESCAPE = r"""regexp_replace({}, '<(\\*)\|', '<\\\1|', 'g')"""
 _NEEDS = r"""regexp_matches({0}, '<\\*\|')"""
