@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, multiset, packing, sharding, simhash, topk, toxicity, urls
+from . import bpe, chat, multiset, packing, sharding, simhash, substring, topk, toxicity, urls
 from .common import table
 
 
@@ -17,6 +17,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted", "spans")
 
 
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of 40 words or more that a document shares with a smaller one."""
+    return substring.passages(table(spark, sf_dir, "documents"))
+
+
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents cut into power-of-two sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), size=2048, end_id=1).select(
@@ -66,7 +71,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_pack, op4_chat, op5_simhash, op6_urls, op7_multiset, op8_bpe, op9_shards, op10_topk)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_substring, op3_pack, op4_chat, op5_simhash, op6_urls, op7_multiset, op8_bpe, op9_shards, op10_topk)}
 
 _ESCAPE = r"""regexp_replace({}, '<(\\*)\|', '<\\\1|', 'g')"""
 _NEEDS = r"""regexp_matches({0}, '<\\*\|')"""
