@@ -268,7 +268,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     n1, n0 = shares[1], shares[0]
     toxic, clean = F.col("toxic"), F.col("clean")
     surprise = lambda n, share: F.when(n > 0, n * F.log(n / ((toxic + clean) * share))).otherwise(0.0)
-    strong = (feature_counts(texts.join(known, "_key"), text).where(toxic > clean)
+    strong = (feature_counts(texts.join(known.hint("merge"), "_key"), text)      # by a shuffle at every size: labels grow, too
+              .where(toxic > clean)
               .withColumn("evidence", 2 * (surprise(toxic, n1 / total) + surprise(clean, n0 / total)))
               .where(F.col("evidence") >= EVIDENCE)
               .orderBy(F.desc("evidence"), "feature").limit(LEXICON).select("feature").collect())
