@@ -17,14 +17,14 @@ def state(edges: DataFrame) -> tuple[int, int]:
 def large_star(edges: DataFrame) -> DataFrame:
     """Link each node's larger neighbours to the smallest node in its neighbourhood."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
+    least = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m")), "least")
     return both.join(least, F.col("a") == F.col("k")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
     """Link each node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m")
+    least = materialise(down.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m"), "least")
     pairs = down.join(least, F.col("a") == F.col("k"))
     return (pairs.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(least.select(F.col("k").alias("a"), F.col("m").alias("b"))).distinct())
@@ -33,7 +33,8 @@ def small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): each node of ``edges`` (a, b) with the smallest node that it reaches.
 
-    Each round is written to the shared folder, which cuts the lineage. The
+    Each round is written to the shared folder, which cuts the lineage; so are
+    the minima, as a join that shared their aggregation's exchange couldn't be split. The
     rounds end when a round changes nothing (about the logarithm of the
     longest path); a node with very many neighbours is one key of joins whose
     large partitions AQE splits, and its minimum is aggregated before the shuffle.
