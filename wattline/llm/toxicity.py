@@ -142,7 +142,7 @@ class Crf:
     def tag(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
         """Marginals of each text's words, and each text's (expected count, highest, share, 1)."""
         words = [WORDS.findall(t) for t in texts]
-        lengths = np.array([len(w) for w in words])
+        lengths = np.array([len(w) for w in words], dtype=np.int64)
         known, emission = self._known, self.emission
         emit = np.array([x if (x := known.get(w)) is not None else emission(w) for ws in words for w in ws], dtype=np.float64)
         start = np.zeros(len(emit), dtype=bool)
@@ -261,9 +261,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
              .groupBy(F.col(key).alias("_key")).agg(F.max(F.col(label).cast("int")).alias("toxic")).where("toxic in (0, 1)"))
     shares = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     total = sum(shares.values())
+    rate = shares.get(1, 0) / total if total else 0.0
+    unlearned = Crf(document=np.array([0.0, 0.0, 0.0, np.log(max(rate, 1e-300) / max(1 - rate, 1e-300))]))
     if len(shares) < 2:
-        rate = shares.get(1, 0) / total if total else 0.0
-        return Crf(document=np.array([0.0, 0.0, 0.0, np.log(max(rate, 1e-300) / max(1 - rate, 1e-300))]))
+        return unlearned
     texts = docs.select(F.col(key).alias("_key"), text)
     n1, n0 = shares[1], shares[0]
     toxic, clean = F.col("toxic"), F.col("clean")
@@ -280,6 +281,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         got = texts.join(F.broadcast(few), "_key").where(F.char_length(text) <= sample_chars).select("_key", text).collect()
         once = {r["_key"]: r[text] for r in sorted(got, key=lambda r: (r["_key"], r[text]))}
         picked += [(t, toxic) for t in once.values()]
+    if {t for _, t in picked} != {0, 1}:
+        return unlearned
     return train(picked, [r["feature"] for r in strong], (n0 / total, n1 / total))
 
 
