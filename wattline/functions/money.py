@@ -1,30 +1,31 @@
-"""Repeatable sums.
+"""Totals, means and strict numbers.
 
-A double sum depends on the order rows arrive in, which differs between runs
-and engines. Summing as a fixed-scale decimal is exact and order-free; the
-total is turned back into a double once.
+Totals are plain sums of doubles, so no digit of an input is cut. A double
+sum's last digits depend on the order rows arrive in; whoever compares results
+between runs or engines rounds the total, once, with ``rounded``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
-SUM_TYPE = "decimal(18,6)"
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def exact_sum(col: Column | str) -> Column:
-    return F.sum(_c(col).cast(SUM_TYPE)).cast("double")
+def total(col: Column | str) -> Column:
+    return F.sum(_c(col).cast("double"))
 
 
-def exact_avg(col: Column | str) -> Column:
+def mean(col: Column | str) -> Column:
     """Mean of the non-NULL values, NULL when there are none."""
-    c = _c(col)
-    n = F.count(c)
-    return F.when(n > 0, exact_sum(c) / n)
+    return F.avg(_c(col).cast("double"))
+
+
+def rounded(df: DataFrame, places: int = 6) -> DataFrame:
+    """``df`` with its double columns rounded, for comparison of finished totals."""
+    return df.withColumns({c: F.round(c, places) for c, t in df.dtypes if t == "double"})
 
 
 def strict_double(col: Column | str) -> Column:

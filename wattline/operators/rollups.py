@@ -1,36 +1,35 @@
 """Roll-ups of the gold fact (daily table and dashboard tiles).
 
-All sums are exact (decimal) so they repeat across runs and engines; every
-group-by is a partial + final hash aggregate, so no key is sent whole.
+Sums are plain double sums of the stored values; every group-by is a partial + final hash aggregate, so no key is sent whole.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.money import exact_avg, exact_sum
+from ..functions.money import mean, total
 from ..functions.time import month_start
 
 
 def daily_energy(fact: DataFrame) -> DataFrame:
     """agg_daily_energy: per usage_date total kWh, total cost, plain mean rate."""
     return fact.groupBy("usage_date").agg(
-        exact_sum("kwh").alias("total_kwh"),
-        exact_sum("cost").alias("total_cost"),
-        exact_avg("unit_rate").alias("avg_rate"))
+        total("kwh").alias("total_kwh"),
+        total("cost").alias("total_cost"),
+        mean("unit_rate").alias("avg_rate"))
 
 
 def scorecard(fact: DataFrame) -> DataFrame:
     return fact.agg(
-        exact_sum("kwh").alias("total_kwh"),
-        exact_avg("unit_rate").alias("avg_rate"),
-        exact_sum("cost").alias("total_cost"))
+        total("kwh").alias("total_kwh"),
+        mean("unit_rate").alias("avg_rate"),
+        total("cost").alias("total_cost"))
 
 
 def hourly_profile(fact: DataFrame) -> DataFrame:
     return fact.groupBy("hour_of_day").agg(
-        exact_sum("kwh").alias("total_kwh"),
-        exact_avg("kwh").alias("avg_kwh"),
+        total("kwh").alias("total_kwh"),
+        mean("kwh").alias("avg_kwh"),
         F.count(F.lit(1)).alias("intervals"))
 
 
@@ -48,18 +47,18 @@ def rate_over_time(daily: DataFrame) -> DataFrame:
 
 def band_split(fact: DataFrame) -> DataFrame:
     return fact.groupBy("time_band").agg(
-        exact_sum("kwh").alias("total_kwh"),
-        exact_sum("cost").alias("total_cost"),
+        total("kwh").alias("total_kwh"),
+        total("cost").alias("total_cost"),
         F.count(F.lit(1)).alias("intervals"))
 
 
 def cost_by_tariff_band(fact: DataFrame) -> DataFrame:
     return fact.groupBy("tariff_code", "time_band").agg(
-        exact_sum("kwh").alias("total_kwh"),
-        exact_sum("cost").alias("total_cost"))
+        total("kwh").alias("total_kwh"),
+        total("cost").alias("total_cost"))
 
 
 def monthly_usage(consumption: DataFrame, ts: str = "interval_start_uk") -> DataFrame:
     """Monthly kWh on the UK wall clock (a UTC month would move summer midnights)."""
     return (consumption.groupBy(month_start(ts).alias("month"))
-            .agg(exact_sum("kwh").alias("kwh")))
+            .agg(total("kwh").alias("kwh")))

@@ -11,7 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import materialise
@@ -32,22 +35,36 @@ class EmptyBatch(ValueError):
     pass
 
 
+class BadKeys(ValueError):
+    """The batch has a NULL key, or several rows of one key and no order that picks one."""
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table at ``path``: no folder, or one without data files, is none.
+
+    Anything else that goes wrong (an unreadable file, no permission) raises:
+    it mustn't be taken for an empty table that may be overwritten.
+    """
     try:
         spark.read.parquet(path).schema  # noqa: B018 - forces the footer read
         return True
-    except Exception:  # AnalysisException: path does not exist / no files
-        return False
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
            partition_col: str, partition_expr: Column,
            arrival: Sequence[str | Column] = (), version: Sequence[str] = (),
-           range_cols: tuple[str, str] | None = None, allow_empty: bool = True) -> UpsertResult:
+           range_cols: tuple[str, str] | None = None, allow_empty: bool = True,
+           keep_duplicates: bool = False) -> UpsertResult:
     """Insert-or-replace ``batch`` into the table at ``path`` by ``keys``.
 
-    * in-batch duplicates: the first row in ``arrival`` order wins; with no
-      ``arrival`` every batch row is kept (delete + insert by key);
+    * in-batch duplicates: the first row in ``arrival`` order wins; without
+      ``arrival`` and ``version`` they raise ``BadKeys``, unless
+      ``keep_duplicates`` asks for delete + insert of all of them;
+    * a NULL in a key raises ``BadKeys``, before anything is written;
     * with ``version`` empty, a batch row replaces the stored row;
       with ``version`` set, the higher version wins (stream replays are harmless).
     ``partition_expr`` must be a function of the key columns. An empty batch
@@ -60,10 +77,15 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
     elif arrival:
         staged = first_per_key(staged, keys, list(arrival))
     staged = materialise(staged, "upsert-batch")   # the batch is read several times below
+    if not (version or arrival or keep_duplicates) and staged.groupBy(*keys).count().where("count > 1").head(1):
+        raise BadKeys(f"several rows of one key {keys} and no arrival order")
     # One small job: rows and range per touched partition (bounded by the calendar / code list).
     lo_col, hi_col = range_cols or (keys[0], keys[0])
     per_part = (staged.groupBy(partition_col)
-                .agg(F.count(F.lit(1)), F.min(lo_col), F.max(hi_col)).collect())
+                .agg(F.count(F.lit(1)), F.min(lo_col), F.max(hi_col),
+                     F.count_if(reduce(or_, [F.col(k).isNull() for k in keys]))).collect())
+    if any(r[4] or r[0] is None for r in per_part):
+        raise BadKeys(f"NULL in the key {keys}")
     touched = [r[0] for r in per_part]
     fetched = sum(r[1] for r in per_part)
     if fetched == 0:

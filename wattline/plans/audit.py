@@ -28,18 +28,16 @@ def audited_load(spark: SparkSession, audit_path: str, source: str,
     max_interval). On error a FAILED row with zero counts and the message is
     appended and the error is raised again.
     """
-    run_id = run_id or str(uuid.uuid4())
-    start = _now()
+    row = dict(run_id=run_id or str(uuid.uuid4()), source=source, start_time=_now(), end_time=None, status="FAILED",
+               records_fetched=0, records_inserted=0, min_interval=None, max_interval=None, error_message=None)
     try:
         fetched, inserted, lo, hi = load()
+        row |= dict(status="SUCCESS", records_fetched=int(fetched), records_inserted=int(inserted),
+                    min_interval=lo, max_interval=hi)
     except Exception as exc:
-        row = dict(run_id=run_id, source=source, start_time=start, end_time=_now(), status="FAILED",
-                   records_fetched=0, records_inserted=0, min_interval=None, max_interval=None,
-                   error_message=str(exc)[:4000])
-        append_audit(spark, audit_path, row)
+        row["error_message"] = str(exc)
         raise
-    row = dict(run_id=run_id, source=source, start_time=start, end_time=_now(), status="SUCCESS",
-               records_fetched=int(fetched), records_inserted=int(inserted),
-               min_interval=lo, max_interval=hi, error_message=None)
-    append_audit(spark, audit_path, row)
+    finally:                                     # whatever happened, the run leaves its row
+        row["end_time"] = _now()
+        append_audit(spark, audit_path, row)
     return row

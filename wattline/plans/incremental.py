@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -38,7 +39,7 @@ def lookback_filter(consumption: DataFrame, hwm: dt.datetime | None, days: int =
 
 
 def write_fact(spark: SparkSession, path: str, fact: DataFrame, full_refresh: bool = False,
-               time_clustered: bool = False) -> UpsertResult:
+               time_clustered: bool = False, meter_keys: Sequence[str] = ()) -> UpsertResult:
     """Write the fact by UTC day. A full refresh rewrites everything; otherwise keyed upsert.
 
     ``time_clustered`` says the rows already arrive grouped by time (see
@@ -54,8 +55,8 @@ def write_fact(spark: SparkSession, path: str, fact: DataFrame, full_refresh: bo
          .option("partitionOverwriteMode", "static").partitionBy(FACT_PARTITION).parquet(path))
         n = spark.read.parquet(path).count()
         return UpsertResult(path, n, n, -1)
-    return upsert(spark, path, fact, keys=["interval_start_utc"], partition_col=FACT_PARTITION,
-                  partition_expr=day)
+    return upsert(spark, path, fact, keys=[*meter_keys, "interval_start_utc"], partition_col=FACT_PARTITION,
+                  partition_expr=day, keep_duplicates=True)   # overlapping windows fan out; the unique test reports it
 
 
 _UNSET = object()
@@ -63,7 +64,8 @@ _UNSET = object()
 
 def incremental_fact(spark: SparkSession, path: str, consumption: DataFrame, agreements: DataFrame,
                      tariffs: DataFrame, lookback_days: int = LOOKBACK_DAYS,
-                     full_refresh: bool = False, hwm=_UNSET, time_clustered: bool = False) -> UpsertResult:
+                     full_refresh: bool = False, hwm=_UNSET, time_clustered: bool = False,
+                     meter_keys: Sequence[str] = ()) -> UpsertResult:
     """Reprice the last ``lookback_days`` (or everything) and replace those keys.
 
     Rows older than the lookback are kept as stored, so a late correction older
@@ -79,9 +81,9 @@ def incremental_fact(spark: SparkSession, path: str, consumption: DataFrame, agr
         lo = F.lit(hwm - dt.timedelta(days=lookback_days))
         agreements = agreements.filter(F.col("valid_to_utc") > lo)
         tariffs = tariffs.filter(F.col("valid_to_utc") > lo)
-    fact = price_intervals(batch, agreements, tariffs)
+    fact = price_intervals(batch, agreements, tariffs, meter_keys=meter_keys)
     return write_fact(spark, path, fact, full_refresh=full_refresh or hwm is None,
-                      time_clustered=time_clustered)
+                      time_clustered=time_clustered, meter_keys=meter_keys)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:

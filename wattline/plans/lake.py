@@ -51,13 +51,13 @@ def write_snapshot(df: DataFrame, spec: ExportSpec, root: str, mode: str = "over
         raise ValueError("mode must be 'overwrite' (truncate) or 'append'")
     path = f"{root.rstrip('/')}/bronze/{spec.table}"
     out = snapshot(df, spec)
-    writer = out.write.mode(mode)
+    writer = out.write.mode(mode).option("partitionOverwriteMode", "static")   # truncate means all of it
     if spec.partition_field:
         out = out.withColumn(DAY_COLUMN, F.to_date(spec.partition_field))
         # Range-partitioned on (day, sort key): a day is written by few tasks, in
         # order, and a hot day is still split (equal range keys share a task).
         out = out.repartitionByRange(DAY_COLUMN, *spec.order_by).sortWithinPartitions(*spec.order_by)
-        writer = out.write.mode(mode).partitionBy(DAY_COLUMN)
+        writer = out.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(DAY_COLUMN)
     writer.parquet(path)
     return path
 
@@ -66,9 +66,8 @@ def export_tables(tables: Mapping[str, DataFrame], names: Iterable[str], root: s
                   mode: str = "overwrite") -> dict[str, str]:
     """Export several named tables; an unknown name is an error that lists valid ones."""
     names = list(names)
-    for name in names:
-        if name not in EXPORTS:
-            raise ValueError(f"Unsupported table {name}. Valid values: {', '.join(sorted(EXPORTS))}")
+    if strange := set(names) - set(EXPORTS):
+        raise ValueError(f"no export is defined for {sorted(strange)}; defined are {sorted(EXPORTS)}")
     return {name: write_snapshot(tables[name], EXPORTS[name], root, mode) for name in names}
 
 

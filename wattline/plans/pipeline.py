@@ -7,6 +7,7 @@ the first failure stops the run (its audit row says FAILED).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -55,73 +56,118 @@ def _stamp(df: DataFrame, now: dt.datetime | None) -> DataFrame:
 
 
 def load_usage(spark: SparkSession, lk: Lake, batch: DataFrame, arrival=(), now=None,
-               source: str = "usage_api") -> dict:
-    """Upsert readings by ``interval_start_utc`` into day partitions, audited."""
+               source: str = "usage_api", meter_keys: Sequence[str] = ()) -> dict:
+    """Upsert readings by (meter keys, ``interval_start_utc``) into day partitions, audited.
+
+    Of several readings of one key the first in ``arrival`` order is kept; without an
+    order they fail the load.
+    """
+    keys = [*meter_keys, "interval_start_utc"]
+
     def run():
-        b = _stamp(batch.select("interval_start_utc", "interval_start_uk",
-                                strict_double("kwh").alias("kwh"), *arrival), now)
-        res = upsert(spark, lk.consumption, b, ["interval_start_utc"], "day",
-                     F.to_date("interval_start_utc"), arrival=list(arrival), allow_empty=False)
+        b = _stamp(batch.select(*keys, "interval_start_uk", strict_double("kwh").alias("kwh"), *arrival), now)
+        res = upsert(spark, lk.consumption, b, keys, "day", F.to_date("interval_start_utc"), arrival=list(arrival),
+                     range_cols=("interval_start_utc", "interval_start_utc"), allow_empty=False)
         return res.rows_in_batch, res.rows_inserted, res.range_min, res.range_max
     return audit.audited_load(spark, lk.audit, source, run)
 
 
-def load_windows(spark: SparkSession, lk: Lake, path: str, batch: DataFrame, source: str, now=None) -> dict:
-    """Upsert agreements or rates by (tariff_code, valid_from_utc), audited."""
+#: Folders of a window table. Codes are hashed into them, so their number doesn't grow with the codes.
+WINDOW_BUCKETS = 64
+
+
+def load_windows(spark: SparkSession, lk: Lake, path: str, batch: DataFrame, source: str, now=None, arrival=()) -> dict:
+    """Upsert agreements or rates by (tariff_code, valid_from_utc), audited; duplicates as in ``load_usage``."""
     def run():
         b = _stamp(batch, now)
-        res = upsert(spark, path, b, ["tariff_code", "valid_from_utc"], "code",
-                     F.col("tariff_code"), arrival=["valid_from_utc"],
+        res = upsert(spark, path, b, ["tariff_code", "valid_from_utc"], "bucket",
+                     F.pmod(F.xxhash64("tariff_code"), F.lit(WINDOW_BUCKETS)).cast("int"), arrival=list(arrival),
                      range_cols=("valid_from_utc", "valid_to_utc"), allow_empty=False)
         return res.rows_in_batch, res.rows_inserted, res.range_min, res.range_max
     return audit.audited_load(spark, lk.audit, source, run)
 
 
-def build_models(spark: SparkSession, lk: Lake, lookback_days: int = 1,
-                 full_refresh: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Silver views over bronze, the incremental fact, the daily table (overwritten)."""
+class TestsFailed(RuntimeError):
+    """A test of severity "error" found failing rows; what depends on its table isn't built."""
+
+    __test__ = False
+
+
+def not_null(df: DataFrame, columns: Sequence[str], prefix: str = "") -> dict[str, DataFrame]:
+    return {f"{prefix}{c} not null": df.where(F.col(c).isNull()) for c in columns}
+
+
+def silver_tests(consumption: DataFrame, agreements: DataFrame, tariffs: DataFrame,
+                 meter_keys: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Failing rows of the cleaned tables: five columns not null, one key unique."""
+    return (not_null(consumption, ["interval_start_utc", "kwh"], "consumption ")
+            | not_null(agreements, ["tariff_code"], "agreements ") | not_null(tariffs, ["tariff_code", "unit_rate"], "tariffs ")
+            | {"consumption unique": quality.unique_check(consumption, [*meter_keys, "interval_start_utc"])})
+
+
+def run_tests(fact: DataFrame, meter_keys: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Failing rows of the fact: three columns not null, the key unique, no half hour missing."""
+    keys = list(meter_keys)
+    return {
+        "not_null": quality.null_check(fact, ["interval_start_utc", "kwh", "cost"], [*keys, "interval_start_utc"]),
+        "unique": quality.unique_check(fact, [*keys, "interval_start_utc"]),
+        # Same rows as the series form; pre-aggregates before it shuffles.
+        "no_missing_intervals": quality.missing_by_mask(fact, keys=keys) if keys else quality.missing_by_mask(fact),
+    }
+
+
+def count_failures(tests: Mapping[str, DataFrame]) -> dict[str, int]:
+    return {name: failing.count() for name, failing in tests.items()}
+
+
+def gate(tests: Mapping[str, DataFrame], severity: str | Mapping[str, str] = "error") -> dict[str, int]:
+    """Evaluate the tests. Failing rows of a test of severity "error" stop the build; "warn" only counts them."""
+    found = count_failures(tests)
+    of = (lambda name: severity) if isinstance(severity, str) else (lambda name: severity.get(name, "error"))
+    if stop := {name: n for name, n in found.items() if n and of(name) == "error"}:
+        raise TestsFailed(", ".join(f"{name}: {n} failing rows" for name, n in stop.items()))
+    return found
+
+
+def build_models(spark: SparkSession, lk: Lake, lookback_days: int = 1, full_refresh: bool = False,
+                 meter_keys: Sequence[str] = (), severity: str | Mapping[str, str] = "error",
+                 found: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Silver views over bronze, their tests, the incremental fact, its tests, the daily table (overwritten).
+
+    A failing test (see ``gate``) stops what depends on its table. ``found`` receives the counts.
+    """
+    found = {} if found is None else found
     hwm = None if full_refresh else incremental.high_water_mark(spark, lk.fact)
     # The lookback also filters the bronze day partitions: every version of a
     # key shares its day, so pruning before the dedupe changes nothing.
     bronze = incremental.lookback_filter(spark.read.parquet(lk.consumption), hwm, lookback_days,
                                          day_col="day").drop("day")
-    full = hwm is None
-    # A full build range-partitions on time: one shuffle for dedupe, joins and the write.
-    consumption = staging.stg_consumption(bronze, cluster_by_time=full)
-    agreements = staging.stg_agreements(spark.read.parquet(lk.agreements).drop("code"))
-    tariffs = staging.stg_tariffs(spark.read.parquet(lk.tariffs).drop("code"))
-    incremental.incremental_fact(spark, lk.fact, consumption, agreements, tariffs,
-                                 lookback_days=lookback_days, full_refresh=full_refresh, hwm=hwm,
-                                 time_clustered=full)
+    consumption = staging.stg_consumption(bronze, keys=[*meter_keys, "interval_start_utc"])
+    agreements = staging.stg_agreements(spark.read.parquet(lk.agreements).drop("bucket"))
+    tariffs = staging.stg_tariffs(spark.read.parquet(lk.tariffs).drop("bucket"))
+    found |= gate(silver_tests(consumption, agreements, tariffs, meter_keys), severity)
+    incremental.incremental_fact(spark, lk.fact, consumption, agreements, tariffs, lookback_days=lookback_days,
+                                 full_refresh=full_refresh, hwm=hwm, meter_keys=meter_keys)
     fact = incremental.read_fact(spark, lk.fact)
+    found |= gate(run_tests(fact, meter_keys), severity)
     rollups.daily_energy(fact).write.mode("overwrite").parquet(lk.daily)
     return fact, spark.read.parquet(lk.daily)
 
 
-def run_tests(fact: DataFrame) -> dict[str, DataFrame]:
-    """The schema tests and the continuity test; each frame lists failures."""
-    return {
-        "not_null": quality.null_check(fact, ["interval_start_utc", "kwh", "cost"], ["interval_start_utc"]),
-        "unique": quality.unique_check(fact, ["interval_start_utc"]),
-        # Same rows as the series form; pre-aggregates before it shuffles.
-        "no_missing_intervals": quality.missing_by_mask(fact),
-    }
-
-
 def run(spark: SparkSession, lk: Lake, agreements: DataFrame, tariffs: DataFrame, usage: DataFrame,
-        export_root: str | None = None, usage_arrival=(), now=None) -> dict:
-    """Agreements → tariffs → usage → (export) → models → tests; stops at the first failure."""
-    out = {"audit": []}
+        export_root: str | None = None, usage_arrival=(), now=None, meter_keys: Sequence[str] = (),
+        severity: str | Mapping[str, str] = "error") -> dict:
+    """Agreements → tariffs → usage → (export) → silver → tests → fact → tests → daily; stops at the first failure."""
+    out = {"audit": [], "tests": {}}
     out["audit"].append(load_windows(spark, lk, lk.agreements, agreements, "agreements_feed", now))
     out["audit"].append(load_windows(spark, lk, lk.tariffs, tariffs, "rates_feed", now))
-    out["audit"].append(load_usage(spark, lk, usage, usage_arrival, now))
+    out["audit"].append(load_usage(spark, lk, usage, usage_arrival, now, meter_keys=meter_keys))
     if export_root:
         bronze = {"raw_consumption": spark.read.parquet(lk.consumption).drop("day"),
-                  "raw_agreements": spark.read.parquet(lk.agreements).drop("code"),
-                  "raw_tariffs": spark.read.parquet(lk.tariffs).drop("code")}
+                  "raw_agreements": spark.read.parquet(lk.agreements).drop("bucket"),
+                  "raw_tariffs": spark.read.parquet(lk.tariffs).drop("bucket")}
         out["exports"] = lake.export_tables(bronze, list(bronze), export_root)
-    out["fact"], out["daily"] = build_models(spark, lk)
-    out["tests"] = run_tests(out["fact"])
+    out["fact"], out["daily"] = build_models(spark, lk, meter_keys=meter_keys, severity=severity, found=out["tests"])
     return out
 
 

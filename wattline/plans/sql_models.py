@@ -76,10 +76,9 @@ FROM (
 
 DAILY = """
 SELECT usage_date,
-       CAST(sum(CAST(kwh AS DECIMAL(18,6))) AS DOUBLE) AS total_kwh,
-       CAST(sum(CAST(cost AS DECIMAL(18,6))) AS DOUBLE) AS total_cost,
-       CASE WHEN count(unit_rate) > 0
-            THEN CAST(sum(CAST(unit_rate AS DECIMAL(18,6))) AS DOUBLE) / count(unit_rate) END AS avg_rate
+       sum(kwh) AS total_kwh,
+       sum(cost) AS total_cost,
+       avg(unit_rate) AS avg_rate
 FROM {fact} GROUP BY usage_date
 """
 

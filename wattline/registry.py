@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions.codes import product_code
+from .functions.money import rounded, total
 from .functions.time import to_uk_wall_clock
 from .operators import dedupe, quality, rollups, staging, validity
 from .plans import fact as fact_plan
@@ -98,10 +99,7 @@ stg_tariffs AS (
 fct AS ({_priced("stg_consumption")}),
 daily AS (
     SELECT usage_date,
-           CAST(sum(CAST(kwh AS DECIMAL(18,6))) AS DOUBLE) AS total_kwh,
-           CAST(sum(CAST(cost AS DECIMAL(18,6))) AS DOUBLE) AS total_cost,
-           CASE WHEN count(unit_rate) > 0
-                THEN CAST(sum(CAST(unit_rate AS DECIMAL(18,6))) AS DOUBLE) / count(unit_rate) END AS avg_rate
+           round(sum(kwh), 6) AS total_kwh, round(sum(cost), 6) AS total_cost, round(avg(unit_rate), 6) AS avg_rate
     FROM fct GROUP BY usage_date
 ),
 order_windows AS (
@@ -129,11 +127,11 @@ def oracle(body: str, extra_ctes: str = "") -> str:
 
 
 def dsum(col: str) -> str:
-    return f"CAST(sum(CAST({col} AS DECIMAL(18,6))) AS DOUBLE)"
+    return f"round(sum({col}), 6)"
 
 
 def davg(col: str) -> str:
-    return f"CASE WHEN count({col}) > 0 THEN {dsum(col)} / count({col}) END"
+    return f"round(avg({col}), 6)"
 
 
 QUERIES: dict[str, Query] = {}
@@ -163,8 +161,7 @@ def gold_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _GOLD:
         path = scratch_path(spark, "gold-fct")
-        incremental.write_fact(spark, path, fact_plan.fact_from_tables(spark, sf_dir, cluster_by_time=True),
-                               full_refresh=True, time_clustered=True)
+        incremental.write_fact(spark, path, fact_plan.fact_from_tables(spark, sf_dir), full_refresh=True)
         _GOLD[key] = path
     return incremental.read_fact(spark, _GOLD[key])
 
@@ -182,19 +179,19 @@ def fct_cost_inline(spark, sf_dir):
 
 @register("daily_energy", oracle("SELECT * FROM daily"))
 def daily_energy(spark, sf_dir):
-    return rollups.daily_energy(gold_fact(spark, sf_dir))
+    return rounded(rollups.daily_energy(gold_fact(spark, sf_dir)))
 
 
 @register("scorecard", oracle(f"SELECT {dsum('kwh')} AS total_kwh, {davg('unit_rate')} AS avg_rate, "
                               f"{dsum('cost')} AS total_cost FROM fct"))
 def scorecard(spark, sf_dir):
-    return rollups.scorecard(gold_fact(spark, sf_dir))
+    return rounded(rollups.scorecard(gold_fact(spark, sf_dir)))
 
 
 @register("hourly_profile", oracle(f"SELECT hour_of_day, {dsum('kwh')} AS total_kwh, {davg('kwh')} AS avg_kwh, "
                                    "count(*) AS intervals FROM fct GROUP BY hour_of_day"))
 def hourly_profile(spark, sf_dir):
-    return rollups.hourly_profile(gold_fact(spark, sf_dir))
+    return rounded(rollups.hourly_profile(gold_fact(spark, sf_dir)))
 
 
 @register("cost_over_time", oracle("SELECT usage_date, total_cost FROM daily"))
@@ -215,20 +212,20 @@ def rate_over_time(spark, sf_dir):
 @register("band_split", oracle(f"SELECT time_band, {dsum('kwh')} AS total_kwh, {dsum('cost')} AS total_cost, "
                                "count(*) AS intervals FROM fct GROUP BY time_band"))
 def band_split(spark, sf_dir):
-    return rollups.band_split(gold_fact(spark, sf_dir))
+    return rounded(rollups.band_split(gold_fact(spark, sf_dir)))
 
 
 @register("cost_by_tariff_band", oracle(f"SELECT tariff_code, time_band, {dsum('kwh')} AS total_kwh, "
                                         f"{dsum('cost')} AS total_cost FROM fct GROUP BY tariff_code, time_band"))
 def cost_by_tariff_band(spark, sf_dir):
-    return rollups.cost_by_tariff_band(gold_fact(spark, sf_dir))
+    return rounded(rollups.cost_by_tariff_band(gold_fact(spark, sf_dir)))
 
 
 @register("monthly_usage", oracle(f"SELECT CAST(date_trunc('month', interval_start_uk) AS DATE) AS month, "
                                   f"{dsum('kwh')} AS kwh FROM stg_consumption GROUP BY 1"))
 def monthly_usage(spark, sf_dir):
     consumption, _, _ = fact_plan.silver(spark, sf_dir)
-    return rollups.monthly_usage(consumption)
+    return rounded(rollups.monthly_usage(consumption))
 
 
 # --------------------------------------------------------------------------
@@ -550,13 +547,13 @@ def upsert_one_key(spark, sf_dir):
 
 
 @register("load_audit", oracle(
-    "SELECT 'usage_api' AS source, 'SUCCESS' AS status, CAST(count(*) AS INTEGER) AS records_fetched,"
-    " CAST(count(*) AS INTEGER) AS records_inserted, min(interval_start_utc) AS min_interval,"
+    "SELECT 'usage_api' AS source, 'SUCCESS' AS status, CAST(count(*) AS BIGINT) AS records_fetched,"
+    " CAST(count(*) AS BIGINT) AS records_inserted, min(interval_start_utc) AS min_interval,"
     " max(interval_start_utc) AS max_interval, false AS has_error FROM target"
-    " UNION ALL SELECT 'usage_api', 'SUCCESS', CAST(count(*) AS INTEGER),"
+    " UNION ALL SELECT 'usage_api', 'SUCCESS', CAST(count(*) AS BIGINT),"
     " CAST(count(*) FILTER (WHERE interval_start_utc NOT IN (SELECT interval_start_utc FROM target))"
-    " AS INTEGER), min(interval_start_utc), max(interval_start_utc), false FROM batch"
-    " UNION ALL SELECT 'usage_api', 'SUCCESS', CAST(count(*) AS INTEGER), 0,"
+    " AS BIGINT), min(interval_start_utc), max(interval_start_utc), false FROM batch"
+    " UNION ALL SELECT 'usage_api', 'SUCCESS', CAST(count(*) AS BIGINT), 0,"
     " min(interval_start_utc), max(interval_start_utc), false FROM batch"
     " UNION ALL SELECT 'usage_api', 'FAILED', 0, 0, NULL, NULL, true",
     _LOAD_CTES))
@@ -630,7 +627,7 @@ def monthly_upsert(spark, sf_dir):
     everything = staging.stg_consumption(raw, tie_break=["version"])
     for src in (early, everything):
         upsert(spark, path, rollups.monthly_usage(src), ["month"], "year", F.year("month"))
-    return spark.read.parquet(path).select("month", "kwh")
+    return rounded(spark.read.parquet(path).select("month", "kwh"))
 
 
 @register("private_export", oracle(
@@ -685,15 +682,14 @@ def rate_pages(spark, sf_dir):
     f"SELECT CAST(date_trunc('month', interval_start_utc) AS DATE) AS month, {dsum('kwh')} AS kwh"
     " FROM stg_consumption GROUP BY 1"))
 def month_pages(spark, sf_dir):
-    from .functions.money import exact_sum
     from .functions.time import month_start
     from .sources import pages
     path = scratch_path(spark, "month-pages")
     consumption, _, _ = fact_plan.silver(spark, sf_dir)
     monthly = consumption.groupBy(month_start("interval_start_utc").alias("month")).agg(
-        exact_sum("kwh").alias("kwh"))
+        total("kwh").alias("kwh"))
     pages.land_month_pages(monthly, path)
-    return pages.month_rows(spark, path)
+    return rounded(pages.month_rows(spark, path))
 
 
 @register("stream_latest", ORACLES["latest_version"])
@@ -745,16 +741,79 @@ def fct_cost_per_meter(spark, sf_dir):
     return price_readings(raw, agreements, tariffs, meter_keys=["meter_id"], tie_break=["version"])
 
 
-@register("pipeline_run", oracle("SELECT * FROM daily"))
+_FIRST_READING = ("(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys}interval_start_utc ORDER BY version)"
+                  " AS rn FROM consumption_raw) WHERE rn = 1)")
+
+
+@register("pipeline_run", oracle(
+    f"SELECT usage_date, {dsum('kwh')} AS total_kwh, {dsum('cost')} AS total_cost, {davg('unit_rate')} AS avg_rate"
+    " FROM first_fct GROUP BY usage_date", f"first_fct AS ({_priced(_FIRST_READING.format(keys=''))})"))
 def pipeline_run(spark, sf_dir):
-    """Agreements → rates → usage (audited upserts) → export → silver → gold → daily → tests."""
+    """Agreements → rates → usage (raw, with duplicates: the first wins) → export → silver → gold → daily → tests."""
     from .plans import pipeline
     lk = pipeline.Lake(scratch_path(spark, "pipeline"))
-    consumption, _, _ = fact_plan.silver(spark, sf_dir)   # the API sends one reading per slot
     out = pipeline.run(spark, lk, tables.agreements_raw(spark, sf_dir).drop("ingestion_ts"),
-                       tables.tariffs_raw(spark, sf_dir).drop("ingestion_ts"), consumption,
-                       export_root=lk.path("lake"))
-    return out["daily"]
+                       tables.tariffs_raw(spark, sf_dir).drop("ingestion_ts"),
+                       tables.consumption_raw(spark, sf_dir).drop("ingestion_ts"), usage_arrival=["version"],
+                       export_root=lk.path("lake"), severity="warn")   # these series have holes and unpriced ends
+    return rounded(out["daily"])
+
+
+@register("pipeline_per_meter", oracle(_priced(_FIRST_READING.format(keys="meter_id, "), "meter_id")))
+def pipeline_per_meter(spark, sf_dir):
+    """The whole run for many meters: the key of loads, silver and fact is (meter, half hour)."""
+    from .plans import pipeline
+    lk = pipeline.Lake(scratch_path(spark, "pipeline-meters"))
+    out = pipeline.run(spark, lk, tables.agreements_raw(spark, sf_dir).drop("ingestion_ts"),
+                       tables.tariffs_raw(spark, sf_dir).drop("ingestion_ts"),
+                       tables.consumption_raw(spark, sf_dir, with_meter=True).drop("ingestion_ts"),
+                       usage_arrival=["version"], severity="warn", meter_keys=["meter_id"])
+    return out["fact"]
+
+
+@register("upsert_per_meter", oracle(
+    "SELECT meter_id, interval_start_utc, interval_start_uk, kwh + CASE WHEN late THEN 1 ELSE 0 END AS kwh FROM ("
+    " SELECT *, row_number() OVER (PARTITION BY meter_id, interval_start_utc ORDER BY late DESC, version) AS rn FROM ("
+    f" SELECT *, ingestion_ts >= TIMESTAMP '{CUTOFF}' AS late FROM consumption_raw)) WHERE rn = 1"))
+def upsert_per_meter(spark, sf_dir):
+    """Two loads of many meters: the second replaces the slots it holds, of each meter by itself."""
+    from .plans import pipeline
+    lk = pipeline.Lake(scratch_path(spark, "loads-meters"))
+    raw = tables.consumption_raw(spark, sf_dir, with_meter=True)
+    cutoff = F.lit(CUTOFF).cast("timestamp_ntz")
+    late = raw.where(F.col("ingestion_ts") >= cutoff).withColumn("kwh", F.col("kwh") + 1.0)
+    for part in (raw.where(F.col("ingestion_ts") < cutoff), late, late):
+        pipeline.load_usage(spark, lk, part, arrival=["version"], meter_keys=["meter_id"])
+    return spark.read.parquet(lk.consumption).select("meter_id", "interval_start_utc", "interval_start_uk", "kwh")
+
+
+@register("build_gate", oracle(
+    "SELECT 'interval_start_utc not null' AS test, count(*) AS failures FROM stg_consumption WHERE interval_start_utc IS NULL"
+    " UNION ALL SELECT 'kwh not null', count(*) FROM stg_consumption WHERE kwh IS NULL"
+    " UNION ALL SELECT 'fact cost not null', count(*) FROM fct WHERE cost IS NULL"
+    " UNION ALL SELECT 'fact unique', count(*) FROM (SELECT 1 FROM fct GROUP BY interval_start_utc HAVING count(*) > 1)"))
+def build_gate(spark, sf_dir):
+    """Failing rows of tests that gate the build, as the pipeline counts them."""
+    from .plans import pipeline
+    consumption, _, _ = fact_plan.silver(spark, sf_dir)
+    fact = gold_fact(spark, sf_dir)
+    silver = pipeline.count_failures(pipeline.not_null(consumption, ["interval_start_utc", "kwh"]))
+    gold = pipeline.count_failures({"fact cost not null": fact.where("cost IS NULL"),
+                                    "fact unique": quality.unique_check(fact, ["interval_start_utc"])})
+    return spark.createDataFrame(list((silver | gold).items()), "test string, failures long")
+
+
+@register("export_truncate", oracle(
+    "SELECT interval_start_utc, interval_start_uk, kwh, ingestion_ts FROM consumption_raw"
+    f" WHERE interval_start_utc >= TIMESTAMP '{REDELIVERY}'"))
+def export_truncate(spark, sf_dir):
+    """A second, smaller export replaces the first: withdrawn days are gone."""
+    from .plans import lake
+    root = scratch_path(spark, "export-twice")
+    raw = tables.consumption_raw(spark, sf_dir, with_meter=True)
+    for part in (raw, raw.where(F.col("interval_start_utc") >= F.lit(REDELIVERY).cast("timestamp_ntz"))):
+        out = lake.export_tables({"raw_consumption": part}, ["raw_consumption"], root)
+    return spark.read.parquet(out["raw_consumption"]).drop(lake.DAY_COLUMN)
 
 
 # --------------------------------------------------------------------------
@@ -774,4 +833,4 @@ def fct_cost_sql(spark, sf_dir):
 
 @register("daily_energy_sql", oracle("SELECT * FROM daily"))
 def daily_energy_sql(spark, sf_dir):
-    return _sql_models(spark, sf_dir)["agg_daily_energy"]
+    return rounded(_sql_models(spark, sf_dir)["agg_daily_energy"])

@@ -53,8 +53,8 @@ AUDIT = T.StructType([
     T.StructField("start_time", NTZ, True),
     T.StructField("end_time", NTZ, True),
     T.StructField("status", T.StringType(), False),
-    T.StructField("records_fetched", T.IntegerType(), True),
-    T.StructField("records_inserted", T.IntegerType(), True),
+    T.StructField("records_fetched", T.LongType(), True),
+    T.StructField("records_inserted", T.LongType(), True),
     T.StructField("min_interval", NTZ, True),
     T.StructField("max_interval", NTZ, True),
     T.StructField("error_message", T.StringType(), True),

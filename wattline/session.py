@@ -25,13 +25,19 @@ SESSION_DEFAULTS = {
     # hints in the library still apply.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the library needs to an existing session."""
+    """Apply the settings the library needs to an existing session, once.
+
+    What the caller sets afterwards stays. How a write treats partitions is
+    an option of that write, not of the session.
+    """
+    if spark.conf.get("spark.wattline.configured", None):
+        return spark
+    spark.conf.set("spark.wattline.configured", "true")
     for key, value in SESSION_DEFAULTS.items():
         spark.conf.set(key, value)
     return spark
@@ -55,8 +61,7 @@ def get_session(master: str | None = None, app_name: str = "wattline",
     return configure(spark)
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 512 << 20,
-                  max_partitions: int = 400_000) -> int:
+def size_shuffles(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 512 << 20) -> int:
     """Size the initial shuffle so no post-shuffle partition exceeds the target.
 
     AQE then coalesces partitions that come out small and splits skewed
@@ -64,7 +69,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int, target_partition_bytes:
     Scan splits stay at 128 MB (``spark.sql.files.maxPartitionBytes``).
     """
     cores = spark.sparkContext.defaultParallelism
-    n = max(cores, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    n = max(cores, -(-input_bytes // target_partition_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_partition_bytes, 256 << 20)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
@@ -76,13 +81,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Read from the session. Only when it is unset (local tests) is a private
     folder created and registered, once, so ``DataFrame.checkpoint()`` and the
-    library's written intermediates work everywhere.
+    library's written intermediates work everywhere. On a cluster it must be set.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wattline-ckpt-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="wattline-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
 

@@ -18,9 +18,10 @@ def create_table_if_absent(spark: SparkSession, name: str, schema: T.StructType,
               f"LOCATION '{location}'")
 
 
-def ensure_table_exists(spark: SparkSession, name: str) -> None:
+def require_table(spark: SparkSession, name: str) -> None:
+    """Fail early, by name, where a later read would fail on a path."""
     if not spark.catalog.tableExists(name):
-        raise ValueError(f"Table {name} was not found. Run the ingestion first.")
+        raise ValueError(f"{name} isn't in the catalog: no load has created it")
 
 
 def describe(spark: SparkSession, name: str) -> DataFrame:

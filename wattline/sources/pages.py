@@ -26,10 +26,12 @@ def _rows(pages: DataFrame, extra: list[str]) -> DataFrame:
     """Explode ``results`` keeping (page, position) as the arrival order.
 
     Pages landed flat (``page-0001.json``, ...) carry no ``page`` folder; then
-    the file path orders them.
+    the last number of the file name orders them, as a number.
     """
     if "page" not in pages.columns:
-        pages = pages.withColumn("page", F.col("_metadata.file_path"))
+        number = F.regexp_extract("_metadata.file_name", r"(\d+)\D*$", 1).try_cast("long")
+        pages = pages.withColumn("page", F.when(number.isNotNull(), number).otherwise(F.raise_error(
+            F.concat(F.lit("no page number in the file name "), F.col("_metadata.file_name")))))
     return pages.select(*extra, F.posexplode("results").alias("pos", "r"))
 
 
