@@ -185,8 +185,9 @@ def load(name: str) -> PairIndexBpe:
 
 def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", text: str = "text", ids: str = "ids",
            block_bytes: int = 8 << 20) -> DataFrame:
-    """``docs`` with the token ids of ``text`` in a new column ``ids`` (array of int)."""
+    """``docs`` with the token ids of ``text`` in a column ``ids`` (array of int), which replaces one of that name."""
     bound_arrow(docs.sparkSession)
+    docs = docs.drop(ids)
     schema = docs.select("*", F.lit(None).cast("array<int>").alias(ids)).schema
 
     def run(batches):
@@ -201,8 +202,9 @@ def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", text: str = "
 
 
 def decode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``docs`` with the text of ``ids`` in a new column; null ids decode to the empty text."""
+    """``docs`` with the text of ``ids`` in a column that replaces one of that name; null ids decode to the empty text."""
     bound_arrow(docs.sparkSession)
+    docs = docs.drop(text)
     schema = docs.select("*", F.lit(None).cast("string").alias(text)).schema
 
     def run(batches):

@@ -232,9 +232,9 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     Rows are numbered once and written with their fingerprints, so that
     repeated rows can be told apart; columns stay as they are.
     """
-    marked = materialise(with_fingerprints(docs, text, "_f", shingle)
-                         .withColumn("_row", F.monotonically_increasing_id()), "fingerprints")
-    order = F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"), F.col("_row").alias("r"))
-    rank = marked.select(F.col("_f").alias("f"), order.alias("o"))
-    keep = classes(rank, "o", radius).select(F.col("least.r").alias("_row")).distinct()
-    return marked.join(keep, "_row", "left_semi").select(*docs.columns)
+    marked = materialise(with_fingerprints(docs, text, "_simhash", shingle)
+                         .withColumn("_simhash_row", F.monotonically_increasing_id()), "fingerprints")
+    order = F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"), F.col("_simhash_row").alias("r"))
+    rank = marked.select(F.col("_simhash").alias("f"), order.alias("o"))
+    keep = classes(rank, "o", radius).select(F.col("least.r").alias("_simhash_row")).distinct()
+    return marked.join(keep, "_simhash_row", "left_semi").select(*docs.columns)

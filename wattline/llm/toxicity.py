@@ -286,11 +286,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return train(picked, [r["feature"] for r in strong], (n0 / total, n1 / total))
 
 
-def score(docs: DataFrame, crf: Crf, text: str = "text") -> DataFrame:
-    """``docs`` with score, predicted (1 from 0.5 on) and spans (start and end of each toxic run of words)."""
+def score(docs: DataFrame, crf: Crf, text: str = "text", prefix: str = "") -> DataFrame:
+    """``docs`` with score, predicted (1 from 0.5 on) and spans (start and end of each toxic run of words).
+
+    Columns of those names (with ``prefix``) are replaced.
+    """
     bound_arrow(docs.sparkSession)
-    schema = docs.withColumns({"score": F.lit(0.0), "predicted": F.lit(0),
-                               "spans": F.lit(None).cast("array<struct<start: int, end: int>>")}).schema
+    names = [prefix + n for n in ("score", "predicted", "spans")]
+    docs = docs.drop(*names)
+    schema = docs.withColumns(dict(zip(names, (F.lit(0.0), F.lit(0), F.lit(None).cast("array<struct<start: int, end: int>>"))))).schema
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
@@ -299,7 +303,8 @@ def score(docs: DataFrame, crf: Crf, text: str = "text") -> DataFrame:
             parts, rows = crf.tag(texts)
             s = crf.scores(rows)
             found = [[{"start": a, "end": b} for a, b in spans(x, p)] if len(p) and p.max() >= 0.5 else [] for x, p in zip(texts, parts)]
-            t = t.append_column("score", pa.array(s, pa.float64())).append_column("predicted", pa.array((s >= 0.5).astype(np.int32), pa.int32()))
-            yield from t.append_column("spans", pa.array(found, kind)).to_batches()
+            for name, column in zip(names, (pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32), pa.int32()), pa.array(found, kind))):
+                t = t.append_column(name, column)
+            yield from t.to_batches()
 
     return docs.mapInArrow(run, schema)
