@@ -15,7 +15,6 @@ gives an empty table.
 from __future__ import annotations
 
 import re
-import struct
 import zlib
 from functools import lru_cache
 
@@ -29,7 +28,7 @@ from .bpe import byte_letters
 from .common import blocks, bound_arrow, tokenizer_path
 
 #: Words and parts of words whose ids a worker remembers; the memory is cleared when full.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 700_000
 
 
 class WordIds(dict):
@@ -42,7 +41,7 @@ class WordIds(dict):
     """
 
     #: Printable ASCII and Latin letters: one code point each under lower-casing and NFC.
-    plain = re.compile("[!-~\u00a1-\u012f\u0131-\u017e]+")
+    latin = re.compile("[!-~\u00a1-\u012f\u0131-\u017e]+")
     #: The vocabulary's pre-token pattern.
     pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
@@ -53,7 +52,8 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
+        self.tokenize, self.plain = self.tokenizer.model.tokenize, self.latin.fullmatch
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.letters = dict(enumerate(byte_letters()))
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
@@ -62,21 +62,23 @@ class WordIds(dict):
 
     def tokens(self, piece: str) -> bytes:
         shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.model.tokenize(shown)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.tokenize(shown)])
 
     def piece(self, piece: str) -> bytes:
-        if piece not in self:
-            self[piece] = self.tokens(piece)
-        return self[piece]
+        key = piece.encode()
+        return self[key] if piece.isalpha() else self.get(key) or self.tokens(piece)
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
-        if not self.plain.fullmatch(text):
+        lower = text.lower()
+        if not self.plain(text):
             ids = self.whole(text)
-        elif (lower := text.lower()).isalpha():
-            ids = self.tokens(lower)
-        elif any(s in text for s in self.specials):
+        elif lower.isalpha():                                   # other forms share the ids of the lower-case word
+            ids = self.tokens(lower) if lower == text else self[lower.encode()]
+        elif lower[:-1].isalpha() and not lower[-1].isalnum():  # a word and one mark
+            ids = self[lower[:-1].encode()] + self.piece(lower[-1])
+        elif "<" in text and any(s in text for s in self.specials):
             ids = self.whole(text)
         else:
             ids = b"".join(map(self.piece, self.pieces.findall(lower)))
