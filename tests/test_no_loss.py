@@ -113,3 +113,10 @@ def test_flagship_shuffles_only_what_the_dedupe_leaves(spark):
     plan = plan.split("== Initial Plan ==")[0]
     above, _, below = plan.partition("Exchange hashpartitioning")
     assert "WindowGroupLimit" in below and "rangepartitioning" not in plan
+
+
+def test_period_in_order(spark):
+    from wattline.operators import filters
+    rows = readings(spark, [(1, f"2024-01-0{d} 00:00:00", float(d), d) for d in (5, 1, 4, 2, 3)]).repartition(3)
+    got = filters.period(rows, "interval_start_utc", "2024-01-02T00:00:00Z", "2024-01-05T00:00:00Z", ordered=True)
+    assert [r.version for r in got.collect()] == [2, 3, 4]

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.time import parse_instant
 
 
-def period(df: DataFrame, ts: str, period_from: str | None = None, period_to: str | None = None) -> DataFrame:
-    """Rows with ``period_from <= ts < period_to`` (ISO-8601 bounds, any offset).
+def period(df: DataFrame, ts: str, period_from: str | None = None, period_to: str | None = None,
+           ordered: bool = False) -> DataFrame:
+    """Rows with ``period_from <= ts < period_to`` (ISO-8601 bounds, any offset), by ``ts`` if ``ordered``.
 
     The bounds fold to literals, so the predicate is pushed into the Parquet
     scan (and prunes day partitions when the table is partitioned by day).
@@ -20,7 +21,8 @@ def period(df: DataFrame, ts: str, period_from: str | None = None, period_to: st
         cond = cond & (F.col(ts) >= parse_instant(F.lit(period_from)))
     if period_to is not None:
         cond = cond & (F.col(ts) < parse_instant(F.lit(period_to)))
-    return df.filter(cond)
+    rows = df.filter(cond)
+    return rows.orderBy(ts) if ordered else rows
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:
