@@ -294,11 +294,13 @@ def test_mask_form_equals_series_off_grid(spark):
 
 
 def test_auto_unit_follows_window_length():
-    assert validity.pick_unit("auto", 6 * 3600) == "DAY"
-    assert validity.pick_unit("auto", 20 * 86400) == "MONTH"
-    assert validity.pick_unit("auto", 250 * 86400) == "YEAR"
-    assert validity.pick_unit("auto", None) == "DAY"
-    assert validity.pick_unit("HOUR", 1e9) == "HOUR"
+    def spread(hours):
+        return {u: 100 * (hours * 3600 // length + 1) for u, (_, length) in validity.UNITS.items()}
+    assert validity.pick_unit("auto", 100, spread(6)) == "DAY"
+    assert validity.pick_unit("auto", 100, spread(24 * 40)) == "MONTH"
+    assert validity.pick_unit("auto", 100, spread(24 * 800)) == "YEAR"
+    assert validity.pick_unit("auto", 100, spread(24 * 9000)) == "YEAR"
+    assert validity.pick_unit("HOUR", 100, spread(24 * 9000)) == "HOUR"
 
 
 def test_range_join_auto_equals_brute_force(spark):

@@ -8,10 +8,11 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from wattline.operators import rollups
+from wattline.operators import quality, rollups, validity
 from wattline.operators.upsert import BadKeys, table_exists, upsert
 from wattline.plans import audit, incremental, lake, pipeline
 from wattline.schemas import AGREEMENTS, TARIFFS
+from wattline.session import run_scratch
 
 
 def readings(spark, rows):
@@ -120,3 +121,93 @@ def test_period_in_order(spark):
     rows = readings(spark, [(1, f"2024-01-0{d} 00:00:00", float(d), d) for d in (5, 1, 4, 2, 3)]).repartition(3)
     got = filters.period(rows, "interval_start_utc", "2024-01-02T00:00:00Z", "2024-01-05T00:00:00Z", ordered=True)
     assert [r.version for r in got.collect()] == [2, 3, 4]
+
+
+def test_null_meter_is_a_meter(spark):
+    rows = readings(spark, [(None, "2024-01-01 00:00:00", 1.0, 1), (None, "2024-01-01 03:00:00", 1.0, 2),
+                            (None, "2024-01-02 00:00:00", 1.0, 3), (7, "2024-01-01 00:00:00", 1.0, 4)])
+    forms = [f(rows, keys=["meter_id"]) for f in (quality.missing_intervals, quality.missing_by_gap, quality.missing_by_mask)]
+    found = [sorted(r.interval_start_utc for r in f.collect()) for f in forms]
+    assert len(found[0]) == 49 - 3 and found[0] == found[1] == found[2]
+    spans = rows.select("meter_id", F.col("interval_start_utc").alias("a"), F.lit("2024-01-05").cast("timestamp_ntz").alias("b"))
+    assert quality.overlapping_windows(spans, ["meter_id"], "a", "b").count() == 2
+
+
+def windows_and_points(spark, ends):
+    """Per key half-hour windows, then one that is open or ends as ``ends`` says; points before, in and years after them."""
+    start = dt.datetime(2024, 1, 31, 12)
+    at = [start + dt.timedelta(minutes=30 * i) for i in range(60)]
+    rows = [(k, a, a + dt.timedelta(minutes=30), i) for k in (1, 2) for i, a in enumerate(at)]
+    rows += [(k, at[-1] + dt.timedelta(minutes=30), e, 99) for k, e in zip((1, 2), ends)]
+    windows = spark.createDataFrame(rows, "k long, f timestamp_ntz, t timestamp_ntz, w long")
+    points = [(k, start + dt.timedelta(minutes=m)) for k in (1, 2, 3) for m in (-60, 0, 29, 30, 31, 1799, 1800, 1900, 5000, 10 ** 5, 10 ** 6, 2 * 10 ** 6)]
+    return windows, spark.createDataFrame(points, "k long, at timestamp_ntz")
+
+
+@pytest.mark.parametrize("ends", [(dt.datetime(9999, 12, 31), dt.datetime(9999, 12, 31)), (dt.datetime(2999, 1, 1), dt.datetime(2024, 2, 20)),
+                                  (dt.datetime(2024, 2, 4), None)])
+@pytest.mark.parametrize("unit", ["auto", "HOUR", "MONTH"])
+def test_points_after_the_last_start(spark, ends, unit):
+    windows, points = windows_and_points(spark, ends)
+    windows.createOrReplaceTempView("w_brute")
+    points.createOrReplaceTempView("p_brute")
+    want = sorted(map(tuple, spark.sql("SELECT p.k, p.at, w.w FROM p_brute p LEFT JOIN w_brute w"
+                                       " ON p.k = w.k AND p.at >= w.f AND p.at < w.t").collect()), key=str)
+    for how in (validity.range_join(points, windows, "at", "f", "t", on=["k"], unit=unit),
+                validity.range_join(points, windows, "at", "f", "t", on=["k"], unit=unit, broadcast_rows=None),
+                validity.asof_join(points, windows, "at", "f", "t", on=["k"], unit=unit)):
+        assert sorted(map(tuple, how.collect()), key=str) == want
+
+
+def test_few_long_windows_don_t_explode_nor_hide_the_size(spark):
+    start = dt.datetime(2024, 1, 1)
+    rows = [(start + dt.timedelta(minutes=30 * i), start + dt.timedelta(minutes=30 * i + 30), "x" * 100) for i in range(20_000)]
+    rows += [(start, dt.datetime(2999, 1, 1), "x" * 100)] * 6
+    windows = spark.createDataFrame(rows, "f timestamp_ntz, t timestamp_ntz, note string")
+    stats = validity.measure_windows(windows, "f", "t", "auto")
+    made = validity.explode_windows(windows, "f", "t", stats.unit, stats.horizon).count()
+    assert made <= stats.exploded_rows and made < 3 * len(rows) and stats.exploded_bytes > 100 * made
+    wide = validity.prepare_windows(windows, "f", "t", broadcast_bytes=1 << 20)
+    assert not wide.broadcast and validity.prepare_windows(windows, "f", "t").broadcast
+
+
+def test_usage_is_asked_from_the_lookback_on(spark, tmp_dir):
+    lk = pipeline.Lake(tmp_dir)
+    before = readings(spark, [(1, "2023-12-31 23:30:00", 1.0, 1), (1, "2024-01-01 00:00:00", 1.0, 2)])
+    assert [r.version for r in pipeline.new_usage(spark, lk, before, ["meter_id"]).collect()] == [2]
+    pipeline.load_usage(spark, lk, readings(spark, [(1, "2024-03-10 00:00:00", 1.0, 1), (2, "2024-02-10 00:00:00", 1.0, 2)]),
+                        arrival=["version"], meter_keys=["meter_id"])
+    landed = readings(spark, [(1, "2024-03-08 23:30:00", 1.0, 1), (1, "2024-03-09 00:00:00", 1.0, 2), (2, "2024-02-09 00:00:00", 1.0, 3),
+                              (2, "2024-02-08 23:30:00", 1.0, 4), (3, "2024-01-01 00:00:00", 1.0, 5), (3, "2023-12-31 00:00:00", 1.0, 6)])
+    assert sorted(r.version for r in pipeline.new_usage(spark, lk, landed, ["meter_id"]).collect()) == [2, 3, 5]
+    assert sorted(r.version for r in pipeline.new_usage(spark, lk, landed).collect()) == [2]
+
+
+def test_rates_need_agreements(spark, tmp_dir):
+    lk = pipeline.Lake(tmp_dir)
+    at = dt.datetime(2024, 1, 1)
+    rates = spark.createDataFrame([(c, c, at, None, at, None, 0.2, at) for c in ("E-1R-A", "E-1R-B")], TARIFFS)
+    with pytest.raises(pipeline.NoAgreements):
+        pipeline.rates_for_agreements(spark, lk, rates)
+    known = spark.createDataFrame([("E-1R-B", at, None, at, None, at)], AGREEMENTS).drop("ingestion_ts")
+    pipeline.load_windows(spark, lk, lk.agreements, known, "agreements_feed")
+    assert [r.tariff_code for r in pipeline.rates_for_agreements(spark, lk, rates).collect()] == ["E-1R-B"]
+
+
+def test_a_load_leaves_no_scratch(spark, tmp_dir):
+    def scratch():
+        root = run_scratch(spark).removeprefix("file:")
+        return {n for n in (os.listdir(root) if os.path.isdir(root) else ()) if n.startswith("upsert-")}
+    lk = pipeline.Lake(tmp_dir)
+    batch = readings(spark, [(1, "2024-01-01 00:00:00", 1.0, 1)])
+    before = scratch()
+    for _ in range(2):
+        pipeline.load_usage(spark, lk, batch, arrival=["version"])
+    assert scratch() == before
+
+
+def test_sql_models_by_meter(spark):
+    from wattline.registry import QUERIES
+    sf = "/root/testdata/sf0.001"
+    a, b = (sorted(map(str, QUERIES[q](spark, sf).collect())) for q in ("fct_cost_per_meter", "fct_cost_sql_per_meter"))
+    assert a == b and a

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialise
-from .series import next_in_order
+from .series import join_null_safe, next_in_order
 
 HALF_HOUR = "INTERVAL 30 MINUTES"
 
@@ -54,7 +54,7 @@ def half_hour_series(df: DataFrame, ts: str, keys: Sequence[str] = ()) -> DataFr
 def missing_intervals(df: DataFrame, ts: str = "interval_start_utc", keys: Sequence[str] = ()) -> DataFrame:
     """Half hours between first and last with no row (series ▷ table)."""
     series = half_hour_series(df, ts, keys)
-    return series.join(df.select(*keys, ts), on=[*keys, ts], how="left_anti")
+    return join_null_safe(series, df.select(*keys, ts), [*keys, ts], "left_anti")
 
 
 def missing_by_gap(df: DataFrame, ts: str = "interval_start_utc", keys: Sequence[str] = ()) -> DataFrame:
@@ -90,24 +90,25 @@ def prior_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
     carried forward over a one-row-per-bucket summary.
     """
     keys, order = list(keys), list(order)
-    b = "__pm_bucket"
-    staged = df.withColumn(b, bucket)
-    inner = (Window.partitionBy(*keys, b).orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding, -1))
-    staged = staged.withColumn("__pm_in", F.max(value).over(inner))
-    summary = df.withColumn(b, bucket).groupBy(*keys, b).agg(F.max(value).alias("__pm_bmax"))
-    across = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.select(*keys, b, F.max("__pm_bmax").over(across).alias("__pm_before"))
-    joined = staged.join(summary, on=[*keys, b], how="left")
+    k = "__pm_key"          # one struct: NULL keys are equal, window and join share one exchange
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)], bucket.alias("b")).alias(k)
+    inner = Window.partitionBy(k).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    staged = df.select("*", key).withColumn("__pm_in", F.max(value).over(inner))
+    summary = df.groupBy(key).agg(F.max(value).alias("__pm_bmax"))
+    across = (Window.partitionBy(*[f"{k}.k{i}" for i in range(len(keys))]).orderBy(f"{k}.b")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    summary = summary.select(k, F.max("__pm_bmax").over(across).alias("__pm_before"))
+    joined = staged.join(summary, on=k, how="left")
     return (joined.withColumn(out, F.greatest("__pm_in", "__pm_before"))
-            .drop(b, "__pm_in", "__pm_before"))
+            .drop(k, "__pm_in", "__pm_before"))
 
 
 def overlapping_windows(windows: DataFrame, keys: Sequence[str], valid_from: str, valid_to: str,
                         tie_break: Sequence[str] = (), unit: str = "MONTH") -> DataFrame:
     """Windows that start before an earlier window of the same key has ended.
 
-    ``unit`` sets the time buckets that split a key's windows across tasks.
+    ``unit`` sets the time buckets that split a key's windows across tasks. Without
+    keys every window is compared; one row per bucket then meets in one task (bounded by the calendar).
     """
     pm = prior_max(windows, keys, [valid_from, *tie_break], valid_to,
                    bucket=F.date_trunc(unit, F.col(valid_from)), out="overlaps_until")
@@ -143,13 +144,13 @@ def missing_by_mask(df: DataFrame, ts: str = "interval_start_utc", keys: Sequenc
     per_day = materialise(per_day, "slot-masks")
     bounds = per_day.groupBy(*keys).agg(F.min("__lo").alias("__klo"), F.max("__hi").alias("__khi"))
     bounds = bounds.withColumn("__koff", F.pmod("__klo", F.lit(_SLOT_US)))
-    on_grid = (per_day.join(bounds, on=keys, how="inner").filter(F.col("__off") == F.col("__koff"))
+    on_grid = (join_null_safe(per_day, bounds, keys, "inner").filter(F.col("__off") == F.col("__koff"))
                .select(*keys, "__day", "__mask"))
     first_day = F.col("__klo") - F.pmod("__klo", F.lit(_DAY_US))
     last_day = F.col("__khi") - F.pmod("__khi", F.lit(_DAY_US))
     days = bounds.select(*keys, "__klo", "__khi", "__koff",
                          F.explode(F.sequence(first_day, last_day, F.lit(_DAY_US))).alias("__day"))
-    cover = days.join(on_grid, on=[*keys, "__day"], how="left").fillna({"__mask": 0})
+    cover = join_null_safe(days, on_grid, [*keys, "__day"]).fillna({"__mask": 0})
     slot_us = lambda s: F.col("__day") + F.col("__koff") + s.cast("bigint") * _SLOT_US
     holes = F.filter(F.sequence(F.lit(0), F.lit(47)),
                      lambda s: (F.col("__mask").bitwiseAND(F.pow(F.lit(2), s).cast("bigint")) == 0)

@@ -5,15 +5,17 @@ Sums are plain double sums of the stored values; every group-by is a partial + f
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.money import mean, total
 from ..functions.time import month_start
 
 
-def daily_energy(fact: DataFrame) -> DataFrame:
-    """agg_daily_energy: per usage_date total kWh, total cost, plain mean rate."""
-    return fact.groupBy("usage_date").agg(
+def daily_energy(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """agg_daily_energy: per (keys and) usage_date total kWh, total cost, plain mean rate."""
+    return fact.groupBy(*keys, "usage_date").agg(
         total("kwh").alias("total_kwh"),
         total("cost").alias("total_cost"),
         mean("unit_rate").alias("avg_rate"))

@@ -17,7 +17,7 @@ from operator import or_
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import materialise
+from ..session import discard, scratch_path
 from .dedupe import first_per_key, latest_per_key
 
 
@@ -76,7 +76,9 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
         staged = latest_per_key(staged, keys, list(version))
     elif arrival:
         staged = first_per_key(staged, keys, list(arrival))
-    staged = materialise(staged, "upsert-batch")   # the batch is read several times below
+    batch_path, merged_path = scratch_path(spark, "upsert-batch"), scratch_path(spark, "upsert-merged")
+    staged.write.parquet(batch_path)                # the batch is read several times below
+    staged = spark.read.parquet(batch_path)
     if not (version or arrival or keep_duplicates) and staged.groupBy(*keys).count().where("count > 1").head(1):
         raise BadKeys(f"several rows of one key {keys} and no arrival order")
     # One small job: rows and range per touched partition (bounded by the calendar / code list).
@@ -91,6 +93,7 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
     if fetched == 0:
         if not allow_empty:
             raise EmptyBatch("No data returned: the batch is empty")
+        discard(spark, batch_path)
         return UpsertResult(path, 0, 0, 0)     # nothing to do: quit quietly
     lows = [r[2] for r in per_part if r[2] is not None]
     highs = [r[3] for r in per_part if r[3] is not None]
@@ -108,12 +111,15 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
             kept = current.join(staged.select(*keys), on=keys, how="left_anti")
             merged = kept.unionByName(staged)
         # Cut lineage before overwriting the partitions it was read from.
-        merged = materialise(merged, "upsert-merged")
+        merged.write.parquet(merged_path)
+        merged = spark.read.parquet(merged_path)
     else:
         before, merged = 0, staged
     after = merged.count()   # Parquet footers only
     (merged.hint("rebalance", partition_col).write
      .mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
+    discard(spark, batch_path)                  # kept only where the upsert failed
+    discard(spark, merged_path)
     return UpsertResult(path, fetched, after - before, len(touched),
                         min(lows) if lows else None, max(highs) if highs else None)

@@ -5,14 +5,15 @@
 ``asof_join``   — the same result for non-overlapping windows, computed with
                   a running ``last`` instead of a join.
 
-Both split time into buckets (``unit="auto"`` picks hour … year from the mean
-window length) and work on (keys, bucket):
+Both split time into buckets (``unit="auto"`` picks hour … year from the
+windows' lengths) and work on (keys, bucket):
 a plain range predicate with no equality would be planned as a nested-loop
-join. Each window is exploded into the buckets it covers. Open-ended windows
-stop at the largest finite instant of the window table (``horizon``); points
-later than that are clamped into the horizon bucket, where every open-ended
-window is present. The horizon comes from the window side only, so the large
-point side is read once.
+join. Each window is exploded into the buckets it covers, up to the latest
+window start (``horizon``): no window starts after it, so the windows that
+outlive its bucket are the same for every later point. They are copied into
+``TAILS`` tail buckets, and later points are spread over these by a hash of
+their own bucket; an end far away, open or not, costs ``TAILS`` rows. The horizon
+comes from the window side only, so the large point side is read once.
 """
 
 from __future__ import annotations
@@ -25,7 +26,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..schemas import FAR_FUTURE
 from ..session import materialise as write_and_read
 
-DEFAULT_BROADCAST_ROWS = 200_000   # ~10 MB of exploded window rows, Spark's own default scale
+DEFAULT_BROADCAST_ROWS = 200_000        # exploded window rows that may be broadcast ...
+DEFAULT_BROADCAST_BYTES = 64 << 20      # ... if they also take no more than this
+TAILS = 8                               # buckets that share the points after the horizon
+MAX_SPREAD = 3.0                        # buckets that windows may cover on average, for unit="auto"
 _B = "__vb_bucket"
 _W = "__w_"
 
@@ -49,47 +53,70 @@ def _step(unit: str) -> Column:
     return F.expr(UNITS[unit][0])
 
 
-def _window_stats(windows: DataFrame, valid_from: str, valid_to: str) -> tuple[Column, float | None]:
-    """Horizon (largest finite instant) as a literal, and the mean finite window length.
+def pick_unit(unit: str, rows: int, spread: dict[str, int]) -> str:
+    """``auto``: the smallest unit in which the windows cover at most ``MAX_SPREAD`` buckets on average.
 
-    ``windows`` is the materialised window table, so this is one small job
-    over Parquet; the literal keeps subqueries out of the join plan. With no
-    window at all the horizon is NULL and nothing can match.
+    ``spread`` has the number of (window, bucket) rows per unit, so many short
+    windows and a few long ones are judged by the rows they make, not by a mean length.
     """
-    finite_to = F.when(F.col(valid_to) < F.lit(FAR_FUTURE).cast("timestamp_ntz"), F.col(valid_to))
-    seconds = (F.unix_seconds(finite_to.cast("timestamp"))
-               - F.unix_seconds(F.col(valid_from).cast("timestamp")))
-    row = windows.agg(F.max(F.greatest(F.col(valid_from), finite_to)),
-                      F.avg(F.when(seconds > 0, seconds))).first()
-    return F.lit(row[0]).cast("timestamp_ntz"), row[1]
-
-
-def pick_unit(unit: str, mean_seconds: float | None) -> str:
-    """``auto``: the smallest unit at least as long as the mean window, so a
-    window spans about two buckets and a bucket holds few windows per key."""
     if unit != "auto":
         return unit
-    if mean_seconds is None:
-        return "DAY"
-    for name, (_, length) in UNITS.items():
-        if length >= mean_seconds:
-            return name
-    return "YEAR"
+    return next((name for name in UNITS if spread[name] <= MAX_SPREAD * rows), "YEAR")
+
+
+@dataclass(frozen=True)
+class WindowStats:
+    """What one aggregate over the written windows tells."""
+    horizon: Column            # latest start, a literal (NULL without windows: nothing can match)
+    unit: str
+    exploded_rows: int         # at most
+    exploded_bytes: int        # at most, as rows in memory
+
+
+def _seconds(col: Column) -> Column:
+    return F.unix_seconds(col.cast("timestamp"))
+
+
+def measure_windows(windows: DataFrame, valid_from: str, valid_to: str, unit: str) -> WindowStats:
+    """Measure the materialised windows: two small aggregates over Parquet, no row leaves its task."""
+    wanted = windows.filter(F.col(valid_from) < F.col(valid_to))
+    last = wanted.agg(F.max(valid_from)).first()[0]
+    horizon = F.lit(last).cast("timestamp_ntz")
+    lasts = _seconds(F.least(F.col(valid_to), horizon)) - _seconds(F.col(valid_from))
+    # A calendar unit can be this much shorter than its nominal length (February, leap years).
+    per_unit = {u: F.sum(F.floor(lasts / (length * 0.9)) + 2) for u, (_, length) in UNITS.items()}
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in windows.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    width = F.lit(32 + 16 * (len(windows.columns) + 1))
+    for t in text:
+        width = width + t
+    found = wanted.agg(F.count(F.lit(1)).alias("n"), F.max(width).alias("w"), *[e.alias(u) for u, e in per_unit.items()],
+                       F.count_if(F.col(valid_to) > horizon).alias("beyond"),
+                       *[F.sum(F.floor(lasts / length) + 1).alias(f"mean_{u}") for u, (_, length) in UNITS.items()]).first()
+    if not found["n"]:
+        return WindowStats(horizon, "DAY" if unit == "auto" else unit, 0, 0)
+    unit = pick_unit(unit, found["n"], {u: found[f"mean_{u}"] for u in UNITS})
+    rows = found[unit] + TAILS * found["beyond"]
+    return WindowStats(horizon, unit, rows, rows * found["w"])
 
 
 def explode_windows(windows: DataFrame, valid_from: str, valid_to: str, unit: str,
                     horizon: Column) -> DataFrame:
-    """One row per (window, bucket it covers); empty and NULL windows drop out."""
+    """One row per (window, bucket it covers or tail it reaches); empty and NULL windows drop out."""
+    last = _bucket(horizon, unit)
     end = F.least(F.col(valid_to) - F.expr("INTERVAL 1 MICROSECOND"), horizon)
+    covered = F.sequence(_bucket(F.col(valid_from), unit), _bucket(end, unit), _step(unit))
+    tails = F.array(*[F.timestamp_add("SECOND", F.lit(i + 1), last) for i in range(TAILS)])
+    none = F.array().cast("array<timestamp_ntz>")
     return (windows
             .filter(F.col(valid_from) < F.col(valid_to))
-            .withColumn(_B, F.explode(F.sequence(_bucket(F.col(valid_from), unit),
-                                                 _bucket(F.greatest(end, F.col(valid_from)), unit),
-                                                 _step(unit)))))
+            .withColumn(_B, F.explode(F.concat(covered, F.when(F.col(valid_to) > last + _step(unit), tails).otherwise(none)))))
 
 
 def _point_bucket(at: str, unit: str, horizon: Column) -> Column:
-    return F.least(_bucket(F.col(at), unit), _bucket(horizon, unit))
+    """A point's own bucket, or one of the tails (some seconds into the horizon's bucket) after the horizon's."""
+    own, last = _bucket(F.col(at), unit), _bucket(horizon, unit)
+    tail = F.timestamp_add("SECOND", F.pmod(F.xxhash64(own), F.lit(TAILS)).cast("int") + 1, last)
+    return F.when(own > last, tail).otherwise(own)
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -103,8 +130,8 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (a count: one number leaves each task)."""
+    return df.count() <= max_rows
 
 
 @dataclass(frozen=True)
@@ -117,25 +144,26 @@ class PreparedWindows:
     payload: tuple[str, ...]
     unit: str
     horizon: Column
-    broadcast: bool            # size proven by a bounded count
+    broadcast: bool            # size proven by measured rows and bytes
 
     def point_bucket(self, at: str) -> Column:
-        """The bucket a point falls in (clamped to the horizon bucket)."""
+        """The bucket a point falls in, or its tail after the horizon's."""
         return _point_bucket(at, self.unit, self.horizon)
 
 
 def prepare_windows(windows: DataFrame, valid_from: str, valid_to: str, on: Sequence[str] = (),
                     unit: str = "auto",
-                    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> PreparedWindows:
+                    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> PreparedWindows:
     """Materialise, measure and explode the window side once."""
     payload = [c for c in windows.columns if c not in (*on, valid_from, valid_to)]
     windows = materialise(windows.select(*on, valid_from, valid_to, *payload))
-    horizon, mean_seconds = _window_stats(windows, valid_from, valid_to)
-    unit = pick_unit(unit, mean_seconds)
-    w = explode_windows(windows, valid_from, valid_to, unit, horizon)
+    stats = measure_windows(windows, valid_from, valid_to, unit)
+    w = explode_windows(windows, valid_from, valid_to, stats.unit, stats.horizon)
     w = w.select(*[F.col(c).alias(_W + c) for c in w.columns])
-    proven = broadcast_rows is not None and bounded(w, broadcast_rows)
-    return PreparedWindows(w, tuple(on), valid_from, valid_to, tuple(payload), unit, horizon, proven)
+    proven = (broadcast_rows is not None and stats.exploded_rows <= broadcast_rows
+              and stats.exploded_bytes <= broadcast_bytes)
+    return PreparedWindows(w, tuple(on), valid_from, valid_to, tuple(payload), stats.unit, stats.horizon, proven)
 
 
 def join_prepared(points: DataFrame, prepared: PreparedWindows, at: str, how: str = "left",
@@ -148,7 +176,7 @@ def join_prepared(points: DataFrame, prepared: PreparedWindows, at: str, how: st
     clash = set(prepared.payload) & set(points.columns)
     if clash:
         raise ValueError(f"window columns also on the point side: {sorted(clash)}")
-    # Size not proven: Spark's estimate after the explode may be far too small,
+    # Where the size isn't proven: Spark's estimate after the explode may be far too small,
     # so keep it from auto-broadcasting; sort-merge spills safely.
     w = F.broadcast(prepared.exploded) if prepared.broadcast else prepared.exploded.hint("merge")
     b = bucket_col or _B
@@ -169,7 +197,7 @@ def range_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str,
 
     Output: every point column, then every window column except the keys and
     the two bounds. Windows are broadcast only when their exploded form has at
-    most ``broadcast_rows`` rows (``None``: never); otherwise both sides
+    most ``broadcast_rows`` rows (``None``: never) and ``DEFAULT_BROADCAST_BYTES``; otherwise both sides
     shuffle on (keys, bucket) and AQE splits skewed buckets.
     """
     if how not in ("left", "inner"):
@@ -195,8 +223,8 @@ def asof_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str, v
     """
     payload = [c for c in windows.columns if c not in (*on, valid_from, valid_to)]
     windows = materialise(windows.select(*on, valid_from, valid_to, *payload))
-    horizon, mean_seconds = _window_stats(windows, valid_from, valid_to)
-    unit = pick_unit(unit, mean_seconds)
+    stats = measure_windows(windows, valid_from, valid_to, unit)
+    unit, horizon = stats.unit, stats.horizon
     w = explode_windows(windows, valid_from, valid_to, unit, horizon)
     mark = "__asof_mark"
     hit = "__asof_hit"

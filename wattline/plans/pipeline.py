@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.money import strict_double
 from ..operators import quality, rollups, staging
-from ..operators.upsert import upsert
+from ..operators.filters import period
+from ..operators.upsert import table_exists, upsert
+from ..schemas import FIRST_LOAD_START, LOOKBACK_DAYS
 from . import audit, incremental, lake
 
 
@@ -72,6 +74,43 @@ def load_usage(spark: SparkSession, lk: Lake, batch: DataFrame, arrival=(), now=
     return audit.audited_load(spark, lk.audit, source, run)
 
 
+def new_usage(spark: SparkSession, lk: Lake, landed: DataFrame, meter_keys: Sequence[str] = (),
+              lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+    """The readings the next load asks for: from ``lookback_days`` before the newest stored half hour on.
+
+    Each meter by its own newest half hour, so one that lags isn't skipped; with nothing
+    stored, from the first load's start. Without meters the bound is a literal that reaches the scan.
+    """
+    ts, keys = "interval_start_utc", list(meter_keys)
+    if not keys or not table_exists(spark, lk.consumption):
+        newest = incremental.high_water_mark(spark, lk.consumption)
+        first = newest - dt.timedelta(days=lookback_days) if newest else dt.datetime.fromisoformat(FIRST_LOAD_START)
+        return period(landed, ts, f"{first.isoformat()}Z")
+    stored = spark.read.parquet(lk.consumption).groupBy(*keys).agg(F.max(ts).alias("__newest"))
+    first = F.coalesce(F.timestamp_add("DAY", F.lit(-lookback_days), F.col("__newest")),
+                       F.lit(FIRST_LOAD_START).cast("timestamp_ntz"))
+    return landed.join(stored, keys, "left").where(F.col(ts) >= first).select(*landed.columns)
+
+
+class NoAgreements(RuntimeError):
+    """Rates were asked for before any agreement was loaded."""
+
+
+def agreement_codes(spark: SparkSession, lk: Lake) -> DataFrame:
+    """The tariff codes of the stored agreements, each once."""
+    if not table_exists(spark, lk.agreements):
+        raise NoAgreements(f"no agreements at {lk.agreements}: load them before the rates")
+    return spark.read.parquet(lk.agreements).select("tariff_code").distinct()
+
+
+def rates_for_agreements(spark: SparkSession, lk: Lake, rates: DataFrame) -> DataFrame:
+    """The rates of codes that some stored agreement has; ``NoAgreements`` where there is none."""
+    codes = agreement_codes(spark, lk)
+    if codes.isEmpty():
+        raise NoAgreements(f"{lk.agreements} is empty: load agreements before the rates")
+    return rates.join(codes, "tariff_code", "left_semi")
+
+
 #: Folders of a window table. Codes are hashed into them, so their number doesn't grow with the codes.
 WINDOW_BUCKETS = 64
 
@@ -157,10 +196,10 @@ def build_models(spark: SparkSession, lk: Lake, lookback_days: int = 1, full_ref
 def run(spark: SparkSession, lk: Lake, agreements: DataFrame, tariffs: DataFrame, usage: DataFrame,
         export_root: str | None = None, usage_arrival=(), now=None, meter_keys: Sequence[str] = (),
         severity: str | Mapping[str, str] = "error") -> dict:
-    """Agreements → tariffs → usage → (export) → silver → tests → fact → tests → daily; stops at the first failure."""
+    """Agreements → their tariffs → usage → (export) → silver → tests → fact → tests → daily; stops at the first failure."""
     out = {"audit": [], "tests": {}}
     out["audit"].append(load_windows(spark, lk, lk.agreements, agreements, "agreements_feed", now))
-    out["audit"].append(load_windows(spark, lk, lk.tariffs, tariffs, "rates_feed", now))
+    out["audit"].append(load_windows(spark, lk, lk.tariffs, rates_for_agreements(spark, lk, tariffs), "rates_feed", now))
     out["audit"].append(load_usage(spark, lk, usage, usage_arrival, now, meter_keys=meter_keys))
     if export_root:
         bronze = {"raw_consumption": spark.read.parquet(lk.consumption).drop("day"),

@@ -11,6 +11,7 @@ bounded row count the DataFrame path uses.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,8 +20,8 @@ from ..operators.validity import DEFAULT_BROADCAST_ROWS, bounded
 from ..session import materialise
 
 STG_CONSUMPTION = """
-SELECT interval_start_utc, interval_start_uk, kwh FROM (
-    SELECT *, row_number() OVER (PARTITION BY interval_start_utc
+SELECT {keys}interval_start_utc, interval_start_uk, kwh FROM (
+    SELECT *, row_number() OVER (PARTITION BY {keys}interval_start_utc
                                  ORDER BY ingestion_ts DESC, {tie_break} DESC) AS rn
     FROM {raw_consumption}) WHERE rn = 1
 """
@@ -56,7 +57,7 @@ SELECT *, CASE WHEN hour_of_day BETWEEN 0 AND 6 THEN 'night'
                ELSE 'day' END AS time_band
 FROM (
     SELECT /*+ {hints} */
-           c.interval_start_utc, c.interval_start_uk, c.kwh, a.tariff_code, t.unit_rate,
+           {keys}c.interval_start_utc, c.interval_start_uk, c.kwh, a.tariff_code, t.unit_rate,
            c.kwh * t.unit_rate AS cost,
            CAST(date_trunc('DAY', c.interval_start_uk) AS TIMESTAMP_NTZ) AS usage_date,
            CAST(hour(c.interval_start_uk) AS BIGINT) AS hour_of_day
@@ -89,9 +90,12 @@ def _ts_literal(spark: SparkSession, sql: str) -> str:
 
 
 def build(spark: SparkSession, raw_consumption: DataFrame, raw_agreements: DataFrame,
-          raw_tariffs: DataFrame, tie_break: str = "ingestion_ts",
+          raw_tariffs: DataFrame, tie_break: str = "ingestion_ts", meter_keys: Sequence[str] = (),
           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> dict[str, DataFrame]:
-    """Register the bronze frames as views and run the models; returns every model by name."""
+    """Register the bronze frames as views and run the models; returns every model by name.
+
+    ``meter_keys`` are the readings' key columns besides the half hour.
+    """
     register_sql_functions(spark)
     tag = uuid.uuid4().hex[:8]
     name = {m: f"{m}_{tag}" for m in ("raw_consumption", "raw_agreements", "raw_tariffs",
@@ -102,7 +106,7 @@ def build(spark: SparkSession, raw_consumption: DataFrame, raw_agreements: DataF
     raw_tariffs.createOrReplaceTempView(name["raw_tariffs"])
     out: dict[str, DataFrame] = {}
     out["stg_consumption"] = spark.sql(STG_CONSUMPTION.format(
-        tie_break=tie_break, raw_consumption=name["raw_consumption"]))
+        keys="".join(f"{k}, " for k in meter_keys), tie_break=tie_break, raw_consumption=name["raw_consumption"]))
     # Window sides are small and read several times: write them once.
     out["stg_agreements"] = materialise(spark.sql(STG_WINDOWS.format(extra="", raw=name["raw_agreements"])),
                                         "sql-agreements")
@@ -121,6 +125,7 @@ def build(spark: SparkSession, raw_consumption: DataFrame, raw_agreements: DataF
         alias = {"agreement": "a", "rate": "t"}[side]   # the aliases used in FACT
         hints[side] = f"BROADCAST({alias})" if proven else f"MERGE({alias})"
     out["fct_energy_cost"] = spark.sql(FACT.format(
+        keys="".join(f"c.{k}, " for k in meter_keys),
         hints=", ".join(hints.values()),
         agreement_horizon=horizons["agreement"], rate_horizon=horizons["rate"],
         consumption=name["stg_consumption"], agreement_days=name["agreement_days"],

@@ -17,6 +17,7 @@ from .functions.time import to_uk_wall_clock
 from .operators import dedupe, quality, rollups, staging, validity
 from .plans import fact as fact_plan
 from .plans import incremental
+from .schemas import FAR_FUTURE
 from .session import scratch_path
 from .sources import tables
 
@@ -345,6 +346,23 @@ def asof_windows(spark, sf_dir):
                               "l_shipdate", "valid_from", "valid_to", on=["o_custkey"])
 
 
+_MIXED_CTE = ("mixed_windows AS (SELECT * FROM order_windows UNION ALL"
+              " SELECT o_custkey, min(o_orderdate), max(o_orderdate), -1 FROM orders GROUP BY o_custkey)")
+
+
+@register("range_join_mixed", oracle(
+    "SELECT p.l_orderkey, p.l_linenumber, p.o_custkey, p.l_shipdate, w.window_orderkey"
+    " FROM shipment_points p LEFT JOIN mixed_windows w"
+    " ON p.o_custkey = w.o_custkey AND p.l_shipdate >= w.valid_from AND p.l_shipdate < w.valid_to", _MIXED_CTE))
+def range_join_mixed(spark, sf_dir):
+    """Short windows and one that spans them all per customer: both match, and the bucket size suits the many."""
+    spans = tables.read_table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.min("o_orderdate").alias("valid_from"), F.max("o_orderdate").alias("valid_to"), F.lit(-1).alias("window_orderkey"))
+    return validity.range_join(tables.shipment_points(spark, sf_dir),
+                               tables.order_windows(spark, sf_dir).unionByName(spans),
+                               "l_shipdate", "valid_from", "valid_to", on=["o_custkey"])
+
+
 # --------------------------------------------------------------------------
 # Quality checks
 # --------------------------------------------------------------------------
@@ -437,6 +455,37 @@ def overlapping_windows(spark, sf_dir):
                                        tie_break=["o_orderkey"])
 
 
+@register("overlapping_any_key", oracle(
+    "SELECT o_custkey, o_orderkey, valid_from, valid_to, overlaps_until FROM ("
+    " SELECT *, max(valid_to) OVER (ORDER BY valid_from, o_orderkey"
+    "                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS overlaps_until"
+    " FROM (SELECT o_custkey, o_orderkey, o_orderdate AS valid_from, max(l_shipdate) AS valid_to"
+    "       FROM orders JOIN lineitem ON o_orderkey = l_orderkey"
+    "       GROUP BY o_custkey, o_orderkey, o_orderdate)) WHERE overlaps_until > valid_from"))
+def overlapping_any_key(spark, sf_dir):
+    """Overlaps across keys, which a join on time alone fans out."""
+    return quality.overlapping_windows(_open_orders(spark, sf_dir), [], "valid_from", "valid_to",
+                                       tie_break=["o_orderkey"], unit="DAY")
+
+
+_LONGER = ("SELECT tariff_code, valid_from_utc, valid_to_utc + INTERVAL 1 DAY AS valid_to_utc FROM stg_agreements"
+           " WHERE valid_to_utc < TIMESTAMP '9999-12-31 00:00:00'")
+
+
+@register("unique_fact_overlaps", oracle(
+    "SELECT c.interval_start_utc, count(*) AS n_rows FROM stg_consumption c JOIN (" + _LONGER + ") a"
+    " ON c.interval_start_utc >= a.valid_from_utc AND c.interval_start_utc < a.valid_to_utc"
+    " GROUP BY c.interval_start_utc HAVING count(*) > 1"))
+def unique_fact_overlaps(spark, sf_dir):
+    """The unique test on a fact whose agreements overlap by a day: every doubled half hour is reported."""
+    from .operators.pricing import price_intervals
+    consumption, agreements, tariffs = fact_plan.silver(spark, sf_dir)
+    far = F.lit(FAR_FUTURE).cast("timestamp_ntz")
+    longer = (agreements.where(F.col("valid_to_utc") < far)
+              .withColumn("valid_to_utc", F.timestamp_add("DAY", F.lit(1), F.col("valid_to_utc"))))
+    return quality.unique_check(price_intervals(consumption, longer, tariffs), ["interval_start_utc"])
+
+
 @register("overlapping_agreements", oracle(
     "SELECT tariff_code, valid_from_utc, valid_to_utc, overlaps_until FROM ("
     " SELECT *, max(valid_to_utc) OVER (PARTITION BY tariff_code ORDER BY valid_from_utc"
@@ -589,6 +638,10 @@ def upsert_composite_key(spark, sf_dir):
     return spark.read.parquet(lk.tariffs).select("tariff_code", "valid_from_utc", "valid_to_utc", "unit_rate")
 
 
+_LATEST_READING = ("(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meter_id, interval_start_utc"
+                   " ORDER BY ingestion_ts DESC, version DESC) AS rn FROM consumption_raw {where}) WHERE rn = 1)")
+
+
 def _initial_fct_cte() -> str:
     return (
         "initial_stg AS (SELECT interval_start_utc, interval_start_uk, kwh FROM ("
@@ -615,6 +668,69 @@ def incremental_lookback(spark, sf_dir):
     return incremental.read_fact(spark, path)
 
 
+@register("incremental_per_meter", oracle(
+    "SELECT * FROM initial_meters WHERE interval_start_utc < (SELECT lo FROM lookback_meters)"
+    " UNION ALL SELECT * FROM all_meters WHERE interval_start_utc >= (SELECT lo FROM lookback_meters)",
+    ",\n".join(f"{name} AS ({_priced(_LATEST_READING.format(where=where), 'meter_id')})" for name, where in (
+        ("initial_meters", f"WHERE ingestion_ts < TIMESTAMP {CUTOFF!r}"), ("all_meters", "")))
+    + ",\nlookback_meters AS (SELECT max(interval_start_utc) - INTERVAL 1 DAY AS lo FROM initial_meters)"))
+def incremental_per_meter(spark, sf_dir):
+    """The incremental fact of many meters: the lookback replaces (meter, half hour) keys."""
+    path = scratch_path(spark, "incremental-meters")
+    raw = tables.consumption_raw(spark, sf_dir, with_meter=True)
+    _, agreements, tariffs = fact_plan.silver(spark, sf_dir)
+    early = raw.filter(F.col("ingestion_ts") < F.lit(CUTOFF).cast("timestamp_ntz"))
+    for part in (early, raw, raw):
+        readings = staging.stg_consumption(part, keys=["meter_id", "interval_start_utc"], tie_break=["version"])
+        incremental.incremental_fact(spark, path, readings, agreements, tariffs, meter_keys=["meter_id"])
+    return incremental.read_fact(spark, path)
+
+
+_ASKED = f"SELECT max(interval_start_utc) - INTERVAL 1 DAY FROM consumption_raw WHERE ingestion_ts < TIMESTAMP {CUTOFF!r}"
+
+
+@register("ingest_lookback", oracle(
+    f"SELECT * FROM ({_first_sql(f'ingestion_ts < TIMESTAMP {CUTOFF!r}')}) WHERE interval_start_utc < ({_ASKED})"
+    f" UNION ALL SELECT * FROM ({_first_sql('true', 'kwh + 1.0')}) WHERE interval_start_utc >= ({_ASKED})"))
+def ingest_lookback(spark, sf_dir):
+    """A first load, then one that asks for what is new, less the lookback; older corrections aren't asked for."""
+    from .plans import pipeline
+    lk = pipeline.Lake(scratch_path(spark, "ingest"))
+    raw = tables.consumption_raw(spark, sf_dir)
+    early = raw.filter(F.col("ingestion_ts") < F.lit(CUTOFF).cast("timestamp_ntz"))
+    for landed in (early, raw.withColumn("kwh", F.col("kwh") + 1.0)):
+        pipeline.load_usage(spark, lk, pipeline.new_usage(spark, lk, landed), arrival=["version"])
+    return spark.read.parquet(lk.consumption).select("interval_start_utc", "interval_start_uk", "kwh")
+
+
+def _stored_agreements(spark: SparkSession, sf_dir: str):
+    """A lake with the agreements that began by the redelivery date."""
+    from .plans import pipeline
+    lk = pipeline.Lake(scratch_path(spark, "agreements"))
+    known = tables.agreements_raw(spark, sf_dir).filter(F.col("valid_from_utc") < F.lit(REDELIVERY).cast("timestamp_ntz"))
+    pipeline.load_windows(spark, lk, lk.agreements, known.drop("ingestion_ts"), "agreements_feed")
+    return lk
+
+
+_STORED_CODES = f"SELECT DISTINCT tariff_code FROM agreements_raw WHERE valid_from_utc < TIMESTAMP {REDELIVERY!r}"
+
+
+@register("agreement_codes", oracle(_STORED_CODES))
+def agreement_codes(spark, sf_dir):
+    from .plans import pipeline
+    return pipeline.agreement_codes(spark, _stored_agreements(spark, sf_dir))
+
+
+@register("rates_for_agreements", oracle(
+    f"SELECT tariff_code, valid_from_utc, valid_to_utc, unit_rate FROM tariffs_raw WHERE tariff_code IN ({_STORED_CODES})"))
+def rates_for_agreements(spark, sf_dir):
+    """Rates of the stored agreements' codes only."""
+    from .plans import pipeline
+    lk = _stored_agreements(spark, sf_dir)
+    return pipeline.rates_for_agreements(spark, lk, tables.tariffs_raw(spark, sf_dir)).select(
+        "tariff_code", "valid_from_utc", "valid_to_utc", "unit_rate")
+
+
 @register("monthly_upsert", oracle(
     f"SELECT CAST(date_trunc('month', interval_start_uk) AS DATE) AS month, {dsum('kwh')} AS kwh"
     " FROM stg_consumption GROUP BY 1"))
@@ -642,7 +758,6 @@ def private_export(spark, sf_dir):
 
 @register("partitioned_load", oracle(
     "SELECT interval_start_utc, kwh, CAST(interval_start_utc AS DATE) AS day FROM stg_consumption"
-    " WHERE CAST(interval_start_utc AS DATE) >= DATE '2024-01-20'"
     " UNION ALL SELECT interval_start_utc, kwh, CAST(interval_start_utc AS DATE) FROM stg_consumption"
     " WHERE interval_start_utc >= TIMESTAMP '2024-01-25 00:00:00'"))
 def partitioned_load(spark, sf_dir):
@@ -652,8 +767,7 @@ def partitioned_load(spark, sf_dir):
     lake.write_by_day(consumption.select("interval_start_utc", "kwh"), path, "interval_start_utc", "overwrite")
     late = consumption.filter(F.col("interval_start_utc") >= F.lit("2024-01-25 00:00:00").cast("timestamp_ntz"))
     lake.write_by_day(late.select("interval_start_utc", "kwh"), path, "interval_start_utc", "append")
-    return (spark.read.parquet(path).filter(F.col("day") >= F.lit("2024-01-20").cast("date"))
-            .select("interval_start_utc", "kwh", F.col("day").cast("date").alias("day")))
+    return spark.read.parquet(path).select("interval_start_utc", "kwh", F.col("day").cast("date").alias("day"))
 
 
 @register("usage_pages", ORACLES["first_per_key"])
@@ -741,6 +855,15 @@ def fct_cost_per_meter(spark, sf_dir):
     return price_readings(raw, agreements, tariffs, meter_keys=["meter_id"], tie_break=["version"])
 
 
+@register("daily_energy_per_meter", oracle(
+    f"SELECT meter_id, usage_date, {dsum('kwh')} AS total_kwh, {dsum('cost')} AS total_cost, {davg('unit_rate')} AS avg_rate"
+    " FROM meter_fct GROUP BY meter_id, usage_date",
+    f"meter_fct AS ({_priced(_LATEST_READING.format(where=''), 'meter_id')})"))
+def daily_energy_per_meter(spark, sf_dir):
+    """The daily roll-up of every meter over the priced fact of all meters."""
+    return rounded(rollups.daily_energy(fct_cost_per_meter(spark, sf_dir), keys=["meter_id"]))
+
+
 _FIRST_READING = ("(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys}interval_start_utc ORDER BY version)"
                   " AS rn FROM consumption_raw) WHERE rn = 1)")
 
@@ -820,10 +943,15 @@ def export_truncate(spark, sf_dir):
 # The same models as Spark SQL text over temp views
 # --------------------------------------------------------------------------
 
-def _sql_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _sql_models(spark: SparkSession, sf_dir: str, meter_keys: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     from .plans import sql_models
-    return sql_models.build(spark, tables.consumption_raw(spark, sf_dir), tables.agreements_raw(spark, sf_dir),
-                            tables.tariffs_raw(spark, sf_dir), tie_break="version")
+    return sql_models.build(spark, tables.consumption_raw(spark, sf_dir, with_meter=bool(meter_keys)), tables.agreements_raw(spark, sf_dir),
+                            tables.tariffs_raw(spark, sf_dir), tie_break="version", meter_keys=meter_keys)
+
+
+@register("fct_cost_sql_per_meter", ORACLES["fct_cost_per_meter"])
+def fct_cost_sql_per_meter(spark, sf_dir):
+    return _sql_models(spark, sf_dir, ("meter_id",))["fct_energy_cost"]
 
 
 @register("fct_cost_sql", oracle("SELECT * FROM fct"))

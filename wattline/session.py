@@ -112,6 +112,14 @@ def run_scratch(spark: SparkSession) -> str:
     return f"{root}/wattline/{spark.sparkContext.applicationId}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one intermediate table of this application that nothing reads any more."""
+    if not path.startswith(run_scratch(spark) + "/"):
+        raise ValueError(f"not an intermediate table of this run: {path}")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialise(df, name: str = "stage"):
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 

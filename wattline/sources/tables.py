@@ -16,16 +16,9 @@ from ..operators.series import next_in_order
 NATION_COUNT = 25  # TPC-H nation table: keys 0..24
 
 
-_READS: dict[tuple[int, str, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; the (immutable) DataFrame is reused within one session."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    """A driver table as it stands now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def tariff_code_of(nation_name: str = "n_name") -> F.Column:
@@ -71,8 +64,7 @@ def tariffs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     start = F.timestamp_add("HOUR", (F.col("p_partkey") / NATION_COUNT).cast("bigint") * 6,
                            F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
-    # nation is a fixed 25-row table: broadcasting it is always safe.
-    rates = (part.join(F.broadcast(nation), F.col("p_partkey") % NATION_COUNT == F.col("n_nationkey"))
+    rates = (part.join(nation, F.col("p_partkey") % NATION_COUNT == F.col("n_nationkey"))
              .select(tariff_code_of().alias("tariff_code"),
                      start.alias("valid_from_utc"),
                      (F.col("p_retailprice") / 100).alias("unit_rate")))
