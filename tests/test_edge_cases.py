@@ -375,10 +375,10 @@ def test_hot_key_series_work_is_split_by_bucket(spark):
                                                    F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("at"))
     out = next_in_order(pts, ["k"], ["at"], ["at"], bucket=F.date_trunc("DAY", "at"))
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(k#" in plan
-    assert any("hashpartitioning(k#" in line and "__nio_bucket" in line for line in plan.splitlines())
-    inner = [line for line in plan.splitlines() if "Window [lead" in line]
-    assert inner and all("__nio_bucket" in line for line in inner)
+    assert "hashpartitioning(__nio_key#" in plan      # one struct of key and bucket
+    inner = [line for line in plan.splitlines() if "Window [lead" in line and "], [at#" in line]
+    assert inner and all("[__nio_key#" in line for line in inner)                          # rows: inside (key, bucket)
+    assert "HashAggregate" in plan                                                          # keys: over the summary
     rows = out.orderBy("at").collect()
     assert rows[0].next_at == ts("2024-01-01 00:30:00") and rows[-1].next_at is None
     assert sum(1 for r in rows if r.next_at is not None
