@@ -58,3 +58,14 @@ def test_templates_learn_what_labels_say(spark):
     by = {r["path"].split("/")[1]: r["template"] for r in got}
     assert by["buy"] == "/buy/{n}" and by["news"] != by["buy"]
     assert len({r["template"] for r in got if r["path"].startswith("/tag/")}) == 1          # variable words are one wildcard
+
+
+def test_small_sections_and_deep_paths_are_told_apart(spark):
+    sections = ["de", *["abcdefghijklmnopqrs"[i] * 2 for i in range(19)]]
+    rows = [(f"http://h.x/{s}/{i}", 1 if s == "de" and i % 2 else None) for s in sections for i in range(100)]
+    rows += [(f"http://d.x/a/b/c/d/e/f/{s}/{i}", (1 if s == "bad" else 0) if i % 2 else None) for s in ("bad", "good") for i in range(100)]
+    pages = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id long, url string, bad int")
+    got = urls.judge(pages, [], label=F.col("bad")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["verdict"] == ("block" if "/de/" in r["path"] or "/bad/" in r["path"] else "allow"), r

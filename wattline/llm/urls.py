@@ -5,8 +5,9 @@ aggregated counts, so that a host of any size is a few rows:
 
 1. Digits and long hexadecimal runs of a segment become ``{n}`` and ``{h}``.
 2. At each node, children that hold less than a sixteenth of its urls are a
-   variable segment: they become the wildcard ``{*}``. The rest, at most sixteen
-   constants, keep their names.
+   variable segment: they become the wildcard ``{*}``, but for those of ``RARE`` urls or
+   more whose labelled share or purity differs significantly from the other ones'
+   (corrected for the number of tests). These and the rest keep their names.
 3. Siblings in order of their labelled share and of their purity are merged
    where neighbours don't differ significantly in either (two-proportion z-tests):
    ``{a|b}``.
@@ -14,11 +15,13 @@ aggregated counts, so that a host of any size is a few rows:
 A template's purity is its share of bad labels, smoothed towards ``PRIOR``
 by ``WEIGHT`` labels; templates of ``REJECT`` or more are blocked. Labels are
 what the rules say of the urls they fit, unless a column of labels is given.
-Rules come first for the urls they fit; the longest fitting rule wins.
+Rules come first for the urls they fit; the longest fitting rule wins. Trees grow to
+level ``DEPTH``, and on to the paths' real depth at nodes of ``RARE`` urls or more that
+hold a bad label, unless all their urls do: without one nothing deeper is blocked.
 
 Rows: a null url, or one without ``://``, has empty host and path, and is
-judged by the template of the empty path; repeated urls count each; a path of more than
-``DEPTH`` segments has the wildcard ``{**}`` for all further ones; urls of any length are
+judged by the template of the empty path; repeated urls count each; a path that goes on
+where its tree ends has the wildcard ``{**}`` for all further segments; urls of any length are
 read whole; extra columns pass through unless a result column has their name; an empty table gives an
 empty table.
 """
@@ -34,8 +37,8 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-#: Levels of the tree, and constants of a node at most (a child below this part of its node's urls is variable).
-DEPTH, CONSTANTS = 6, 16
+#: Levels of every tree, a child below this part of its node's urls may be variable, and urls too few to be tested.
+DEPTH, CONSTANTS, RARE = 6, 16, 16
 #: Significance of the tests between siblings.
 Z = 2.0
 #: Smoothing: the purity of a template without labels, how many labels that weighs, and the purity that is rejected.
@@ -77,18 +80,18 @@ def first_fit(rules: list[Rule], host: Column, path: Column, value) -> Column:
 
 
 def segments(path: Column) -> Column:
-    """Generalised segments; those beyond ``DEPTH`` are one wildcard."""
+    """Generalised segments."""
     parts = F.slice(F.split(path, "/"), 2, 1 << 30)
     one = lambda s: F.regexp_replace(F.regexp_replace(s, r"(?i)\b(?=[0-9a-f]*[0-9])[0-9a-f]{8,}\b", "{h}"), "[0-9]+", "{n}")
-    cut = F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH - 1), F.array(F.lit("{**}")))).otherwise(parts)
-    return F.transform(cut, lambda s: F.when(s == "{**}", s).otherwise(one(s)))
+    return F.transform(parts, one)
 
 
-def differ(a: Column, m: Column, b: Column, n: Column) -> Column:
+def differ(a: Column, m: Column, b: Column, n: Column, z: Column | float = Z) -> Column:
     """Do a of m and b of n differ significantly (pooled two-proportion test)? Nothing to compare: no."""
-    share = (a + b) / (m + n)
-    spread = F.sqrt(share * (1 - share) * (1 / m + 1 / n))
-    return F.when((m > 0) & (n > 0) & (spread > 0), F.abs(a / m - b / n) > Z * spread).otherwise(F.lit(False))
+    m1, n1 = (F.greatest(x, F.lit(1)) for x in (m, n))
+    share = (a + b) / (m1 + n1)
+    spread = F.sqrt(F.greatest(share * (1 - share), F.lit(0.0)) * (1 / m1 + 1 / n1))
+    return F.when((m > 0) & (n > 0) & (spread > 0), F.abs(a / m1 - b / n1) > z * spread).otherwise(F.lit(False))
 
 
 def grow(front: DataFrame, level: int) -> DataFrame:
@@ -98,8 +101,14 @@ def grow(front: DataFrame, level: int) -> DataFrame:
     sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
     child = here.groupBy(*node, "seg").agg(*sums)
     total = child.groupBy(*node).agg(F.sum("n").alias("all"))
-    named = child.join(total, node).withColumn("name", F.when(F.col("n") * CONSTANTS < F.col("all"), F.lit("{*}")).otherwise(F.col("seg")))
-    branch = named.groupBy(*node, "name").agg(*sums)                       # at most CONSTANTS + 1 a node
+    sized = child.join(total, node).withColumn("small", F.col("n") * CONSTANTS < F.col("all"))
+    pool = sized.where("small").groupBy(*node).agg(F.count("*").alias("tests"), *[F.sum(c).alias(f"pool_{c}") for c in ("n", "labelled", "bad")])
+    n, labelled, bad = (F.col(f"pool_{c}") - F.col(c) for c in ("n", "labelled", "bad"))
+    z = Z + F.sqrt(2 * F.log("tests"))                                     # so many tests exceed Z by chance
+    apart = (F.col("n") >= RARE) & (differ(F.col("labelled"), F.col("n"), labelled, n, z)
+                                    | ((F.col("labelled") >= RARE) & differ(F.col("bad"), F.col("labelled"), bad, labelled, z)))
+    named = sized.join(pool, node, "left").withColumn("name", F.when(F.col("small") & ~apart, F.lit("{*}")).otherwise(F.col("seg")))
+    branch = named.groupBy(*node, "name").agg(*sums)
     order = W.partitionBy(*node).orderBy(F.col("labelled") / F.col("n"), F.col("bad") / F.greatest("labelled", F.lit(1)), "name")
     before = lambda c: F.lag(c).over(order)
     new = (before("n").isNull() | differ(F.col("labelled"), F.col("n"), before("labelled"), before("n"))
@@ -114,6 +123,18 @@ def grow(front: DataFrame, level: int) -> DataFrame:
     return materialise(grown.unionByName(front.where(F.size("segs") < level)), "templates")
 
 
+def closed(front: DataFrame, level: int) -> DataFrame:
+    """``front`` with those rows ended in ``{**}`` whose node has nothing to tell apart below."""
+    node = ["host", "template"]
+    goes_on = F.size("segs") >= level
+    open_ = (front.where(goes_on).groupBy(*node).agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
+             .where((F.col("n") >= RARE) & (F.col("bad") > 0) & (F.col("bad") < F.col("n"))).select(*node, F.lit(True).alias("open")))
+    ends = goes_on & F.col("open").isNull()
+    return (front.join(open_, node, "left")
+            .withColumns({"segs": F.when(ends, F.slice("segs", 1, level - 1)).otherwise(F.col("segs")),
+                          "template": F.when(ends, F.concat("template", F.lit("/{**}"))).otherwise(F.col("template"))}).select(*front.columns))
+
+
 def templates(urls: DataFrame) -> DataFrame:
     """(host, shape, template, purity) of ``urls`` (host, path, bad: 1, 0 or null): one row a different generalised path."""
     segs = segments(F.col("path"))
@@ -121,9 +142,13 @@ def templates(urls: DataFrame) -> DataFrame:
                         .groupBy("host", "shape", "segs").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"),
                                                               F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
                         .withColumn("template", F.lit("")), "shapes")
-    deep = front.agg(F.max(F.size("segs"))).first()[0] or 0
-    for level in range(1, deep + 1):
+    level, deep = 1, front.agg(F.max(F.size("segs"))).first()[0] or 0
+    while level <= deep:
         front = grow(front, level)
+        level += 1
+        if DEPTH < level <= deep:
+            front = materialise(closed(front, level), "closed")
+            deep = front.agg(F.max(F.size("segs"))).first()[0] or 0
     purity = (F.sum("bad") + PRIOR * WEIGHT) / (F.sum("labelled") + WEIGHT)
     judged = front.groupBy("host", "template").agg(purity.alias("purity"))
     return front.select("host", "shape", "template").join(judged, ["host", "template"])
