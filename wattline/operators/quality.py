@@ -119,6 +119,18 @@ _SLOT_US = 30 * 60 * 1_000_000
 _DAY_US = 24 * 60 * 60 * 1_000_000
 
 
+def slot_masks(df: DataFrame, ts: str = "interval_start_utc", keys: Sequence[str] = ()) -> DataFrame:
+    """One row per (keys, UTC day, offset within the half hour): a 48-bit mask of its filled slots, and its first and last instant."""
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    day_us = F.unix_micros(F.date_trunc("DAY", F.col(ts)))
+    offset = F.pmod(us, F.lit(_SLOT_US))
+    slot = ((us - day_us - offset) / _SLOT_US).cast("int")
+    return (df.filter(F.col(ts).isNotNull())
+            .groupBy(*keys, day_us.alias("__day"), offset.alias("__off"))
+            .agg(F.bit_or(F.pow(F.lit(2), slot).cast("bigint")).alias("__mask"),
+                 F.min(us).alias("__lo"), F.max(us).alias("__hi")))
+
+
 def missing_by_mask(df: DataFrame, ts: str = "interval_start_utc", keys: Sequence[str] = ()) -> DataFrame:
     """Same answer as ``missing_intervals`` with no row-level shuffle.
 
@@ -128,20 +140,16 @@ def missing_by_mask(df: DataFrame, ts: str = "interval_start_utc", keys: Sequenc
     grid (anchored at the key's first timestamp), exactly as in the series form.
     Only the holes are expanded.
     """
+    # One row per key-day: small; written once so the fact is scanned once.
+    return holes_of(materialise(slot_masks(df, ts, keys), "slot-masks"), ts, keys)
+
+
+def holes_of(per_day: DataFrame, ts: str = "interval_start_utc", keys: Sequence[str] = ()) -> DataFrame:
+    """The missing half hours that ``slot_masks`` tell. ``per_day`` is read twice: give a written table."""
     given = list(keys)
     keys = given or ["__all"]           # one series: a constant key, not a cross join
     if not given:
-        df = df.withColumn("__all", F.lit(0))
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
-    day_us = F.unix_micros(F.date_trunc("DAY", F.col(ts)))
-    offset = F.pmod(us, F.lit(_SLOT_US))
-    slot = ((us - day_us - offset) / _SLOT_US).cast("int")
-    per_day = (df.filter(F.col(ts).isNotNull())
-               .groupBy(*keys, day_us.alias("__day"), offset.alias("__off"))
-               .agg(F.bit_or(F.pow(F.lit(2), slot).cast("bigint")).alias("__mask"),
-                    F.min(us).alias("__lo"), F.max(us).alias("__hi")))
-    # One row per key-day: small; written once so the fact is scanned once.
-    per_day = materialise(per_day, "slot-masks")
+        per_day = per_day.withColumn("__all", F.lit(0))
     bounds = per_day.groupBy(*keys).agg(F.min("__lo").alias("__klo"), F.max("__hi").alias("__khi"))
     bounds = bounds.withColumn("__koff", F.pmod("__klo", F.lit(_SLOT_US)))
     on_grid = (join_null_safe(per_day, bounds, keys, "inner").filter(F.col("__off") == F.col("__koff"))

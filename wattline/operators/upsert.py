@@ -9,7 +9,7 @@ Untouched partitions are never read or written.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -29,6 +29,7 @@ class UpsertResult:
     touched_partitions: int
     range_min: object = None  # min / max of ``range_cols`` over the batch (NULLs ignored)
     range_max: object = None
+    touched: tuple = ()     # the touched partitions' values, in order
 
 
 class EmptyBatch(ValueError):
@@ -58,7 +59,7 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
            partition_col: str, partition_expr: Column,
            arrival: Sequence[str | Column] = (), version: Sequence[str] = (),
            range_cols: tuple[str, str] | None = None, allow_empty: bool = True,
-           keep_duplicates: bool = False) -> UpsertResult:
+           keep_duplicates: bool = False, before_write: Callable[[list], None] | None = None) -> UpsertResult:
     """Insert-or-replace ``batch`` into the table at ``path`` by ``keys``.
 
     * in-batch duplicates: the first row in ``arrival`` order wins; without
@@ -68,7 +69,8 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
     * with ``version`` empty, a batch row replaces the stored row;
       with ``version`` set, the higher version wins (stream replays are harmless).
     ``partition_expr`` must be a function of the key columns. An empty batch
-    raises ``EmptyBatch`` unless ``allow_empty``.
+    raises ``EmptyBatch`` unless ``allow_empty``. ``before_write`` is told the
+    partitions that are about to change, before any does.
     """
     keys = list(keys)
     staged = batch.withColumn(partition_col, partition_expr)
@@ -98,6 +100,8 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
     lows = [r[2] for r in per_part if r[2] is not None]
     highs = [r[3] for r in per_part if r[3] is not None]
     cols = [c for c in staged.columns]
+    if before_write:
+        before_write(touched)
 
     if table_exists(spark, path) and touched:
         # Read with the batch's schema: partition values keep their type (a code
@@ -122,4 +126,4 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
     discard(spark, batch_path)                  # kept only where the upsert failed
     discard(spark, merged_path)
     return UpsertResult(path, fetched, after - before, len(touched),
-                        min(lows) if lows else None, max(highs) if highs else None)
+                        min(lows) if lows else None, max(highs) if highs else None, tuple(sorted(touched)))

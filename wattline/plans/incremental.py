@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.pricing import price_intervals
 from ..operators.upsert import UpsertResult, table_exists, upsert
 from ..schemas import LOOKBACK_DAYS
+from ..session import materialise
 
 FACT_PARTITION = "day"
 
@@ -38,6 +39,25 @@ def lookback_filter(consumption: DataFrame, hwm: dt.datetime | None, days: int =
     return consumption.filter(cond)
 
 
+def high_water_marks(spark: SparkSession, path: str, meter_keys: Sequence[str], ts: str = "interval_start_utc") -> DataFrame | None:
+    """(meter keys, mark): each meter's largest stored instant; None when the table is missing."""
+    if not table_exists(spark, path):
+        return None
+    return spark.read.parquet(path).groupBy(*meter_keys).agg(F.max(ts).alias("__mark"))
+
+
+def lookback_by_meter(consumption: DataFrame, marks: DataFrame, meter_keys: Sequence[str], days: int = LOOKBACK_DAYS,
+                      ts: str = "interval_start_utc") -> DataFrame:
+    """Rows at or after their own meter's mark less ``days``; all rows of a meter without a mark.
+
+    A meter that lags behind the others has a mark of its own, so none of its readings is passed over.
+    """
+    on = [consumption[k].eqNullSafe(marks[k]) for k in meter_keys]
+    late = F.timestamp_add("DAY", F.lit(-days), F.col("__mark"))
+    return (consumption.join(marks, on, "left").where(F.col("__mark").isNull() | (consumption[ts] >= late))
+            .select(*[consumption[c] for c in consumption.columns]))
+
+
 def write_fact(spark: SparkSession, path: str, fact: DataFrame, full_refresh: bool = False,
                time_clustered: bool = False, meter_keys: Sequence[str] = ()) -> UpsertResult:
     """Write the fact by UTC day. A full refresh rewrites everything; otherwise keyed upsert.
@@ -68,14 +88,20 @@ def incremental_fact(spark: SparkSession, path: str, consumption: DataFrame, agr
                      meter_keys: Sequence[str] = ()) -> UpsertResult:
     """Reprice the last ``lookback_days`` (or everything) and replace those keys.
 
+    With ``meter_keys`` each meter's lookback starts from its own newest stored instant.
     Rows older than the lookback are kept as stored, so a late correction older
     than the lookback, or a changed rate, needs ``full_refresh=True``. Pass
     ``hwm`` when the caller already read it (to prune the bronze scan).
     """
     if hwm is _UNSET:
         hwm = None if full_refresh else high_water_mark(spark, path)
-    batch = lookback_filter(consumption, hwm, lookback_days)
-    if hwm is not None:
+    if hwm is not None and meter_keys:
+        # One row a meter: written, as the fact that it is read from is about to change.
+        marks = materialise(high_water_marks(spark, path, meter_keys), "marks")
+        batch = lookback_by_meter(consumption, marks, meter_keys, lookback_days)
+    else:
+        batch = lookback_filter(consumption, hwm, lookback_days)
+    if hwm is not None and not meter_keys:
         # Windows that end before the lookback cannot match a repriced point;
         # dropping them keeps a daily run from rewriting years of rates.
         lo = F.lit(hwm - dt.timedelta(days=lookback_days))

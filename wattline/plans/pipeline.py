@@ -7,17 +7,20 @@ the first failure stops the run (its audit row says FAILED).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.money import strict_double
-from ..operators import quality, rollups, staging
+from ..operators import quality, staging
 from ..operators.filters import period
+from ..operators.pricing import price_intervals
 from ..operators.upsert import table_exists, upsert
 from ..schemas import FIRST_LOAD_START, LOOKBACK_DAYS
-from . import audit, incremental, lake
+from ..session import materialise
+from . import audit, changes, daily, incremental, lake
 
 
 @dataclass(frozen=True)
@@ -47,6 +50,22 @@ class Lake:
     def fact(self) -> str:
         return self.path("gold/fct_energy_cost")
 
+    @property
+    def changes(self) -> str:
+        return self.path("ingestion_changes")
+
+    @property
+    def builds(self) -> str:
+        return self.path("gold/builds")
+
+    @property
+    def masks(self) -> str:
+        return self.path("gold/slot_masks")
+
+    def priced_with(self, name: str) -> str:
+        """Copy of the windows that the last build priced with."""
+        return self.path(f"gold/priced_with/{name}")
+
     @property
     def daily(self) -> str:
         return self.path("gold/agg_daily_energy")
@@ -62,16 +81,19 @@ def load_usage(spark: SparkSession, lk: Lake, batch: DataFrame, arrival=(), now=
     """Upsert readings by (meter keys, ``interval_start_utc``) into day partitions, audited.
 
     Of several readings of one key the first in ``arrival`` order is kept; without an
-    order they fail the load.
+    order they fail the load. The days it touches are logged before they change, for the next build.
     """
     keys = [*meter_keys, "interval_start_utc"]
+    run_id, now = str(uuid.uuid4()), now or audit._now()
 
     def run():
         b = _stamp(batch.select(*keys, "interval_start_uk", strict_double("kwh").alias("kwh"), *arrival), now)
         res = upsert(spark, lk.consumption, b, keys, "day", F.to_date("interval_start_utc"), arrival=list(arrival),
-                     range_cols=("interval_start_utc", "interval_start_utc"), allow_empty=False)
+                     range_cols=("interval_start_utc", "interval_start_utc"), allow_empty=False,
+                     before_write=lambda days: changes.log_days(spark, lk.changes, run_id, now, days))
+        changes.log_done(spark, lk.changes, run_id, now)
         return res.rows_in_batch, res.rows_inserted, res.range_min, res.range_max
-    return audit.audited_load(spark, lk.audit, source, run)
+    return audit.audited_load(spark, lk.audit, source, run, run_id)
 
 
 def new_usage(spark: SparkSession, lk: Lake, landed: DataFrame, meter_keys: Sequence[str] = (),
@@ -144,15 +166,11 @@ def silver_tests(consumption: DataFrame, agreements: DataFrame, tariffs: DataFra
             | {"consumption unique": quality.unique_check(consumption, [*meter_keys, "interval_start_utc"])})
 
 
-def run_tests(fact: DataFrame, meter_keys: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """Failing rows of the fact: three columns not null, the key unique, no half hour missing."""
+def fact_tests(fact: DataFrame, meter_keys: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Failing rows of (days of) the fact: three columns not null, the key unique."""
     keys = list(meter_keys)
-    return {
-        "not_null": quality.null_check(fact, ["interval_start_utc", "kwh", "cost"], [*keys, "interval_start_utc"]),
-        "unique": quality.unique_check(fact, [*keys, "interval_start_utc"]),
-        # Same rows as the series form; pre-aggregates before it shuffles.
-        "no_missing_intervals": quality.missing_by_mask(fact, keys=keys) if keys else quality.missing_by_mask(fact),
-    }
+    return {"not_null": quality.null_check(fact, ["interval_start_utc", "kwh", "cost"], [*keys, "interval_start_utc"]),
+            "unique": quality.unique_check(fact, [*keys, "interval_start_utc"])}
 
 
 def count_failures(tests: Mapping[str, DataFrame]) -> dict[str, int]:
@@ -168,38 +186,65 @@ def gate(tests: Mapping[str, DataFrame], severity: str | Mapping[str, str] = "er
     return found
 
 
-def build_models(spark: SparkSession, lk: Lake, lookback_days: int = 1, full_refresh: bool = False,
-                 meter_keys: Sequence[str] = (), severity: str | Mapping[str, str] = "error",
-                 found: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """Silver views over bronze, their tests, the incremental fact, its tests, the daily table (overwritten).
+WINDOW_COLUMNS = {"agreements": ("tariff_code", "valid_from_utc", "valid_to_utc"),
+                  "tariffs": ("tariff_code", "valid_from_utc", "valid_to_utc", "unit_rate")}
+
 
-    A failing test (see ``gate``) stops what depends on its table. ``found`` receives the counts.
+def build_models(spark: SparkSession, lk: Lake, full_refresh: bool = False, meter_keys: Sequence[str] = (),
+                 severity: str | Mapping[str, str] = "error", found: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Silver views over bronze, their tests, the fact, its tests, the daily table.
+
+    The first build (or ``full_refresh``) prices everything. A later one prices what has changed (see
+    ``changes``): readings of loads that no build has taken, however far behind the newest they are, and readings in
+    the time of windows that differ. Only days touched so are read, tested for nulls and doubles,
+    and rolled up again; holes are told by the masks of all days. A failing test (see ``gate``) stops what
+    depends on its table, and the next build takes the same changes again. ``found`` receives the counts.
     """
     found = {} if found is None else found
-    hwm = None if full_refresh else incremental.high_water_mark(spark, lk.fact)
-    # The lookback also filters the bronze day partitions: every version of a
-    # key shares its day, so pruning before the dedupe changes nothing.
-    bronze = incremental.lookback_filter(spark.read.parquet(lk.consumption), hwm, lookback_days,
-                                         day_col="day").drop("day")
-    consumption = staging.stg_consumption(bronze, keys=[*meter_keys, "interval_start_utc"])
-    agreements = staging.stg_agreements(spark.read.parquet(lk.agreements).drop("bucket"))
-    tariffs = staging.stg_tariffs(spark.read.parquet(lk.tariffs).drop("bucket"))
-    found |= gate(silver_tests(consumption, agreements, tariffs, meter_keys), severity)
-    incremental.incremental_fact(spark, lk.fact, consumption, agreements, tariffs, lookback_days=lookback_days,
-                                 full_refresh=full_refresh, hwm=hwm, meter_keys=meter_keys)
-    fact = incremental.read_fact(spark, lk.fact)
-    found |= gate(run_tests(fact, meter_keys), severity)
-    rollups.daily_energy(fact).write.mode("overwrite").parquet(lk.daily)
-    return fact, spark.read.parquet(lk.daily)
+    keys = [*meter_keys, "interval_start_utc"]
+    loads = changes.pending(spark, lk.changes, lk.builds)
+    bronze = spark.read.parquet(lk.consumption)
+    windows = {"agreements": staging.stg_agreements(spark.read.parquet(lk.agreements).drop("bucket")),
+               "tariffs": staging.stg_tariffs(spark.read.parquet(lk.tariffs).drop("bucket"))}
+    full = full_refresh or not table_exists(spark, lk.fact)
+    if full:
+        rows, concerned = bronze, None
+    else:
+        before = {n: spark.read.parquet(lk.priced_with(n)) if table_exists(spark, lk.priced_with(n)) else None for n in windows}
+        differ = [materialise(changes.changed_windows(w, before[n], WINDOW_COLUMNS[n]), "changed-windows") for n, w in windows.items()]
+        rows, concerned = changes.readings_to_price(bronze, keys, loads, [d for d in differ if not d.isEmpty()])
+        concerned = materialise(concerned, "concerned")
+    consumption = staging.stg_consumption(rows.drop("day"), keys=keys)
+    found |= gate(silver_tests(consumption, *windows.values(), meter_keys), severity)
+    batch = consumption if full else consumption.join(concerned, keys, "left_semi")
+    priced = price_intervals(batch, *windows.values(), meter_keys=meter_keys)
+    days = incremental.write_fact(spark, lk.fact, priced, full_refresh=full, meter_keys=meter_keys).touched
+    days = None if full else days
+    fact = spark.read.parquet(lk.fact)
+    tested = (fact if full else fact.where(F.col("day").isin(list(days)))).drop("day")
+    masks = daily.refresh_masks(spark, lk.fact, lk.masks, days, meter_keys)
+    found |= gate(fact_tests(tested, meter_keys) | {"no_missing_intervals": quality.holes_of(masks, keys=list(meter_keys))}, severity)
+    out = daily.refresh(spark, lk.fact, lk.daily, days, meter_keys)
+    for name, w in windows.items():
+        w.select(*WINDOW_COLUMNS[name]).write.mode("overwrite").parquet(lk.priced_with(name))
+    changes.take(spark, lk.builds, loads)
+    return fact.drop("day"), out
 
 
 def run(spark: SparkSession, lk: Lake, agreements: DataFrame, tariffs: DataFrame, usage: DataFrame,
         export_root: str | None = None, usage_arrival=(), now=None, meter_keys: Sequence[str] = (),
-        severity: str | Mapping[str, str] = "error") -> dict:
-    """Agreements → their tariffs → usage → (export) → silver → tests → fact → tests → daily; stops at the first failure."""
+        severity: str | Mapping[str, str] = "error", agreements_arrival=(), tariffs_arrival=(),
+        usage_lookback: int | None = None) -> dict:
+    """Agreements → their tariffs → usage → (export) → silver → tests → fact → tests → daily; stops at the first failure.
+
+    Of repeated keys the first in the given arrival order is kept. With ``usage_lookback`` only readings from that many days before
+    each meter's newest stored one on are taken, as a load that asks a service would; without, all that landed.
+    """
     out = {"audit": [], "tests": {}}
-    out["audit"].append(load_windows(spark, lk, lk.agreements, agreements, "agreements_feed", now))
-    out["audit"].append(load_windows(spark, lk, lk.tariffs, rates_for_agreements(spark, lk, tariffs), "rates_feed", now))
+    out["audit"].append(load_windows(spark, lk, lk.agreements, agreements, "agreements_feed", now, agreements_arrival))
+    out["audit"].append(load_windows(spark, lk, lk.tariffs, rates_for_agreements(spark, lk, tariffs), "rates_feed", now, tariffs_arrival))
+    if usage_lookback is not None:
+        usage = new_usage(spark, lk, usage, meter_keys, usage_lookback)
     out["audit"].append(load_usage(spark, lk, usage, usage_arrival, now, meter_keys=meter_keys))
     if export_root:
         bronze = {"raw_consumption": spark.read.parquet(lk.consumption).drop("day"),

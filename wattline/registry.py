@@ -669,13 +669,13 @@ def incremental_lookback(spark, sf_dir):
 
 
 @register("incremental_per_meter", oracle(
-    "SELECT * FROM initial_meters WHERE interval_start_utc < (SELECT lo FROM lookback_meters)"
-    " UNION ALL SELECT * FROM all_meters WHERE interval_start_utc >= (SELECT lo FROM lookback_meters)",
+    "SELECT i.* FROM initial_meters i JOIN lookback_meters l ON i.meter_id = l.meter_id WHERE interval_start_utc < lo"
+    " UNION ALL SELECT a.* FROM all_meters a LEFT JOIN lookback_meters l ON a.meter_id = l.meter_id WHERE lo IS NULL OR interval_start_utc >= lo",
     ",\n".join(f"{name} AS ({_priced(_LATEST_READING.format(where=where), 'meter_id')})" for name, where in (
         ("initial_meters", f"WHERE ingestion_ts < TIMESTAMP {CUTOFF!r}"), ("all_meters", "")))
-    + ",\nlookback_meters AS (SELECT max(interval_start_utc) - INTERVAL 1 DAY AS lo FROM initial_meters)"))
+    + ",\nlookback_meters AS (SELECT meter_id, max(interval_start_utc) - INTERVAL 1 DAY AS lo FROM initial_meters GROUP BY meter_id)"))
 def incremental_per_meter(spark, sf_dir):
-    """The incremental fact of many meters: the lookback replaces (meter, half hour) keys."""
+    """The incremental fact of many meters: each meter's lookback starts at its own mark and replaces (meter, half hour) keys."""
     path = scratch_path(spark, "incremental-meters")
     raw = tables.consumption_raw(spark, sf_dir, with_meter=True)
     _, agreements, tariffs = fact_plan.silver(spark, sf_dir)
@@ -878,7 +878,7 @@ def pipeline_run(spark, sf_dir):
     out = pipeline.run(spark, lk, tables.agreements_raw(spark, sf_dir).drop("ingestion_ts"),
                        tables.tariffs_raw(spark, sf_dir).drop("ingestion_ts"),
                        tables.consumption_raw(spark, sf_dir).drop("ingestion_ts"), usage_arrival=["version"],
-                       export_root=lk.path("lake"), severity="warn")   # these series have holes and unpriced ends
+                       export_root=lk.path("lake"), usage_lookback=1, severity="warn")   # these series have holes and unpriced ends
     return rounded(out["daily"])
 
 
@@ -894,6 +894,56 @@ def pipeline_per_meter(spark, sf_dir):
     return out["fact"]
 
 
+# Every seventh meter's readings of the week before the cutoff are delivered a run late.
+LAG_METERS, LAG_DAYS = 7, 7
+_LATE_SQL = (f"ingestion_ts >= TIMESTAMP '{CUTOFF}' - CASE WHEN meter_id % {LAG_METERS} = 0"
+             f" THEN INTERVAL {LAG_DAYS} DAY ELSE INTERVAL 0 DAY END")
+_LAGGING_READINGS = ("(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meter_id, interval_start_utc ORDER BY late DESC, version) AS rn"
+                     f" FROM (SELECT *, {_LATE_SQL} AS late FROM consumption_raw)) WHERE rn = 1)")
+
+
+def _two_runs(spark: SparkSession, sf_dir: str, tariffs_then=None) -> dict:
+    """A run over what had come by the cutoff, lagging meters a week less, and a run over the rest."""
+    from .plans import pipeline
+    lk = pipeline.Lake(scratch_path(spark, "two-runs"))
+    raw = tables.consumption_raw(spark, sf_dir, with_meter=True)
+    cutoff = F.lit(CUTOFF).cast("timestamp_ntz")
+    late = raw.ingestion_ts >= F.when(raw.meter_id % LAG_METERS == 0, F.timestamp_add("DAY", F.lit(-LAG_DAYS), cutoff)).otherwise(cutoff)
+    tariffs = tables.tariffs_raw(spark, sf_dir).drop("ingestion_ts")
+    for part, rates in ((raw.where(~late), tariffs), (raw.where(late), (tariffs_then or (lambda t: t))(tariffs))):
+        out = pipeline.run(spark, lk, tables.agreements_raw(spark, sf_dir).drop("ingestion_ts"), rates, part.drop("ingestion_ts"),
+                           usage_arrival=["version"], severity="warn", meter_keys=["meter_id"])
+    return out
+
+
+@register("incremental_lagging_meter", oracle(_priced(_LAGGING_READINGS, "meter_id")))
+def incremental_lagging_meter(spark, sf_dir):
+    """The fact after two runs: readings that meters delivered a week behind the newest ones are priced, too."""
+    return _two_runs(spark, sf_dir)["fact"]
+
+
+@register("daily_incremental", oracle(
+    f"SELECT meter_id, usage_date, {dsum('kwh')} AS total_kwh, {dsum('cost')} AS total_cost, {davg('unit_rate')} AS avg_rate"
+    " FROM lagging_fct GROUP BY meter_id, usage_date", f"lagging_fct AS ({_priced(_LAGGING_READINGS, 'meter_id')})"))
+def daily_incremental(spark, sf_dir):
+    """The daily table after two runs, kept up by touched days, against the roll-up of the whole fact."""
+    return rounded(_two_runs(spark, sf_dir)["daily"])
+
+
+# The second run brings corrected rates for this stretch, long before the readings that it brings.
+RATES_FROM, RATES_TO = "2024-01-04 00:00:00", "2024-01-06 00:00:00"
+
+
+@register("repriced_rates", oracle(
+    _priced(_LAGGING_READINGS, "meter_id").replace("stg_tariffs", "new_tariffs"),
+    "new_tariffs AS (SELECT tariff_code, valid_from_utc, valid_to_utc, unit_rate + CASE WHEN"
+    f" valid_from_utc >= TIMESTAMP '{RATES_FROM}' AND valid_from_utc < TIMESTAMP '{RATES_TO}' THEN 1 ELSE 0 END AS unit_rate FROM stg_tariffs)"))
+def repriced_rates(spark, sf_dir):
+    """Corrected rates reprice the readings of their time, with no full refresh."""
+    within = (F.col("valid_from_utc") >= F.lit(RATES_FROM).cast("timestamp_ntz")) & (F.col("valid_from_utc") < F.lit(RATES_TO).cast("timestamp_ntz"))
+    return _two_runs(spark, sf_dir, lambda t: t.withColumn("unit_rate", F.col("unit_rate") + within.cast("double")))["fact"]
+
+
 @register("upsert_per_meter", oracle(
     "SELECT meter_id, interval_start_utc, interval_start_uk, kwh + CASE WHEN late THEN 1 ELSE 0 END AS kwh FROM ("
     " SELECT *, row_number() OVER (PARTITION BY meter_id, interval_start_utc ORDER BY late DESC, version) AS rn FROM ("
