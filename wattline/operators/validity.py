@@ -4,8 +4,12 @@
                   overlapping windows fan out exactly like the SQL form.
 ``asof_join``   — the same result for non-overlapping windows, computed with
                   a running ``last`` instead of a join.
+``range_join_dyadic`` — the range join for windows of very mixed length: each is
+                  cut into few aligned intervals of power-of-two lengths.
+``asof_carried`` — the as-of join over contiguous runs of (keys, time), each of which
+                  carries its last window on to the next ones.
 
-Both split time into buckets (``unit="auto"`` picks hour … year from the
+The first two split time into buckets (``unit="auto"`` picks hour … year from the
 windows' lengths) and work on (keys, bucket):
 a plain range predicate with no equality would be planned as a nested-loop
 join. Each window is exploded into the buckets it covers, up to the latest
@@ -248,3 +252,145 @@ def asof_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str, v
     inside = (F.col(f"{hit}.{valid_from}") <= F.col(mark)) & (F.col(mark) < F.col(f"{hit}.{valid_to}"))
     found = found.withColumn(hit, F.when(inside, F.col(hit)))
     return found.select("__asof_point.*", *[F.col(f"{hit}.{c}").alias(c) for c in payload])
+
+
+TICK_SECONDS = 1800                     # the smallest aligned interval: a half hour
+STEP_BITS = 3                           # a level's intervals are 2^3 of the level below
+DYADIC_LEVELS = 16                      # 2^45 half hours: any timestamp
+
+
+def _ticks(col: Column, tick: int, up: bool = False) -> Column:
+    micros = F.unix_micros(col.cast("timestamp"))
+    size = tick * 1_000_000
+    down = (micros - F.pmod(micros, F.lit(size))) / size
+    return (down + (F.pmod(micros, F.lit(size)) > 0).cast("int") if up else down).cast("long")
+
+
+def dyadic_cover(valid_from: Column, valid_to: Column, tick: int = TICK_SECONDS, levels: int = DYADIC_LEVELS) -> Column:
+    """array<struct<level, bucket>>: disjoint aligned intervals that cover the window, ends rounded out to ticks.
+
+    An interval of a level is ``2 ** STEP_BITS`` of the level below. From both ends inwards, what doesn't fill an
+    interval of the next level is covered by this level's: at most ``2 * (2 ** STEP_BITS - 1)`` a level.
+    """
+    none = F.array().cast("array<struct<level:int,bucket:bigint>>")
+    first, end = _ticks(valid_from, tick), _ticks(valid_to, tick, up=True)
+
+    def inner(level: int) -> tuple[Column, Column]:
+        """First and end of the whole intervals of a level within the window."""
+        bits = STEP_BITS * level
+        return F.shiftright(first + ((1 << bits) - 1), bits), F.shiftright(end, bits)
+
+    def run(level: int, low: Column, high: Column) -> Column:        # a sequence would count down
+        return F.when(high > low, F.transform(F.sequence(low, high - 1), lambda b: F.struct(
+            F.lit(level).alias("level"), b.alias("bucket")))).otherwise(none)
+
+    pieces = []
+    for level in range(levels):
+        (low, high), (up, down) = inner(level), inner(level + 1)
+        if level == levels - 1:
+            pieces.append(run(level, low, high))
+        else:
+            ends = up >= down                                        # the next level has no whole interval in it
+            pieces.append(run(level, low, F.when(ends, high).otherwise(F.shiftleft(up, STEP_BITS))))
+            pieces.append(F.when(ends, none).otherwise(run(level, F.shiftleft(down, STEP_BITS), high)))
+    return F.concat(*pieces)
+
+
+@dataclass(frozen=True)
+class DyadicWindows:
+    """Windows cut into aligned intervals, and the levels that any of them uses."""
+    pieces: DataFrame          # columns prefixed with ``__w_``, and __level, __bucket
+    levels: tuple[int, ...]
+    broadcast: bool            # size proven by measured rows and bytes
+
+
+def dyadic_windows(windows: DataFrame, valid_from: str, valid_to: str, on: Sequence[str], tick: int = TICK_SECONDS,
+                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DyadicWindows:
+    """Cut, write and measure the window side. The expression has as many levels as the longest window needs."""
+    windows = materialise(windows.filter(F.col(valid_from) < F.col(valid_to)))
+    longest = windows.agg(F.max(_ticks(F.col(valid_to), tick, up=True) - _ticks(F.col(valid_from), tick))).first()[0] or 1
+    levels = min(DYADIC_LEVELS, max(1, -(-int(longest).bit_length() // STEP_BITS)))
+    cut = windows.select(*[F.col(c).alias(_W + c) for c in windows.columns],
+                         F.explode(dyadic_cover(F.col(valid_from), F.col(valid_to), tick, levels)).alias("__piece"))
+    cut = materialise(cut.select("*", "__piece.level", "__piece.bucket").drop("__piece")
+                      .withColumnsRenamed({"level": "__level", "bucket": "__bucket"}))
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in cut.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    width = F.lit(32 + 16 * len(cut.columns))
+    for t in text:
+        width = width + t
+    found = cut.agg(F.count(F.lit(1)).alias("n"), F.max(width).alias("w"), F.sort_array(F.collect_set("__level")).alias("levels")).first()
+    proven = broadcast_rows is not None and found["n"] <= broadcast_rows and found["n"] * (found["w"] or 0) <= broadcast_bytes
+    return DyadicWindows(cut, tuple(found["levels"]), proven)
+
+
+def range_join_dyadic(points: DataFrame, windows: DataFrame, at: str, valid_from: str, valid_to: str, on: Sequence[str] = (),
+                      how: str = "left", tick: int = TICK_SECONDS, broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``range_join`` for windows of any mixture of lengths; open ends must be filled.
+
+    Each window is O(log length) rows, and each point asks once a level that some window uses, so
+    one window of thirty years among half-hourly ones costs some rows more and neither a bucket size that
+    suits it nor a row a half hour. A window's intervals are disjoint: a pair meets once. For
+    ``left`` the points that met no window are those whose (keys, time) isn't among the pairs' (written once).
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("range_join_dyadic supports how='left' or 'inner'")
+    on = list(on)
+    payload = [c for c in windows.columns if c not in (*on, valid_from, valid_to)]
+    if clash := set(payload) & set(points.columns):
+        raise ValueError(f"window columns also on the point side: {sorted(clash)}")
+    w = dyadic_windows(windows.select(*on, valid_from, valid_to, *payload), valid_from, valid_to, on, tick, broadcast_rows)
+    mine = _ticks(F.col(at), tick)
+    asked = F.array(*[F.struct(F.lit(level).alias("level"), F.shiftright(mine, STEP_BITS * level).alias("bucket")) for level in w.levels])
+    asked = asked if w.levels else F.array().cast("array<struct<level:int,bucket:bigint>>")
+    probes = points.select("*", F.explode(asked).alias("__probe"))
+    side = F.broadcast(w.pieces) if w.broadcast else w.pieces.hint("merge")
+    cond = [probes[k] == side[_W + k] for k in on]
+    cond += [probes["__probe.level"] == side["__level"], probes["__probe.bucket"] == side["__bucket"],
+             probes[at] >= side[_W + valid_from], probes[at] < side[_W + valid_to]]
+    pairs = probes.join(side, cond, "inner").select(*[probes[c] for c in points.columns], *[side[_W + c].alias(c) for c in payload])
+    if how == "inner":
+        return pairs
+    pairs = write_and_read(pairs, "pairs")
+    met = pairs.select(*[F.col(c).alias(f"__m_{c}") for c in [*on, at]]).distinct()
+    alone = points.join(met, [points[c] == met[f"__m_{c}"] for c in [*on, at]], "left_anti")
+    return pairs.unionByName(alone, allowMissingColumns=True)
+
+
+def asof_carried(points: DataFrame, windows: DataFrame, at: str, valid_from: str, valid_to: str, on: Sequence[str] = ()) -> DataFrame:
+    """``asof_join`` without buckets, tails or salt; for windows of a key that don't overlap.
+
+    Window starts and points are dealt into contiguous runs of (keys, time) by one range exchange, so
+    a key of any size is as many runs as it needs, wherever its points lie. Within a run the last
+    start is found by a running ``last``. A key that came over from earlier runs
+    gets their last window: one row a run (its last key and that key's last window) is all that is looked at across runs.
+    """
+    on, own = list(on), "__asof_point"
+    payload = [c for c in windows.columns if c not in (*on, valid_from, valid_to)]
+    if clash := set(payload) & set(points.columns):
+        raise ValueError(f"window columns also on the point side: {sorted(clash)}")
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(on)], F.lit(0).alias("one")).alias("__key")
+    starts = windows.where(F.col(valid_from) < F.col(valid_to)).select(
+        key, F.col(valid_from).alias("__mark"), F.lit(0).alias("__kind"), F.lit(0).cast("long").alias("__spread"),
+        F.struct(valid_from, valid_to, *payload).alias("__hit"))
+    pts = points.select(key, F.col(at).alias("__mark"), F.lit(1).alias("__kind"), F.xxhash64(*points.columns).alias("__spread"),
+                        F.struct(*points.columns).alias(own))
+    both = pts.unionByName(starts, allowMissingColumns=True)
+    order = ["__mark", "__kind", "__spread"]                          # equal times may be dealt to several runs: starts come first
+    runs = write_and_read(both.repartitionByRange("__key", *order).withColumn("__run", F.spark_partition_id()), "asof-runs")
+    inside = Window.partitionBy("__run", "__key").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = runs.withColumn("__last", F.last("__hit", ignorenulls=True).over(inside))
+    place = F.struct("__key", *order)
+    ends = runs.groupBy("__run").agg(F.max_by(F.struct("__key", "__last"), place).alias("__end"))
+    ends = ends.select("__run", F.col("__end.__key").alias("__key"), F.col("__end.__last").alias("__from"))
+    # the runs that begin with a key get the last window of the runs that ended with it: two rows a run
+    heads = runs.groupBy("__run").agg(F.min("__key").alias("__key"))
+    chain = (heads.select("__run", "__key", F.lit(None).cast(runs.schema["__hit"].dataType).alias("__from"), F.lit(0).alias("__tail"))
+             .unionByName(ends.withColumn("__tail", F.lit(1))))
+    before = Window.partitionBy("__key").orderBy("__run", "__tail").rowsBetween(Window.unboundedPreceding, -1)
+    carried = chain.withColumn("__carried", F.last("__from", ignorenulls=True).over(before)).where("__tail = 0").select(
+        F.col("__run").alias("__r"), F.col("__key").alias("__k"), "__carried")
+    carried = write_and_read(carried.where("__carried IS NOT NULL"), "asof-heads")
+    found = runs.where("__kind = 1").join(F.broadcast(carried), (F.col("__run") == F.col("__r")) & F.col("__key").eqNullSafe(F.col("__k")), "left")
+    hit = F.coalesce("__last", "__carried")
+    hit = F.when((hit[valid_from] <= F.col("__mark")) & (F.col("__mark") < hit[valid_to]), hit)
+    return found.select(f"{own}.*", *[hit[c].alias(c) for c in payload])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators.filters import allow_list
 
@@ -56,7 +56,7 @@ def write_snapshot(df: DataFrame, spec: ExportSpec, root: str, mode: str = "over
         out = out.withColumn(DAY_COLUMN, F.to_date(spec.partition_field))
         # Range-partitioned on (day, sort key): a day is written by few tasks, in
         # order, and a hot day is still split (equal range keys share a task).
-        out = out.repartitionByRange(DAY_COLUMN, *spec.order_by).sortWithinPartitions(*spec.order_by)
+        out = out.repartitionByRange(DAY_COLUMN, *spec.order_by).sortWithinPartitions(DAY_COLUMN, *spec.order_by)
         writer = out.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(DAY_COLUMN)
     writer.parquet(path)
     return path
@@ -78,3 +78,19 @@ def write_by_day(df: DataFrame, path: str, ts: str, mode: str = "overwrite") ->
      .write.mode(mode).option("partitionOverwriteMode", "static")
      .partitionBy(DAY_COLUMN).parquet(path))
     return path
+
+
+def in_order(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of an export with ``place``, their number from 1 in the order in which they were written.
+
+    Days (if it is partitioned), then files by name, then rows by their number in the file; one row a file is numbered in one place.
+    """
+    rows = spark.read.parquet(path)
+    parts = [c for c in rows.columns if c == DAY_COLUMN]
+    rows = rows.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_name").alias("__name"),
+                       F.col("_metadata.row_index").alias("__row"))
+    files = rows.groupBy("__path", "__name", *parts).agg(F.count(F.lit(1)).alias("__n")).withColumn("__one", F.lit(1))
+    before = Window.partitionBy("__one").orderBy(*parts, "__name").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select(F.col("__path").alias("__file"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return (rows.join(files.hint("merge"), F.col("__path") == F.col("__file"))
+            .withColumn("place", F.col("__before") + F.col("__row") + 1).drop("__path", "__name", "__row", "__file", "__before"))

@@ -350,16 +350,43 @@ _MIXED_CTE = ("mixed_windows AS (SELECT * FROM order_windows UNION ALL"
               " SELECT o_custkey, min(o_orderdate), max(o_orderdate), -1 FROM orders GROUP BY o_custkey)")
 
 
+def _mixed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order windows, and per customer one that spans all of them."""
+    spans = tables.read_table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.min("o_orderdate").alias("valid_from"), F.max("o_orderdate").alias("valid_to"), F.lit(-1).alias("window_orderkey"))
+    return tables.order_windows(spark, sf_dir).unionByName(spans)
+
+
+@register("range_join_dyadic", oracle(
+    "SELECT p.l_orderkey, p.l_linenumber, p.o_custkey, p.l_shipdate, w.window_orderkey"
+    " FROM shipment_points p LEFT JOIN mixed_windows w"
+    " ON p.o_custkey = w.o_custkey AND p.l_shipdate >= w.valid_from AND p.l_shipdate < w.valid_to", _MIXED_CTE))
+def range_join_dyadic(spark, sf_dir):
+    """The windows of ``range_join_mixed`` cut into aligned intervals: no bucket size has to suit all."""
+    return validity.range_join_dyadic(tables.shipment_points(spark, sf_dir), _mixed_windows(spark, sf_dir),
+                                      "l_shipdate", "valid_from", "valid_to", on=["o_custkey"], tick=86400, broadcast_rows=None)
+
+
+@register("asof_carried", oracle(
+    "SELECT p.l_orderkey, p.l_linenumber, p.o_custkey, p.l_shipdate, w.window_orderkey FROM ("
+    " SELECT * FROM shipment_points UNION ALL SELECT l_orderkey, l_linenumber, o_custkey, l_shipdate + INTERVAL 3650 DAY FROM shipment_points) p"
+    " LEFT JOIN distinct_order_windows w ON p.o_custkey = w.o_custkey AND p.l_shipdate >= w.valid_from"
+    " AND p.l_shipdate < coalesce(w.valid_to, TIMESTAMP '9999-12-31 00:00:00')"))
+def asof_carried(spark, sf_dir):
+    """As-of over open-ended windows, half of the points ten years after the last start."""
+    points = tables.shipment_points(spark, sf_dir)
+    later = points.withColumn("l_shipdate", F.timestamp_add("DAY", F.lit(3650), "l_shipdate"))
+    windows = staging.fill_open_ends(tables.distinct_order_windows(spark, sf_dir), ["valid_to"])
+    return validity.asof_carried(points.unionByName(later), windows, "l_shipdate", "valid_from", "valid_to", on=["o_custkey"])
+
+
 @register("range_join_mixed", oracle(
     "SELECT p.l_orderkey, p.l_linenumber, p.o_custkey, p.l_shipdate, w.window_orderkey"
     " FROM shipment_points p LEFT JOIN mixed_windows w"
     " ON p.o_custkey = w.o_custkey AND p.l_shipdate >= w.valid_from AND p.l_shipdate < w.valid_to", _MIXED_CTE))
 def range_join_mixed(spark, sf_dir):
     """Short windows and one that spans them all per customer: both match, and the bucket size suits the many."""
-    spans = tables.read_table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
-        F.min("o_orderdate").alias("valid_from"), F.max("o_orderdate").alias("valid_to"), F.lit(-1).alias("window_orderkey"))
-    return validity.range_join(tables.shipment_points(spark, sf_dir),
-                               tables.order_windows(spark, sf_dir).unionByName(spans),
+    return validity.range_join(tables.shipment_points(spark, sf_dir), _mixed_windows(spark, sf_dir),
                                "l_shipdate", "valid_from", "valid_to", on=["o_custkey"])
 
 
@@ -778,6 +805,16 @@ def usage_pages(spark, sf_dir):
     return pages.usage_batch(spark, path)
 
 
+@register("page_chain", ORACLES["first_per_key"])
+def page_chain(spark, sf_dir):
+    """Readings in pages whose numbers are no order: only the chain of links tells which came first."""
+    from .sources import pages
+    path = scratch_path(spark, "page-chain")
+    pages.land_usage_pages(tables.read_table(spark, sf_dir, "events"), path, page_size=250,
+                           number=lambda page: page.bitwiseXOR(F.lit(0x2D)))
+    return pages.usage_batch(spark, path)
+
+
 @register("rate_pages", oracle(
     "SELECT tariff_code, array_to_string(list_slice(string_split(tariff_code, '-'), 3,"
     " len(string_split(tariff_code, '-')) - 1), '-') AS product_code, valid_from_utc, valid_to_utc,"
@@ -976,6 +1013,132 @@ def build_gate(spark, sf_dir):
     return spark.createDataFrame(list((silver | gold).items()), "test string, failures long")
 
 
+@register("export_order", oracle(
+    "SELECT interval_start_utc, kwh, row_number() OVER (ORDER BY interval_start_utc) AS place FROM stg_consumption"
+    " UNION ALL SELECT interval_start_utc, kwh, -row_number() OVER (ORDER BY interval_start_utc) FROM stg_consumption"))
+def export_order(spark, sf_dir):
+    """An export by day and one without days (places negated), read back in the order of their files."""
+    from dataclasses import replace
+    from .plans import lake
+    consumption, _, _ = fact_plan.silver(spark, sf_dir)
+    stamped = consumption.withColumn("ingestion_ts", F.col("interval_start_utc"))
+    spec = lake.EXPORTS["raw_consumption"]
+    by_day, plain = (lake.in_order(spark, lake.write_snapshot(stamped.repartition(7, "kwh"), sp, scratch_path(spark, "export-order")))
+                     for sp in (spec, replace(spec, partition_field=None)))
+    return by_day.select("interval_start_utc", "kwh", "place").unionByName(plain.select("interval_start_utc", "kwh", (-F.col("place")).alias("place")))
+
+
+@register("exports_read_back", oracle(
+    "SELECT 'raw_agreements' AS name, tariff_code, valid_from_utc, valid_to_utc, CAST(NULL AS DOUBLE) AS unit_rate FROM agreements_raw"
+    " UNION ALL SELECT 'raw_tariffs', tariff_code, valid_from_utc, valid_to_utc, unit_rate FROM tariffs_raw"))
+def exports_read_back(spark, sf_dir):
+    """The window tables of a whole run's export, as they lie in the lake."""
+    from .plans import pipeline
+    lk = pipeline.Lake(scratch_path(spark, "run-export"))
+    out = pipeline.run(spark, lk, tables.agreements_raw(spark, sf_dir).drop("ingestion_ts"), tables.tariffs_raw(spark, sf_dir).drop("ingestion_ts"),
+                       tables.consumption_raw(spark, sf_dir).drop("ingestion_ts"), usage_arrival=["version"], export_root=lk.path("lake"), severity="warn")
+    parts = [spark.read.parquet(out["exports"][n]).select(F.lit(n).alias("name"), "tariff_code", "valid_from_utc", "valid_to_utc", rate.alias("unit_rate"))
+             for n, rate in (("raw_agreements", F.lit(None).cast("double")), ("raw_tariffs", F.col("unit_rate")))]
+    return parts[0].unionByName(parts[1])
+
+
+@register("gate_stops", oracle("SELECT 3 AS loads, true AS fact, false AS daily, true AS unpriced"))
+def gate_stops(spark, sf_dir):
+    """A run whose fact has unpriced and missing half hours stops there: the daily table isn't built."""
+    from .operators.upsert import table_exists
+    from .plans import pipeline
+    lk = pipeline.Lake(scratch_path(spark, "gated"))
+    try:
+        pipeline.run(spark, lk, tables.agreements_raw(spark, sf_dir).drop("ingestion_ts"), tables.tariffs_raw(spark, sf_dir).drop("ingestion_ts"),
+                     tables.consumption_raw(spark, sf_dir).drop("ingestion_ts"), usage_arrival=["version"])
+        said = ""
+    except pipeline.TestsFailed as exc:
+        said = str(exc)
+    loads = spark.read.parquet(lk.audit).where("status = 'SUCCESS'").agg(F.count(F.lit(1)).cast("int").alias("loads"))
+    return loads.select("loads", F.lit(table_exists(spark, lk.fact)).alias("fact"), F.lit(table_exists(spark, lk.daily)).alias("daily"),
+                        F.lit("not_null" in said).alias("unpriced"))
+
+
+@register("not_null_all", oracle(" UNION ALL ".join(
+    f"SELECT '{name} {column} not null' AS test, count(*) AS failures FROM {table} WHERE {column} IS NULL" for name, table, columns in (
+        ("consumption", "stg_consumption", ("interval_start_utc", "kwh")), ("agreements", "stg_agreements", ("tariff_code",)),
+        ("tariffs", "stg_tariffs", ("tariff_code", "unit_rate")), ("fact", "fct", ("interval_start_utc", "kwh", "cost"))) for column in columns)))
+def not_null_all(spark, sf_dir):
+    """Failing rows of each of the eight columns that mustn't be null."""
+    from .plans import pipeline
+    silver = fact_plan.silver(spark, sf_dir)
+    tests = {n: t for n, t in pipeline.silver_tests(*silver).items() if n.endswith("not null")}
+    tests |= pipeline.not_null(fact_plan.fct_energy_cost(*silver), ["interval_start_utc", "kwh", "cost"], "fact ")
+    return spark.createDataFrame(list(pipeline.count_failures(tests).items()), "test string, failures long")
+
+
+@register("table_defaults", oracle(
+    "SELECT tariff_code, valid_from_utc, true AS stamped FROM tariffs_raw UNION ALL SELECT tariff_code, valid_from_utc, true FROM agreements_raw"))
+def table_defaults(spark, sf_dir):
+    """Rows inserted without their ingestion time get it from the table's default."""
+    from uuid import uuid4
+    from .schemas import AGREEMENTS, TARIFFS
+    from .sources import catalog
+    out = []
+    for schema, rows in ((TARIFFS, tables.tariffs_raw(spark, sf_dir)), (AGREEMENTS, tables.agreements_raw(spark, sf_dir))):
+        name, path = f"wattline_{uuid4().hex}", scratch_path(spark, "defaults")
+        catalog.create_table_if_absent(spark, name, schema, path, defaults={"ingestion_ts": "localtimestamp()"})
+        catalog.insert_rows(spark, name, rows.drop("ingestion_ts"))
+        catalog.drop_table(spark, name)                 # the table's files stay
+        out.append(spark.read.schema(schema).parquet(path).select("tariff_code", "valid_from_utc", F.col("ingestion_ts").isNotNull().alias("stamped")))
+    return out[0].unionByName(out[1])
+
+
+@register("table_checks", oracle(" UNION ALL ".join(
+    f"SELECT '{name}' AS name, false AS there_before, true AS there, {columns} AS columns, (SELECT count(*) FROM {source}) AS n_rows, false AS there_after"
+    for name, columns, source in (("raw_consumption", 4, "consumption_raw"), ("raw_agreements", 6, "agreements_raw"), ("raw_tariffs", 8, "tariffs_raw")))))
+def table_checks(spark, sf_dir):
+    """The catalog's answers about the bronze tables before they are there, while they are, and after they were dropped."""
+    from uuid import uuid4
+    from .schemas import AGREEMENTS, CONSUMPTION, TARIFFS
+    from .sources import catalog
+    out, run = [], uuid4().hex
+    for name, schema, rows in (("raw_consumption", CONSUMPTION, tables.consumption_raw(spark, sf_dir).drop("version")),
+                               ("raw_agreements", AGREEMENTS, tables.agreements_raw(spark, sf_dir)), ("raw_tariffs", TARIFFS, tables.tariffs_raw(spark, sf_dir))):
+        table = f"{name}_{run}"
+        before = spark.catalog.tableExists(table)
+        catalog.create_table_if_absent(spark, table, schema, scratch_path(spark, name))
+        catalog.insert_rows(spark, table, rows)
+        catalog.require_table(spark, table)
+        there, columns, n = spark.catalog.tableExists(table), catalog.describe(spark, table).count(), spark.table(table).count()
+        catalog.drop_table(spark, table)
+        out.append((name, before, there, columns, n, spark.catalog.tableExists(table)))
+    return spark.createDataFrame(out, "name string, there_before boolean, there boolean, columns int, n_rows long, there_after boolean")
+
+
+@register("model_graph", oracle(
+    "SELECT 'stg_consumption' AS model, 'built' AS status, '' AS why, (SELECT count(*) FROM stg_consumption) AS n_rows"
+    " UNION ALL SELECT 'stg_agreements', 'built', '', (SELECT count(*) FROM stg_agreements)"
+    " UNION ALL SELECT 'stg_tariffs', 'failed', 'steps end: ' || (SELECT count(*) FROM stg_tariffs WHERE valid_to_utc = TIMESTAMP '9999-12-31 00:00:00') || ' failing rows',"
+    " (SELECT count(*) FROM stg_tariffs)"
+    " UNION ALL SELECT 'monthly', 'built', '', (SELECT count(DISTINCT date_trunc('month', interval_start_uk)) FROM stg_consumption)"
+    " UNION ALL SELECT 'fct_energy_cost', 'skipped', 'stg_tariffs', NULL UNION ALL SELECT 'agg_daily_energy', 'skipped', 'fct_energy_cost', NULL"))
+def model_graph(spark, sf_dir):
+    """The models in the order of their references, with a test on rates that fails: what hangs on them is skipped, the rest is built."""
+    from uuid import uuid4
+    from .plans.models import Model, build_all
+    from .operators.pricing import price_intervals
+    far = F.lit(FAR_FUTURE).cast("timestamp_ntz")
+    silver = dict(zip(("stg_consumption", "stg_agreements", "stg_tariffs"), fact_plan.silver(spark, sf_dir)))
+    models = {
+        "agg_daily_energy": Model(lambda fct_energy_cost: rollups.daily_energy(fct_energy_cost), ["fct_energy_cost"], "table"),
+        "fct_energy_cost": Model(lambda stg_consumption, stg_agreements, stg_tariffs: price_intervals(stg_consumption, stg_agreements, stg_tariffs),
+                                 list(silver), "table"),
+        "monthly": Model(lambda stg_consumption: rollups.monthly_usage(stg_consumption), ["stg_consumption"], "table"),
+        "stg_consumption": Model(lambda: silver["stg_consumption"], tests={"unique": lambda d: quality.unique_check(d, ["interval_start_utc"])}),
+        "stg_agreements": Model(lambda: silver["stg_agreements"], tests={"code": lambda d: d.where("tariff_code IS NULL")}),
+        "stg_tariffs": Model(lambda: silver["stg_tariffs"], tests={"steps end": lambda d: d.where(F.col("valid_to_utc") == far)}),
+    }
+    built = build_all(spark, models, scratch_path(spark, "models"), prefix=f"m{uuid4().hex}_")
+    rows = [(n, b.status, b.why, b.data.count() if b.data is not None else None) for n, b in built.items()]
+    return spark.createDataFrame(rows, "model string, status string, why string, n_rows long")
+
+
 @register("export_truncate", oracle(
     "SELECT interval_start_utc, interval_start_uk, kwh, ingestion_ts FROM consumption_raw"
     f" WHERE interval_start_utc >= TIMESTAMP '{REDELIVERY}'"))
