@@ -69,3 +69,10 @@ def test_small_sections_and_deep_paths_are_told_apart(spark):
     assert len(got) == len(rows)
     for r in got:
         assert r["verdict"] == ("block" if "/de/" in r["path"] or "/bad/" in r["path"] else "allow"), r
+
+
+def test_a_host_with_and_without_a_slash_gives_a_row_a_page(spark):
+    rows = [(1, "http://a.com"), (2, "http://a.com/"), (3, "http://a.com//"), (4, "http://a.com/x"), (5, "a.com"), (6, None), (7, "http://a.com?q")]
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), []).collect()
+    assert sorted(r["page_id"] for r in got) == [1, 2, 3, 4, 5, 6, 7]
+    assert {r["page_id"]: r["path"] for r in got} == {1: "", 2: "/", 3: "//", 4: "/x", 5: "", 6: "", 7: ""}

@@ -135,10 +135,15 @@ def closed(front: DataFrame, level: int) -> DataFrame:
                           "template": F.when(ends, F.concat("template", F.lit("/{**}"))).otherwise(F.col("template"))}).select(*front.columns))
 
 
+def shape_of(segs: Column) -> Column:
+    """The segments as one text that tells their number, too: no segment and one empty segment differ."""
+    return F.concat(F.size(segs).cast("string"), F.lit(":"), F.concat_ws("/", segs))
+
+
 def templates(urls: DataFrame) -> DataFrame:
     """(host, shape, template, purity) of ``urls`` (host, path, bad: 1, 0 or null): one row a different generalised path."""
     segs = segments(F.col("path"))
-    front = materialise(urls.select("host", segs.alias("segs"), "bad").withColumn("shape", F.concat_ws("/", "segs"))
+    front = materialise(urls.select("host", segs.alias("segs"), "bad").withColumn("shape", shape_of(F.col("segs")))
                         .groupBy("host", "shape", "segs").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"),
                                                               F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
                         .withColumn("template", F.lit("")), "shapes")
@@ -164,7 +169,7 @@ def judge(pages: DataFrame, rules: list[Rule], key: str = "page_id", url: str =
     ruled = parsed.select(key, "host", "path", first_fit(rules, host, path, lambda r: r.name).alias("rule"), said.alias("said"),
                           F.coalesce("given", F.when(said.isNotNull(), (said == "block").cast("int"))).alias("bad"))
     tree = materialise(templates(ruled), "tree")
-    return (ruled.withColumn("shape", F.concat_ws("/", segments(path))).join(tree, ["host", "shape"])
+    return (ruled.withColumn("shape", shape_of(segments(path))).join(tree, ["host", "shape"])
             .select(key, "host", "path", "rule",
                     F.coalesce("said", F.when(F.col("purity") >= REJECT, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
                     "template", "purity"))
