@@ -85,3 +85,35 @@ def test_nothing_to_learn(spark, small):
     for some in (labels.limit(0), labels.where("toxic = 0"), labels.withColumn("toxic", F.lit(None).cast("int"))):
         crf = toxicity.fit(docs, some)
         assert {r["predicted"] for r in toxicity.score(docs, crf).collect()} == {0}
+
+
+@pytest.mark.parametrize("toxic", [0, 1])
+def test_labels_without_documents_change_nothing(spark, small, toxic):
+    docs, labels = small
+    stray = spark.range(1_000_000, 1_020_000).select(F.col("id").alias("doc_id"), F.lit(toxic).alias("toxic"))
+    a, b = toxicity.fit(docs, labels), toxicity.fit(docs, labels.unionByName(stray))
+    assert a.weights == b.weights and a.weights and a.bias == b.bias
+    assert (a.trans == b.trans).all() and (a.document == b.document).all()
+    assert toxicity.score(docs, b).where("predicted = 1").count() == docs.where("doc_id % 4 = 0").count()
+
+
+def test_only_stray_labels_of_a_class(spark, small):
+    docs, labels = small
+    stray = spark.createDataFrame([(1_000_000, 1)], "doc_id long, toxic int")
+    crf = toxicity.fit(docs, labels.where("toxic = 0").unionByName(stray))
+    assert crf.weights == {} and toxicity.score(docs, crf).where("predicted = 1").count() == 0
+
+
+def test_one_key_with_several_texts(spark, small):
+    docs, labels = small
+    more = docs.unionByName(docs.withColumn("text", F.lit(None).cast("string"))).unionByName(docs)
+    crf = toxicity.fit(more, labels)
+    assert toxicity.score(docs, crf).where("predicted = 1").count() == docs.where("doc_id % 4 = 0").count()
+
+
+def test_longer_documents_of_the_labelled_do_not_take_the_sample(spark, small):
+    docs, labels = small
+    long = spark.range(5_000, 5_200).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("w1 "), 400), F.lit("scoundrel")).alias("text"))
+    more = labels.unionByName(long.select("doc_id", F.lit(1).alias("toxic")))
+    crf = toxicity.fit(docs.unionByName(long), more, sample=20, sample_chars=1_000)
+    assert crf.weights and toxicity.score(docs, crf).where("predicted = 1").count() == docs.where("doc_id % 4 = 0").count()

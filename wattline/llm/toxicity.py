@@ -3,10 +3,10 @@
 Labels say whether a whole document is toxic. ``fit`` turns them into labelled
 tokens and trains the field on those:
 
-1. Over all labelled rows, every feature of a word (the word itself, its first
-   four and first five letters) is counted by documents, toxic and clean. Features far
-   more frequent in toxic documents (a smoothed log-odds ratio ``Z`` standard
-   deviations above zero) make the lexicon.
+1. Over all labelled documents, every feature of a word (the word itself and its first
+   three to seven letters) is counted by documents, toxic and clean. Features far
+   more frequent in toxic documents (a log-likelihood ratio of ``EVIDENCE`` or more)
+   make the lexicon, as far as the sample below has them: others couldn't get a weight.
 2. In toxic documents the words with a lexicon feature are labelled toxic,
    all others and all words of clean documents not. The field (weights of lexicon
    features, a bias, four transitions) is trained by gradient ascent on a bounded
@@ -24,10 +24,12 @@ source and key are no inputs.
 
 Rows: a null text counts as empty; empty texts get the score of no toxic word
 at all; a document with several labels is toxic if one is; labels without a
-document and null labels are ignored; repeated rows get the same score each; a null key is scored,
+document and null labels are ignored: they change no share, no weight and not the sample;
+rows that share a key count each, and one text of a key is trained on; repeated rows get the same score each; a null key is scored,
 but never held out nor learned from; extra columns are ignored; an empty table gives an
 empty table, and without labels of both classes nothing can be learned: every
-score is the share of toxic labels (0 without any).
+score is the share of toxic ones among the labelled documents (0 without any). The same holds where no
+labelled document of a class has ``sample_chars`` characters or fewer.
 """
 
 from __future__ import annotations
@@ -41,14 +43,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, bound_arrow
+from .common import blocks, bound_arrow, materialise
 
 #: Log-likelihood ratio of a lexicon feature, at least: chance reaches it about once in two million features.
 EVIDENCE = 25.0
 #: Letters of the beginnings that are features of a word.
 PREFIXES = range(3, 8)
-#: Features of the lexicon at most, by the strength of their evidence.
-LEXICON = 20_000
 #: Labelled documents of each class that the field is trained on at most, and their longest text.
 SAMPLE, SAMPLE_CHARS = 500, 20_000
 WORDS = re.compile(r"[^\W_]+")
@@ -256,34 +256,41 @@ def train(rows: list[tuple[str, int]], lexicon: list[str], shares: tuple[float,
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE,
         sample_chars: int = SAMPLE_CHARS) -> Crf:
     """Learn from the labelled documents that aren't held out."""
-    bound_arrow(docs.sparkSession)
+    spark = docs.sparkSession
+    bound_arrow(spark)
     known = (labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key))
-             .groupBy(F.col(key).alias("_key")).agg(F.max(F.col(label).cast("int")).alias("toxic")).where("toxic in (0, 1)"))
-    shares = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+             .groupBy(F.col(key).alias("_key")).agg(F.max(F.col(label).cast("int")).alias("toxic")).where("toxic in (0, 1)")).hint("merge")
+    texts = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias(text))
+    # Labels that meet a document, without its text: shares and sample are taken from these alone.
+    met = materialise(texts.select("_key", F.char_length(text).alias("_chars")).join(known, "_key"), "labelled")
+    shares = {r["toxic"]: r["count"] for r in met.groupBy("toxic").count().collect()}
     total = sum(shares.values())
     rate = shares.get(1, 0) / total if total else 0.0
     unlearned = Crf(document=np.array([0.0, 0.0, 0.0, np.log(max(rate, 1e-300) / max(1 - rate, 1e-300))]))
     if len(shares) < 2:
         return unlearned
-    texts = docs.select(F.col(key).alias("_key"), text)
-    n1, n0 = shares[1], shares[0]
-    toxic, clean = F.col("toxic"), F.col("clean")
-    surprise = lambda n, share: F.when(n > 0, n * F.log(n / ((toxic + clean) * share))).otherwise(0.0)
-    strong = (feature_counts(texts.join(known.hint("merge"), "_key"), text)      # by a shuffle at every size: labels grow, too
-              .where(toxic > clean)
-              .withColumn("evidence", 2 * (surprise(toxic, n1 / total) + surprise(clean, n0 / total)))
-              .where(F.col("evidence") >= EVIDENCE)
-              .orderBy(F.desc("evidence"), "feature").limit(LEXICON).select("feature").collect())
     picked = []
     for toxic in (0, 1):
-        ids = [r["_key"] for r in known.where(F.col("toxic") == toxic).orderBy(F.xxhash64("_key"), "_key").limit(sample).collect()]
-        few = docs.sparkSession.createDataFrame([(i,) for i in ids], known.select("_key").schema)     # at most ``sample`` keys
+        ids = [r["_key"] for r in met.where((F.col("toxic") == toxic) & (F.col("_chars") <= sample_chars)).select("_key").distinct()
+               .orderBy(F.xxhash64("_key"), "_key").limit(sample).collect()]
+        few = spark.createDataFrame([(i,) for i in ids], met.select("_key").schema)     # at most ``sample`` keys
         got = texts.join(F.broadcast(few), "_key").where(F.char_length(text) <= sample_chars).select("_key", text).collect()
         once = {r["_key"]: r[text] for r in sorted(got, key=lambda r: (r["_key"], r[text]))}
         picked += [(t, toxic) for t in once.values()]
     if {t for _, t in picked} != {0, 1}:
         return unlearned
-    return train(picked, [r["feature"] for r in strong], (n0 / total, n1 / total))
+    # A feature that no text of the sample has would keep the weight zero: the sample bounds the lexicon.
+    held = {f for t, _ in picked for w in set(WORDS.findall(t.lower())) for f in word_features(w)}
+    mine = spark.createDataFrame([(f,) for f in sorted(held)], "feature string")
+    n1, n0 = shares[1], shares[0]
+    toxic, clean = F.col("toxic"), F.col("clean")
+    surprise = lambda n, share: F.when(n > 0, n * F.log(n / ((toxic + clean) * share))).otherwise(0.0)
+    strong = (feature_counts(texts.join(known, "_key"), text)      # by a shuffle at every size: labels grow, too
+              .where(toxic > clean)
+              .withColumn("evidence", 2 * (surprise(toxic, n1 / total) + surprise(clean, n0 / total)))
+              .where(F.col("evidence") >= EVIDENCE)
+              .join(mine.hint("merge"), "feature", "left_semi").select("feature").collect())
+    return train(picked, sorted(r["feature"] for r in strong), (n0 / total, n1 / total))
 
 
 def score(docs: DataFrame, crf: Crf, text: str = "text", prefix: str = "") -> DataFrame:
