@@ -25,8 +25,9 @@ def test_against_brute_force(spark, scale):
     rows += [(1000 + i, rows[3][1]) for i in range(300)]                      # a hot vector: ties go to the smaller id
     rows += [(2000, None), (2010, [1.0, None]), (2020, [float("nan")]), (2030, [float("inf")]), (None, [1.0]), (2040, []), (2050, [1.0, 2.0])]
     docs = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, score string")
-    got = topk.top_k(docs, F.col("vec_id") % 10 == 0, k=7, block=100, chunk=16, run_blocks=3)
-    assert {tuple(r) for r in got.collect()} == brute(rows, 7, 10)
+    for held in (16, 40, 1000):                                                # one chunk a task, several, all
+        got = topk.top_k(docs, F.col("vec_id") % 10 == 0, k=7, block=100, chunk=16, run_blocks=3, task_queries=held)
+        assert {tuple(r) for r in got.collect()} == brute(rows, 7, 10)
 
 
 def test_fewer_rows_than_k_and_none(spark):
@@ -36,6 +37,16 @@ def test_fewer_rows_than_k_and_none(spark):
     assert topk.top_k(docs.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_components_out_of_range_raise(spark):
+    for x in (1e30, -1e12, 2.0 ** 26):
+        docs = spark.createDataFrame([(0, [1.0, x]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
+        with pytest.raises(OverflowError):
+            topk.top_k(docs, F.col("vec_id") % 10 == 0)
+    rows = [(0, [2.0 ** 24, 1.0]), (1, [2.0 ** 24, 0.5]), (2, [2.0 ** 24, -0.5])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in topk.top_k(docs, F.col("vec_id") % 10 == 0).collect()} == brute(rows, 20, 10)
+
+
 def test_equals_sql(spark):
     sf = "/root/testdata/sf0.01"
     ok, why = compare(op10_topk(spark, sf), duckdb_connection(sf), ORACLES["op10_topk"])

@@ -15,6 +15,7 @@ Rows: vectors that are null or hold a null or non-finite component take no
 part; a shorter vector counts as filled with zeros; equal scores go to the
 smaller id, also among repeated vectors; repeated ids are candidates each by
 itself, except that a query never meets a row of its own id; a null id takes no part;
+a vector whose squared length could carry a score out of a long raises ``OverflowError``;
 extra columns are ignored; an empty table gives an empty table.
 """
 
@@ -30,8 +31,12 @@ from .common import bound_arrow, materialise
 
 #: Vectors of one block and queries of one chunk: 8 MB of accumulators.
 BLOCK, CHUNK = 4096, 256
-#: Blocks that one task takes in turn for one chunk, the k-th best score carried on.
+#: Blocks that one task takes in turn, the k-th best scores carried on.
 RUN = 16
+#: Queries that one task holds at most, and the bytes of their vectors (integers and doubles) at most.
+TASK_QUERIES, TASK_BYTES = 16_384, 64 << 20
+#: Squared length of an integer vector, from which on a score needn't fit into a long (Cauchy-Schwarz).
+FARTHEST = 2.0 ** 62
 
 
 def integer_vectors(vectors: DataFrame, key: str, vector: str, scale: float = 64.0) -> DataFrame:
@@ -76,15 +81,17 @@ def packed(rows: DataFrame, name: str, size: int, dims: int, kind: str) -> DataF
     return rows.mapInArrow(run, schema)
 
 
-def segments(v: np.ndarray):
-    """Segments of a block by falling impact: (postings as a matrix, norms of what remains after them)."""
-    level = np.where(v == 0, 0, np.int64(1) + np.floor(np.log2(np.maximum(np.abs(v), 1).astype(np.float64))).astype(np.int64))
-    left = (v.astype(np.float64) ** 2).sum(1)
+def segments(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
+    """A block's segments: (impact of each posting, norms of the vectors, (impact, norms of what remains after it) by falling impact)."""
+    level = np.where(v == 0, 0, 1 + np.floor(np.log2(np.maximum(np.abs(v), 1).astype(np.float64)))).astype(np.int8)
+    square = v.astype(np.float64) ** 2
+    left, after = square.sum(1), []
+    whole = np.sqrt(left)
     for top in np.unique(level)[::-1].tolist():
         if top:
-            part = np.where(level == top, v, 0).astype(np.float64)
-            left = left - (part ** 2).sum(1)
-            yield part, np.sqrt(np.maximum(left, 0)) * (1 + 1e-9)
+            left = left - np.where(level == top, square, 0).sum(1)
+            after.append((top, np.sqrt(np.maximum(left, 0)) * (1 + 1e-9)))
+    return level, whole, after
 
 
 class ChunkSearch:
@@ -97,14 +104,13 @@ class ChunkSearch:
         self.floor = np.full(len(ids), -np.inf)            # k-th best exact score so far
         self.best = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in ids]
 
-    def block(self, ids: np.ndarray, v: np.ndarray) -> None:
+    def block(self, ids: np.ndarray, v: np.ndarray, level: np.ndarray, whole: np.ndarray, after: list) -> None:
         own = self.ids[:, None] == ids[None, :]
         acc = np.zeros((len(self.ids), len(ids)))
-        whole = np.sqrt((v.astype(np.float64) ** 2).sum(1))
         exact = self.norm[:, None] * (1e-12 * whole)[None, :] + 0.25      # more than rounding can make
         possible = ~own
-        for part, left in segments(v):
-            acc += self.qf @ part.T
+        for top, left in after:
+            acc += self.qf @ np.where(level == top, v, 0).astype(np.float64).T
             if np.median(left) > 0.6 * np.median(whole):
                 continue                                    # too early for any proof
             slack = self.norm[:, None] * left[None, :] + exact
@@ -130,12 +136,15 @@ class ChunkSearch:
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding",
-          scale: float = 64.0, block: int = BLOCK, chunk: int = CHUNK, run_blocks: int = RUN) -> DataFrame:
+          scale: float = 64.0, block: int = BLOCK, chunk: int = CHUNK, run_blocks: int = RUN,
+          task_queries: int = TASK_QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows by integer inner product for each row where ``is_query``.
 
-    Queries meet all rows in blocks: chunks of queries x runs of blocks, dealt
-    over the cluster by (chunk, run) with an equality join. Each task keeps
-    one chunk and one block; the runs' winners (k a query and run) are merged by a window.
+    Queries meet all rows in blocks: groups of queries x runs of blocks, dealt
+    over the cluster by (group, run) with an equality join. Each task keeps
+    one group of queries (``task_queries``, less for wide vectors) and one block; the runs' winners
+    (k a query and run) are merged by a window. Runs are shorter where there would be fewer than two for each core.
+    What is shipped is vectors x groups + queries x runs; for up to ``task_queries`` queries the vectors go once.
     """
     spark = vectors.sparkSession
     bound_arrow(spark)
@@ -143,16 +152,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id"
     asked = materialise(integer_vectors(vectors.where(is_query), key, vector, scale)
                         .withColumn("row", F.monotonically_increasing_id()), "queries")
     shape = v.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d"),
-                  F.max(F.array_max(F.transform("v", F.abs))).alias("high")).first()
+                  F.max(F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))).alias("high"),
+                  F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))).alias("far")).first()
+    if (shape["far"] or 0.0) >= FARTHEST:
+        raise OverflowError(f"the longest vector's square is {shape['far']:.3g}: a score needn't fit into a long")
     n_queries, n, dims = asked.count(), shape["n"], max(1, shape["d"] or 0)
     kind = "<i2" if (shape["high"] or 0) < 1 << 15 else "<i8"
-    n_blocks, n_chunks = max(1, -(-n // block)), max(1, -(-n_queries // chunk))
-    n_runs = -(-n_blocks // run_blocks)
+    held_queries = max(chunk, min(task_queries, TASK_BYTES // (16 * dims)))
+    n_blocks, n_chunks = max(1, -(-n // block)), max(1, -(-n_queries // held_queries))
+    wanted = -(-2 * spark.sparkContext.defaultParallelism // n_chunks)
+    n_runs = min(n_blocks, max(-(-n_blocks // run_blocks), wanted))
     group = lambda parts: F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).alias("g")
     held = packed(v.select(group(n_blocks), F.lit(0).cast("long").alias("row"), "id", "v").repartition(n_blocks, "g"),
                   "block", block, dims, kind)
     chunks = packed(asked.select(group(n_chunks), "row", "id", "v").repartition(n_chunks, "g"),
-                    "chunk", chunk, dims, kind)
+                    "chunk", held_queries, dims, kind)
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>"))
     left = held.select((F.col("block") % n_runs).alias("run"), F.col("ids").alias("b_ids"), F.col("vals").alias("b_vals"),
                        every(n_chunks).alias("chunk"))
@@ -164,8 +178,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id"
         now, state = None, None
 
         def out():
-            row, q, d, s = state.rows()
-            return pa.table({"row": row, "query_id": q, "vec_id": d, "score": s}).to_batches()
+            for part in state:
+                row, q, d, s = part.rows()
+                yield from pa.table({"row": row, "query_id": q, "vec_id": d, "score": s}).to_batches()
 
         for b in batches:
             cols = [b.column(x).to_pylist() for x in ("chunk", "run", "b_ids", "b_vals", "q_rows", "q_ids", "q_vals")]
@@ -174,11 +189,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id"
                     if state is not None:
                         yield from out()
                     now = (c, r, q_rows)
-                    state = ChunkSearch(np.frombuffer(q_rows, np.int64), np.frombuffer(q_ids, np.int64),
-                                        np.frombuffer(q_vals, kind).reshape(-1, dims), k)
+                    row, q_id, q = np.frombuffer(q_rows, np.int64), np.frombuffer(q_ids, np.int64), np.frombuffer(q_vals, kind).reshape(-1, dims)
+                    state = [ChunkSearch(row[i:i + chunk], q_id[i:i + chunk], q[i:i + chunk], k) for i in range(0, len(row), chunk)]
                 ids, vals = np.frombuffer(b_ids, np.int64), np.frombuffer(b_vals, kind).reshape(-1, dims)
                 for i in range(0, len(ids), block):
-                    state.block(ids[i:i + block], vals[i:i + block])
+                    parts = segments(vals[i:i + block])
+                    for part in state:
+                        part.block(ids[i:i + block], vals[i:i + block], *parts)
         if state is not None:
             yield from out()
 
