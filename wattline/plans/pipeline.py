@@ -62,6 +62,10 @@ class Lake:
     def masks(self) -> str:
         return self.path("gold/slot_masks")
 
+    @property
+    def stream_batches(self) -> str:
+        return self.path("gold/stream_batches")
+
     def priced_with(self, name: str) -> str:
         """Copy of the windows that the last build priced with."""
         return self.path(f"gold/priced_with/{name}")
