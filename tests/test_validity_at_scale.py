@@ -107,3 +107,28 @@ def test_levels_grow_with_the_longest_window_only(spark):
     cut = validity.dyadic_windows(w, "valid_from", "valid_to", ["k"])
     assert max(cut.levels) < validity.DYADIC_LEVELS and cut.broadcast
     assert not validity.dyadic_windows(w, "valid_from", "valid_to", ["k"], broadcast_rows=10).broadcast
+
+
+def test_a_window_is_two_rows_at_most_and_sparse_levels_are_one(spark, monkeypatch):
+    rng = random.Random(34)
+    w = windows_of(spark, [(f"k{i % 40}", stamp(1_600_000_000 + 4_000_000 * (i // 40)), stamp(1_600_000_000 + 4_000_000 * (i // 40) + rng.choice([86400, 900_000, 4_000_000])), i)
+                           for i in range(400)] + [(f"k{i}", stamp(1_600_000_000), stamp(1_640_000_000), 1000 + i) for i in range(40)])
+    cut = validity.dyadic_windows(w, "valid_from", "valid_to", ["k"])
+    assert cut.pieces.count() <= 2 * 440 and len(cut.levels) == 1      # ten short windows a key and a long one: a point asks once
+    p = points_of(spark, [(i, f"k{rng.randrange(45)}", stamp(rng.randrange(1_590_000_000, 1_650_000_000))) for i in range(900)])
+    monkeypatch.setattr(validity, "write_and_read", lambda df, name="x": pytest.fail("pairs were written") if name == "pairs" else validity_write(df, name))
+    got = validity.range_join_dyadic(p, w, "at", "valid_from", "valid_to", on=["k"], broadcast_rows=None)
+    assert rows_of(got) == rows_of(brute(p, w))
+
+
+validity_write = validity.write_and_read
+
+
+def test_crowded_levels_stay_apart(spark):
+    many = [("a", stamp(1_600_000_000 + 60 * i), stamp(1_600_000_000 + 60 * i + 1800), i) for i in range(3000)] + [
+        (None, stamp(1_600_000_000), stamp(1_600_000_060), -5), ("a", "2015-01-01 00:00:00", "2025-01-01 00:00:00", -1)]
+    w = windows_of(spark, many)
+    cut = validity.dyadic_windows(w, "valid_from", "valid_to", ["k"])
+    assert len(cut.levels) > 1 and cut.pieces.where("__w_k IS NULL").count() == 0
+    p = points_of(spark, [(i, "a", stamp(1_600_000_000 + 701 * i)) for i in range(-20, 300)] + [(5000, "a", "2031-01-01 00:00:00")])
+    assert rows_of(validity.range_join_dyadic(p, w, "at", "valid_from", "valid_to", on=["k"])) == rows_of(brute(p, w))

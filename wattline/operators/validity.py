@@ -5,7 +5,7 @@
 ``asof_join``   — the same result for non-overlapping windows, computed with
                   a running ``last`` instead of a join.
 ``range_join_dyadic`` — the range join for windows of very mixed length: each is
-                  cut into few aligned intervals of power-of-two lengths.
+                  covered by one or two aligned intervals of a power-of-two length.
 ``asof_carried`` — the as-of join over contiguous runs of (keys, time), each of which
                   carries its last window on to the next ones.
 
@@ -257,6 +257,7 @@ def asof_join(points: DataFrame, windows: DataFrame, at: str, valid_from: str, v
 TICK_SECONDS = 1800                     # the smallest aligned interval: a half hour
 STEP_BITS = 3                           # a level's intervals are 2^3 of the level below
 DYADIC_LEVELS = 16                      # 2^45 half hours: any timestamp
+HELD, HELD_MOST = 16, 1024              # windows in an interval, on average and at most, for lower levels to join a higher one
 
 
 def _ticks(col: Column, tick: int, up: bool = False) -> Column:
@@ -266,34 +267,36 @@ def _ticks(col: Column, tick: int, up: bool = False) -> Column:
     return (down + (F.pmod(micros, F.lit(size)) > 0).cast("int") if up else down).cast("long")
 
 
-def dyadic_cover(valid_from: Column, valid_to: Column, tick: int = TICK_SECONDS, levels: int = DYADIC_LEVELS) -> Column:
-    """array<struct<level, bucket>>: disjoint aligned intervals that cover the window, ends rounded out to ticks.
+def _own_level(n: Column) -> Column:
+    """The smallest level whose interval is as long as ``n`` ticks."""
+    return sum((n > (1 << STEP_BITS * level)).cast("int") for level in range(DYADIC_LEVELS - 1))
 
-    An interval of a level is ``2 ** STEP_BITS`` of the level below. From both ends inwards, what doesn't fill an
-    interval of the next level is covered by this level's: at most ``2 * (2 ** STEP_BITS - 1)`` a level.
+
+def dyadic_cover(first: Column, end: Column, level: Column | int) -> Column:
+    """array<bigint>: the level's aligned intervals that the ticks ``[first, end)`` touch: one or two at their own level or a higher one."""
+    bits = F.lit(level) * STEP_BITS if isinstance(level, int) else level * STEP_BITS
+    return F.sequence(F.call_function("shiftright", first, bits), F.call_function("shiftright", end - 1, bits))
+
+
+def asked_levels(spans: DataFrame, on: Sequence[str]) -> dict[int, int]:
+    """For each level that is the own one of some window the level where it is looked for.
+
+    A level costs a row for each point, so lower levels join a higher one while its intervals then hold ``HELD`` windows
+    on average (as a window meets them) and ``HELD_MOST`` at most. One aggregate over the windows for each level that stays.
     """
-    none = F.array().cast("array<struct<level:int,bucket:bigint>>")
-    first, end = _ticks(valid_from, tick), _ticks(valid_to, tick, up=True)
-
-    def inner(level: int) -> tuple[Column, Column]:
-        """First and end of the whole intervals of a level within the window."""
-        bits = STEP_BITS * level
-        return F.shiftright(first + ((1 << bits) - 1), bits), F.shiftright(end, bits)
-
-    def run(level: int, low: Column, high: Column) -> Column:        # a sequence would count down
-        return F.when(high > low, F.transform(F.sequence(low, high - 1), lambda b: F.struct(
-            F.lit(level).alias("level"), b.alias("bucket")))).otherwise(none)
-
-    pieces = []
-    for level in range(levels):
-        (low, high), (up, down) = inner(level), inner(level + 1)
-        if level == levels - 1:
-            pieces.append(run(level, low, high))
-        else:
-            ends = up >= down                                        # the next level has no whole interval in it
-            pieces.append(run(level, low, F.when(ends, high).otherwise(F.shiftleft(up, STEP_BITS))))
-            pieces.append(F.when(ends, none).otherwise(run(level, F.shiftleft(down, STEP_BITS), high)))
-    return F.concat(*pieces)
+    present, asked = sorted(spans.agg(F.collect_set("__level")).first()[0]), {}
+    while present:
+        top, low = present[-1], present[-1]
+        if len(present) > 1:
+            held = (spans.where(F.col("__level") <= top)
+                    .select(*on, "__level", F.explode(dyadic_cover(F.col("__first"), F.col("__end"), top)).alias("__bucket"))
+                    .groupBy(*on, "__bucket").agg(*[F.count_if(F.col("__level") >= x).cast("double").alias(f"n{x}") for x in present]))
+            found = held.agg(*[f(c).alias(f"{name}{x}") for x in present for name, f, c in (
+                ("square", F.sum, F.col(f"n{x}") * F.col(f"n{x}")), ("rows", F.sum, F.col(f"n{x}")), ("most", F.max, F.col(f"n{x}")))]).first()
+            low = next(x for x in present if x == top or (found[f"square{x}"] <= HELD * found[f"rows{x}"] and found[f"most{x}"] <= HELD_MOST))
+        asked |= {x: top for x in present if x >= low}
+        present = [x for x in present if x < low]
+    return asked
 
 
 @dataclass(frozen=True)
@@ -306,31 +309,36 @@ class DyadicWindows:
 
 def dyadic_windows(windows: DataFrame, valid_from: str, valid_to: str, on: Sequence[str], tick: int = TICK_SECONDS,
                    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DyadicWindows:
-    """Cut, write and measure the window side. The expression has as many levels as the longest window needs."""
-    windows = materialise(windows.filter(F.col(valid_from) < F.col(valid_to)))
-    longest = windows.agg(F.max(_ticks(F.col(valid_to), tick, up=True) - _ticks(F.col(valid_from), tick))).first()[0] or 1
-    levels = min(DYADIC_LEVELS, max(1, -(-int(longest).bit_length() // STEP_BITS)))
-    cut = windows.select(*[F.col(c).alias(_W + c) for c in windows.columns],
-                         F.explode(dyadic_cover(F.col(valid_from), F.col(valid_to), tick, levels)).alias("__piece"))
-    cut = materialise(cut.select("*", "__piece.level", "__piece.bucket").drop("__piece")
-                      .withColumnsRenamed({"level": "__level", "bucket": "__bucket"}))
+    """Write, measure and cut the window side: an interval or two for each window. Windows that are empty or have no key drop out."""
+    columns = windows.columns
+    wanted = windows.filter(F.col(valid_from) < F.col(valid_to)).dropna(subset=list(on)) if on else windows.filter(F.col(valid_from) < F.col(valid_to))
+    spans = wanted.withColumns({"__first": _ticks(F.col(valid_from), tick), "__end": _ticks(F.col(valid_to), tick, up=True)})
+    spans = materialise(spans.withColumn("__level", _own_level(F.col("__end") - F.col("__first"))))
+    asked = asked_levels(spans, on)
+    level = F.col("__level")
+    for own, top in asked.items():
+        level = F.when(F.col("__level") == own, F.lit(top)).otherwise(level)
+    spans = spans.withColumn("__level", level)
+    cut = spans.select(*[F.col(c).alias(_W + c) for c in columns], "__level",
+                       F.explode(dyadic_cover(F.col("__first"), F.col("__end"), F.col("__level"))).alias("__bucket"))
     text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in cut.schema.fields if f.dataType.typeName() in ("string", "binary")]
     width = F.lit(32 + 16 * len(cut.columns))
     for t in text:
         width = width + t
-    found = cut.agg(F.count(F.lit(1)).alias("n"), F.max(width).alias("w"), F.sort_array(F.collect_set("__level")).alias("levels")).first()
+    found = cut.agg(F.count(F.lit(1)).alias("n"), F.max(width).alias("w")).first()
     proven = broadcast_rows is not None and found["n"] <= broadcast_rows and found["n"] * (found["w"] or 0) <= broadcast_bytes
-    return DyadicWindows(cut, tuple(found["levels"]), proven)
+    return DyadicWindows(cut, tuple(sorted(set(asked.values()))), proven)
 
 
 def range_join_dyadic(points: DataFrame, windows: DataFrame, at: str, valid_from: str, valid_to: str, on: Sequence[str] = (),
                       how: str = "left", tick: int = TICK_SECONDS, broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``range_join`` for windows of any mixture of lengths; open ends must be filled.
 
-    Each window is O(log length) rows, and each point asks once a level that some window uses, so
+    Each window is one row or two, whatever its length, and each point asks once a level that some window uses, so
     one window of thirty years among half-hourly ones costs some rows more and neither a bucket size that
-    suits it nor a row a half hour. A window's intervals are disjoint: a pair meets once. For
-    ``left`` the points that met no window are those whose (keys, time) isn't among the pairs' (written once).
+    suits it nor a row a half hour. A window's intervals are disjoint: a pair meets once. With one level a point
+    is one row, and ``left`` is the join's own. With several, the points that met no window are those whose
+    (keys, time) isn't among the pairs' (written once).
     """
     if how not in ("left", "inner"):
         raise ValueError("range_join_dyadic supports how='left' or 'inner'")
@@ -342,13 +350,14 @@ def range_join_dyadic(points: DataFrame, windows: DataFrame, at: str, valid_from
     mine = _ticks(F.col(at), tick)
     asked = F.array(*[F.struct(F.lit(level).alias("level"), F.shiftright(mine, STEP_BITS * level).alias("bucket")) for level in w.levels])
     asked = asked if w.levels else F.array().cast("array<struct<level:int,bucket:bigint>>")
-    probes = points.select("*", F.explode(asked).alias("__probe"))
+    one = len(w.levels) == 1
+    probes = points.withColumn("__probe", asked[0]) if one else points.select("*", F.explode(asked).alias("__probe"))
     side = F.broadcast(w.pieces) if w.broadcast else w.pieces.hint("merge")
     cond = [probes[k] == side[_W + k] for k in on]
     cond += [probes["__probe.level"] == side["__level"], probes["__probe.bucket"] == side["__bucket"],
              probes[at] >= side[_W + valid_from], probes[at] < side[_W + valid_to]]
-    pairs = probes.join(side, cond, "inner").select(*[probes[c] for c in points.columns], *[side[_W + c].alias(c) for c in payload])
-    if how == "inner":
+    pairs = probes.join(side, cond, how if one else "inner").select(*[probes[c] for c in points.columns], *[side[_W + c].alias(c) for c in payload])
+    if one or how == "inner":
         return pairs
     pairs = write_and_read(pairs, "pairs")
     met = pairs.select(*[F.col(c).alias(f"__m_{c}") for c in [*on, at]]).distinct()
