@@ -154,3 +154,24 @@ def test_a_run_asks_from_the_lookback_on(spark, tmp_dir):
     run(spark, lk, [(1, "2024-01-10 00:00:00", 1.0), (2, "2024-01-03 00:00:00", 1.0)], usage_lookback=1)
     run(spark, lk, [(1, "2024-01-08 00:00:00", 1.0), (1, "2024-01-09 00:00:00", 1.0), (2, "2024-01-02 00:00:00", 1.0)], usage_lookback=1)
     assert [(m, t.day) for m, t, _ in fact_rows(spark, lk)] == [(1, 9), (1, 10), (2, 2), (2, 3)]
+
+
+def test_rates_of_other_years_are_not_joined_and_readings_are_cleaned_once(spark, tmp_dir, monkeypatch):
+    from wattline.operators import validity
+    lk, joined, cleaned = pipeline.Lake(tmp_dir), [], []
+    keep, clean = validity.write_and_read, pipeline.materialise
+    monkeypatch.setattr(validity, "write_and_read", lambda df, name="x": joined.append(keep(df, name)) or joined[-1])
+    monkeypatch.setattr(pipeline, "materialise", lambda df, name="x": cleaned.append(name) or clean(df, name))
+    start = dt.datetime(2024, 1, 1)
+    ends = [start + dt.timedelta(days=d) for d in range(-200, 201)]
+    r = rates(spark, *[("E-1R-A", a, b, float(i)) for i, (a, b) in enumerate(zip(ends, ends[1:]))])
+    run(spark, lk, [(1, "2024-01-01 00:00:00", 1.0), (1, "2024-01-02 23:30:00", 1.0)], a=agreements(spark, ("E-1R-A", ends[0], None)), r=r)
+    assert [x[2] for x in fact_rows(spark, lk)] == [200.0, 201.0]
+    assert max(df.count() for df in joined if "unit_rate" in df.columns) == 2 and cleaned.count("stg-consumption") == 1
+
+
+def test_changed_windows_count_repeats(spark):
+    of = lambda *rows: spark.createDataFrame([(c, r) for c, r in rows], "tariff_code string, unit_rate double")
+    now, before = of(("a", 1.0), ("a", 1.0), ("a", 1.0), ("b", None), ("c", 2.0)), of(("a", 1.0), ("b", None), ("b", None), ("c", 3.0))
+    got = changes.changed_windows(now, before, ["tariff_code", "unit_rate"])
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, now.exceptAll(before).unionByName(before.exceptAll(now)).collect()))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -59,6 +60,17 @@ def price_intervals(consumption: DataFrame, agreements: DataFrame, tariffs: Data
     return _price(with_code, tariffs, meter_keys, broadcast_rows, rate_unit)
 
 
+def windows_within(windows: DataFrame, low: dt.datetime | None, high: dt.datetime | None) -> DataFrame:
+    """The windows that an interval from ``low`` to ``high`` (both in) can fall into; no other one can price it.
+
+    Decades of rates beside a month of readings are left out before they are written, cut into buckets and shuffled.
+    """
+    if low is None:
+        return windows
+    low, high = (F.lit(str(x)).cast("timestamp_ntz") for x in (low, high))
+    return windows.where((F.col("valid_from_utc") <= high) & (F.col("valid_to_utc") > low))
+
+
 def price_readings(raw: DataFrame, agreements: DataFrame, tariffs: DataFrame,
                    meter_keys: Sequence[str] = (), agreement_keys: Sequence[str] | None = None,
                    tie_break: Sequence[str] = (), broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,

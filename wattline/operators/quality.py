@@ -127,7 +127,7 @@ def slot_masks(df: DataFrame, ts: str = "interval_start_utc", keys: Sequence[str
     slot = ((us - day_us - offset) / _SLOT_US).cast("int")
     return (df.filter(F.col(ts).isNotNull())
             .groupBy(*keys, day_us.alias("__day"), offset.alias("__off"))
-            .agg(F.bit_or(F.pow(F.lit(2), slot).cast("bigint")).alias("__mask"),
+            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), slot)).alias("__mask"),
                  F.min(us).alias("__lo"), F.max(us).alias("__hi")))
 
 
@@ -160,8 +160,8 @@ def holes_of(per_day: DataFrame, ts: str = "interval_start_utc", keys: Sequence[
                          F.explode(F.sequence(first_day, last_day, F.lit(_DAY_US))).alias("__day"))
     cover = join_null_safe(days, on_grid, [*keys, "__day"]).fillna({"__mask": 0})
     slot_us = lambda s: F.col("__day") + F.col("__koff") + s.cast("bigint") * _SLOT_US
-    holes = F.filter(F.sequence(F.lit(0), F.lit(47)),
-                     lambda s: (F.col("__mask").bitwiseAND(F.pow(F.lit(2), s).cast("bigint")) == 0)
-                     & (slot_us(s) >= F.col("__klo")) & (slot_us(s) <= F.col("__khi")))
-    out = cover.select(*keys, "__day", "__koff", F.explode(holes).alias("__s"))
+    # Slots first, then the test: a filter within the array would be evaluated slot by slot without generated code.
+    slots = cover.select("*", F.explode(F.sequence(F.lit(0), F.lit(47))).alias("__s"))
+    empty = F.call_function("shiftright", F.col("__mask"), F.col("__s")).bitwiseAND(F.lit(1)) == 0
+    out = slots.where(empty & (slot_us(F.col("__s")) >= F.col("__klo")) & (slot_us(F.col("__s")) <= F.col("__khi")))
     return out.select(*given, F.timestamp_micros(slot_us(F.col("__s"))).cast("timestamp_ntz").alias(ts))

@@ -73,8 +73,9 @@ def changed_windows(now: DataFrame, before: DataFrame | None, columns: Sequence[
     now = now.select(*columns)
     if before is None:
         return now
-    before = before.select(*columns)
-    return now.exceptAll(before).unionByName(before.exceptAll(now))
+    both = now.withColumn("__n", F.lit(1)).unionByName(before.select(*columns).withColumn("__n", F.lit(-1)))
+    differ = both.groupBy(*columns).agg(F.sum("__n").alias("__n")).where("__n <> 0")     # one pass: both sides are read and shuffled once
+    return differ.select(*columns, F.explode(F.sequence(F.lit(1), F.abs("__n"))).alias("__i")).drop("__i")
 
 
 def spans(windows: Iterable[DataFrame], valid_from: str = "valid_from_utc", valid_to: str = "valid_to_utc") -> DataFrame:

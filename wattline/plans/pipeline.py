@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.money import strict_double
 from ..operators import quality, staging
 from ..operators.filters import period
-from ..operators.pricing import price_intervals
+from ..operators.pricing import price_intervals, windows_within
 from ..operators.upsert import table_exists, upsert
 from ..schemas import FIRST_LOAD_START, LOOKBACK_DAYS
 from ..session import materialise
@@ -218,10 +218,12 @@ def build_models(spark: SparkSession, lk: Lake, full_refresh: bool = False, mete
         differ = [materialise(changes.changed_windows(w, before[n], WINDOW_COLUMNS[n]), "changed-windows") for n, w in windows.items()]
         rows, concerned = changes.readings_to_price(bronze, keys, loads, [d for d in differ if not d.isEmpty()])
         concerned = materialise(concerned, "concerned")
-    consumption = staging.stg_consumption(rows.drop("day"), keys=keys)
+    # The tests and the fact read the cleaned readings several times: they are cleaned once.
+    consumption = materialise(staging.stg_consumption(rows.drop("day"), keys=keys), "stg-consumption")
     found |= gate(silver_tests(consumption, *windows.values(), meter_keys), severity)
     batch = consumption if full else consumption.join(concerned, keys, "left_semi")
-    priced = price_intervals(batch, *windows.values(), meter_keys=meter_keys)
+    low, high = consumption.agg(F.min("interval_start_utc"), F.max("interval_start_utc")).first()
+    priced = price_intervals(batch, *[windows_within(w, low, high) for w in windows.values()], meter_keys=meter_keys)
     days = incremental.write_fact(spark, lk.fact, priced, full_refresh=full, meter_keys=meter_keys).touched
     days = None if full else days
     fact = spark.read.parquet(lk.fact)
