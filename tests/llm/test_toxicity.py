@@ -2,6 +2,7 @@ import itertools
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,13 @@ def test_longer_documents_of_the_labelled_do_not_take_the_sample(spark, small):
     more = labels.unionByName(long.select("doc_id", F.lit(1).alias("toxic")))
     crf = toxicity.fit(docs.unionByName(long), more, sample=20, sample_chars=1_000)
     assert crf.weights and toxicity.score(docs, crf).where("predicted = 1").count() == docs.where("doc_id % 4 = 0").count()
+
+
+def test_what_the_driver_has_is_sent_as_arrow(spark, monkeypatch):
+    """Rows of Python objects would start Python workers of their own on the executors."""
+    docs = spark.createDataFrame([(i, ("foul" if i % 2 else "fine") + f" text number {i}") for i in range(200)], "doc_id int, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id int, toxic int")
+    sent, make = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **b: sent.append(type(data)) or make(self, data, *a, **b))
+    crf = toxicity.fit(docs, labels)
+    assert set(sent) == {pa.Table} and crf.weights["foul"] > 0

@@ -120,11 +120,12 @@ def pack(docs: DataFrame, size: int = 2048, end_id: int = 1, vocabulary: str = "
         known = word_ids(vocabulary)
         last = int(end_id).to_bytes(4, "little")
         for t in blocks(batches, text, block_bytes):
-            split = [(x or "").encode().split() for x in t.column(text).to_pylist()]
-            for i in range(0, len(split), 64):
+            texts = t.column(text)
+            for i in range(0, len(texts), 64):                  # a text's words are many times its size: few texts at a time
                 known.trim()
+                split = [(x or "").encode().split() for x in texts[i:i + 64].to_pylist()]
                 rows, starts, lengths, crcs, totals, ids = [], [], [], [], [], []
-                for j, words in enumerate(split[i:i + 64], i):
+                for j, words in enumerate(split, i):
                     raw = b"".join(map(known.__getitem__, words)) + last
                     at, n = 0, len(raw) // 4
                     for length in piece_lengths(n, size):

@@ -40,8 +40,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from .common import blocks, bound_arrow, materialise
 
@@ -200,6 +202,11 @@ def feature_counts(labelled: DataFrame, text: str) -> DataFrame:
             .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
 
+def given(spark: SparkSession, name: str, values: list, kind: DataType) -> DataFrame:
+    """One column of values that the driver has, sent as Arrow: rows of Python objects would start more Python workers beside those of the texts."""
+    return spark.createDataFrame(pa.table({name: pa.array(values, to_arrow_type(kind))}), StructType([StructField(name, kind)]))
+
+
 def ascend(gradient, size: int, steps: int, rate: float, begin: np.ndarray) -> np.ndarray:
     """Adam, upwards."""
     x, m, v = begin.copy(), np.zeros(size), np.zeros(size)
@@ -273,7 +280,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     for toxic in (0, 1):
         ids = [r["_key"] for r in met.where((F.col("toxic") == toxic) & (F.col("_chars") <= sample_chars)).select("_key").distinct()
                .orderBy(F.xxhash64("_key"), "_key").limit(sample).collect()]
-        few = spark.createDataFrame([(i,) for i in ids], met.select("_key").schema)     # at most ``sample`` keys
+        few = given(spark, "_key", ids, met.schema["_key"].dataType)     # at most ``sample`` keys
         got = texts.join(F.broadcast(few), "_key").where(F.char_length(text) <= sample_chars).select("_key", text).collect()
         once = {r["_key"]: r[text] for r in sorted(got, key=lambda r: (r["_key"], r[text]))}
         picked += [(t, toxic) for t in once.values()]
@@ -281,7 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return unlearned
     # A feature that no text of the sample has would keep the weight zero: the sample bounds the lexicon.
     held = {f for t, _ in picked for w in set(WORDS.findall(t.lower())) for f in word_features(w)}
-    mine = spark.createDataFrame([(f,) for f in sorted(held)], "feature string")
+    mine = given(spark, "feature", sorted(held), StringType())
     n1, n0 = shares[1], shares[0]
     toxic, clean = F.col("toxic"), F.col("clean")
     surprise = lambda n, share: F.when(n > 0, n * F.log(n / ((toxic + clean) * share))).otherwise(0.0)
